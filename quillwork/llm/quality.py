@@ -1,8 +1,8 @@
 """Operator 7: quality rules. A logistic regression over hashed word, word-pair and character n-grams, trained on labelled quality rows,
 calibrated on rows held out from training, scored in Arrow batches against a fixed threshold; counted base rules come first.
 
-The model is additive over words: each distinct word's share of the score (its word and character n-gram weights) is computed once per
-process and looked up after that. The training sample is at most `train_rows` labelled rows, the smallest by a hash of doc_id.
+A text's features are the shares of its words, word pairs and runs of 3 and 4 bytes that fall into each hashed column, so a score is a mean of
+weights over each of the three families. The training sample is at most `train_rows` labelled rows, the smallest by a hash of doc_id.
 
 Edge cases: null and empty texts have no words, zero counts and fail the base rules; without usable labels every row that passes the base rules
 is kept; repeated rows are scored alike; very long texts are read whole, line by line and word by word; other columns pass through `quality_rules`
@@ -47,29 +47,29 @@ class Model:
         return bool(np.any(self.weights))
 
 
-def _chars(word: bytes) -> list[bytes]:
-    padded = b"\x02" + word[:64] + b"\x03"
-    return [padded[i : i + n] for n in (3, 4) for i in range(max(1, len(padded) - n + 1))]
+def _characters(text: bytes, bits: int) -> np.ndarray:
+    """Columns of the runs of 3 and 4 bytes of a text."""
+    b = np.frombuffer(text, np.uint8).astype(np.uint32)
+    if len(b) < 3:
+        return np.zeros(0, np.int64)
+    three = b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)
+    four = three[:-1] | b[3:] << np.uint32(24)
+    mixed = np.concatenate([three * np.uint32(0x9E3779B1), (four ^ four >> np.uint32(15)) * np.uint32(0x85EBCA77)])
+    return (mixed >> np.uint32(32 - bits)).astype(np.int64)
 
 
-def _columns(words: list[bytes], hashes: np.ndarray, bits: int, grams: Cache) -> tuple[np.ndarray, np.ndarray]:
-    """Columns and counts of a text, as shares of its words."""
-    shift, size = np.uint64(64 - bits), 1 << bits
-    one = (mix64(hashes) >> shift).astype(np.int64)
-    two = (windows(hashes, 2)[: max(0, len(hashes) - 1)] >> shift).astype(np.int64) + size
-    distinct, counts = np.unique(np.array(words, object), return_counts=True)
-    three = [np.repeat(grams[w], c) for w, c in zip(distinct.tolist(), counts.tolist(), strict=True)]
-    total = np.bincount(np.concatenate([one, two, *three]), minlength=3 * size)
-    used = np.flatnonzero(total)
-    return used, total[used] / len(words)
-
+def _families(text: bytes, hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Columns, each within its family, of the words, word pairs and character runs of a text."""
+    shift = np.uint64(64 - bits)
+    pairs = windows(hashes, 2) if len(hashes) > 1 else hashes[:0]
+    return (mix64(hashes) >> shift).astype(np.int64), (pairs >> shift).astype(np.int64), _characters(text, bits)
 
-def _gram_columns(bits: int):
-    def columns(word: bytes) -> np.ndarray:
-        h = np.fromiter(map(hash_word, _chars(word)), np.uint64)
-        return (mix64(h) >> np.uint64(64 - bits)).astype(np.int64) + (2 << bits)
 
-    return columns
+def _columns(text: bytes, hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns and values of a text: counts, as shares of its family."""
+    total = np.concatenate([np.bincount(c, minlength=1 << bits) / max(1, len(c)) for c in _families(text, hashes, bits)])
+    used = np.flatnonzero(total)
+    return used, total[used]
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
@@ -82,14 +82,14 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")  # at most train_rows labels
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, grams = Cache(hash_word), Cache(_gram_columns(settings.bits), 100_000)
+        cache = Cache(hash_word)
         for batch in batches:
             out: dict[str, list] = {"doc_id": [], "quality": [], "columns": [], "values": []}
             for doc_id, text, quality in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), batch.column("quality").to_pylist(), strict=True):
                 words = text.split()
                 if not words:
                     continue
-                columns, values = _columns(words, word_hashes(words, cache), settings.bits, grams)
+                columns, values = _columns(text, word_hashes(words, cache), settings.bits)
                 for k, v in zip(out, (doc_id, quality, columns.astype("<u2" if size <= 1 << 16 else "<u4").tobytes(), values.astype("<f4").tobytes()), strict=True):
                     out[k].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("columns", pa.binary()), ("values", pa.binary())]))
@@ -122,12 +122,8 @@ class Scorer:
 
     def __init__(self, model: Model, threshold: float):
         self.model, self.threshold = model, threshold
-        size = 1 << model.bits
-        self.one, self.two, self.three = model.weights[:size], model.weights[size : 2 * size], model.weights
-        columns, shift = _gram_columns(model.bits), np.uint64(64 - model.bits)
+        self.families = model.weights.reshape(3, -1)
         self.hashes = Cache(hash_word)
-        self.words = Cache(lambda w: float(self.one[int(mix64(np.array([hash_word(w)], np.uint64))[0] >> shift)] + self.three[columns(w)].sum()))
-        self.shift = shift
 
     def counts(self, text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[int, int, int, int]:
         word_chars = sum(map(len, map(bytes.decode, words))) if not text.isascii() else sum(map(len, words))
@@ -143,10 +139,8 @@ class Scorer:
         failed = n < 10 or 100 * repeats > 20 * n
         score = 1.0
         if n and self.model.trained():
-            z = np.fromiter(map(self.words.__getitem__, words), np.float64, n).sum()
-            if n > 1:
-                z += self.two[(windows(hashes, 2) >> self.shift).astype(np.int64)].sum()
-            score = float(sigmoid(self.model.slope * (z / n + self.model.bias) + self.model.shift))
+            z = sum(w[c].mean() for w, c in zip(self.families, _families(text, hashes, self.model.bits), strict=True) if len(c))
+            score = float(sigmoid(self.model.slope * (z + self.model.bias) + self.model.shift))
         return n, word_chars, symbols, lines, repeats, score, failed, not failed and score >= self.threshold
 
 

@@ -1,15 +1,20 @@
-"""Exact tokenization by cached chunks.
+"""Exact tokenization by cached pieces.
 
 The tokenizer drops white space and never joins text across it, so the ids of a text are those of its white-space-separated chunks, one after
-another; each distinct chunk is encoded once per process. A test compares this with encoding whole texts."""
+another. It lower-cases, and it cuts a chunk where letters meet other characters, so a chunk of Latin letters between punctuation marks has the ids of its
+lower-cased letters between those of its marks. Letters that are new are encoded many at a time; each piece is encoded once per process. Chunks of
+any other form go to the tokenizer as they are. A test compares all this with encoding whole texts."""
 
 from __future__ import annotations
 
-import numpy as np
+import string
+import zlib
+from collections.abc import Iterator
 
-from .common import Cache
+import numpy as np
 
 END_ID = 2
+MARKS = string.punctuation.encode()
 
 
 def default_tokenizer() -> str:
@@ -21,21 +26,111 @@ def default_tokenizer() -> str:
 class Encoder:
     """Ids of a text as little-endian bytes: 16 bits an id where the vocabulary allows it, else 32."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_items: int = 300_000, max_bytes: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.cache = Cache(self._chunk)
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def words(self, words: list[bytes], end_id: int = END_ID) -> bytes:
-        return b"".join(map(self.cache.__getitem__, words)) + self.dtype.type(end_id).tobytes()
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a run of letters
+        self.closes[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.max_items, self.max_bytes = max_items, max_bytes
+        # what was used since the last turn, and before: a full table becomes the old one, so what is frequent stays and memory is bounded
+        self.chunks: dict[bytes, bytes] = {}
+        self.old_chunks: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {b"": b""}
+        self.old_pieces: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _core(self, chunk: bytes) -> tuple[bytes, bytes] | None:
+        """The chunk in lower case, and its letters; None if the chunk has another form than marks, letters, marks."""
+        if chunk.isascii():
+            low = chunk.lower()
+            core = low.strip(MARKS)
+            return (low, core) if core.isalpha() else None
+        text = chunk.decode()
+        if max(text) > "\xff":
+            return None
+        text = text.lower()
+        core = text.strip(string.punctuation)
+        return (text.encode(), core.encode()) if core.isalpha() else None
+
+    def _learn(self, missing: set[bytes]) -> None:
+        chunks, old, pieces, new = self.chunks, self.old_chunks, self.pieces, []
+        if len(pieces) > self.max_items:
+            self.old_pieces, self.pieces = pieces, {b"": b""}
+            pieces = self.pieces
+        for chunk in missing:
+            if chunk in old:
+                chunks[chunk] = old[chunk]
+                continue
+            cut = self._core(chunk) if len(chunk) <= self.max_bytes else None
+            if cut is None:
+                chunks[chunk] = self._ids(chunk.decode()).tobytes()
+                continue
+            low, core = cut
+            if len(low) == len(core):
+                before = after = b""
+            else:
+                at = low.index(core)
+                before, after = low[:at], low[at + len(core) :]
+                if b"'" in before or b"<|" in before:
+                    chunks[chunk] = self._ids(chunk.decode()).tobytes()
+                    continue
+                for mark in (before, after):
+                    if mark not in pieces:
+                        pieces[mark] = self._ids(mark.decode()).tobytes()
+            if core in pieces:
+                chunks[chunk] = pieces[before] + pieces[core] + pieces[after]
+            elif core in self.old_pieces:
+                pieces[core] = self.old_pieces[core]
+                chunks[chunk] = pieces[before] + pieces[core] + pieces[after]
+            else:
+                new.append((chunk, before, core, after))
+        if new:
+            self._encode(list({core for _, _, core, _ in new}))
+            for chunk, before, core, after in new:
+                chunks[chunk] = pieces[before] + pieces[core] + pieces[after]
+
+    def _encode(self, cores: list[bytes]) -> None:
+        ids = self._ids(b" ".join(cores).decode())
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(cores):
+            size, data, at = self.dtype.itemsize, ids.tobytes(), 0
+            for core, end in zip(cores, (ends * size).tolist(), strict=True):
+                self.pieces[core] = data[at:end]
+                at = end
+        else:
+            self.pieces |= {core: self._ids(core.decode()).tobytes() for core in cores}
+
+    def batch(self, texts: list[bytes | None], end_id: int = END_ID, group: int = 50_000) -> Iterator[tuple[list[bytes], bytes]]:
+        """Words and ids of each text; new words are learned for some `group` words at a time."""
+        waiting, n = [], 0
+        for text in texts:
+            waiting.append((text or b"").split())
+            n += len(waiting[-1])
+            if n >= group:
+                yield from self._flush(waiting, end_id)
+                waiting, n = [], 0
+        yield from self._flush(waiting, end_id)
+
+    def _flush(self, waiting: list[list[bytes]], end_id: int) -> Iterator[tuple[list[bytes], bytes]]:
+        if len(self.chunks) > self.max_items:
+            self.old_chunks, self.chunks = self.chunks, {}
+        missing = set().union(*waiting).difference(self.chunks)
+        if missing:
+            self._learn(missing)
+        find, end = self.chunks.__getitem__, self.dtype.type(end_id).tobytes()
+        for words in waiting:
+            yield words, b"".join(map(find, words)) + end
+        for chunk in missing:
+            if len(chunk) > self.max_bytes:
+                del self.chunks[chunk]
 
     def text(self, text: bytes | None, end_id: int = END_ID) -> bytes:
-        return self.words((text or b"").split(), end_id)
+        return next(self.batch([text], end_id))[1]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -50,6 +145,4 @@ def encoder(path: str) -> Encoder:
 
 def crc_u32(ids: np.ndarray) -> int:
     """crc32 of ids as little-endian unsigned 32-bit integers."""
-    import zlib
-
     return zlib.crc32(ids.astype("<u4").tobytes())
