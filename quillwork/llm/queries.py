@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mixing, packing, quality, token_files, toxicity, url_filter
+from . import ann, line_dedup, mixing, near_dedup, packing, pii, quality, token_files, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
@@ -41,15 +49,22 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, token_files.write_tokens(_table(spark, sf_dir, "documents")))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict:
     return {
         "op1_ann": op1_ann,
         "op2_mixing": op2_mixing,
+        "op3_near_dedup": op3_near_dedup,
+        "op4_pii": op4_pii,
         "op5_toxicity": op5_toxicity,
         "op6_packing": op6_packing,
         "op7_quality": op7_quality,
         "op8_url_filter": op8_url_filter,
         "op9_token_files": op9_token_files,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
