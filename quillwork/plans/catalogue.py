@@ -1,6 +1,11 @@
-"""Every query over the driver's tables, with its SQL."""
+"""Every query over the driver's tables, with its SQL. Keys begin with the id of the operator that they show."""
 
 from __future__ import annotations
 
+from . import evaluation, history, relations, texts
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+for _module in (history, relations, texts, evaluation):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
