@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -78,8 +79,53 @@ class Cache(dict):
         return value
 
 
-def word_hashes(words: list[bytes], cache: Cache) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+WHITE = b" \t\n\x0b\x0c\r"
+_SPACE = np.zeros(256, bool)
+_SPACE[list(WHITE)] = True
+#: A random number for each byte at each of 64 places; a word's hash is the sum over its bytes. White space counts for nothing.
+_TABLE = np.random.default_rng(20).integers(0, 1 << 64, (64, 256), dtype=np.uint64)
+_TABLE[:, list(WHITE)] = 0
+_FLAT = _TABLE.ravel()
+BLOCK = 1 << 20
+
+
+def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word and where it starts, without making the words. Long texts go block by block; words over 64 bytes are hashed apart."""
+    if len(text) > BLOCK + 65536:
+        parts, at = [], 0
+        while at < len(text):
+            end = min(len(text), at + BLOCK)
+            while end < len(text) and not _SPACE[text[end]]:
+                end += 1
+            h, starts = hashed_words(text[at:end]) if end - at <= BLOCK + 65536 else _words_apart(text[at:end])
+            parts.append((h, starts + at))
+            at = end
+        return np.concatenate([h for h, _ in parts]), np.concatenate([s for _, s in parts])
+    b = np.frombuffer(text, np.uint8)
+    word = ~_SPACE[b]
+    if not word.any():
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    edge = np.flatnonzero(np.diff(word, prepend=False))
+    starts, ends = edge[::2], edge[1::2]
+    if len(ends) < len(starts):
+        ends = np.append(ends, len(b))
+    first = int(starts[0])
+    rest = b[first:]
+    place = np.arange(len(rest), dtype=np.int32) - np.repeat((starts - first).astype(np.int32), np.diff(starts, append=len(b)))
+    place &= 63
+    place <<= 8
+    place |= rest
+    h = np.add.reduceat(_FLAT[place], starts - first)
+    for i in np.flatnonzero(ends - starts > 64).tolist():
+        h[i] = hash_word(text[starts[i] : ends[i]])
+    return mix64(h), starts
+
+
+def _words_apart(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The same for a block with a word that is longer than a block."""
+    found = [(m.start(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+    h = [hash_word(w) if len(w) > 64 else int(_TABLE[np.arange(len(w)), np.frombuffer(w, np.uint8)].sum(dtype=np.uint64)) for _, w in found]
+    return mix64(np.array(h, np.uint64)), np.array([at for at, _ in found], np.int64)
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:

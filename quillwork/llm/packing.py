@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cache, as_bytes, hash_word
+from .common import as_bytes, hashed_words
 from .tokens import END_ID, crc_u32, default_tokenizer, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -48,22 +48,18 @@ class Corpus:
     frequency: np.ndarray
 
 
-def _terms(words: list[bytes], cache: Cache) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, words), np.int32, len(words))
-
-
-def _term_cache(bits: int) -> Cache:
-    return Cache(lambda w: hash_word(w) >> (64 - bits))
+def _terms(text: bytes | None, bits: int) -> np.ndarray:
+    return (hashed_words(text or b"")[0] >> np.uint64(64 - bits)).astype(np.int32)
 
 
 def corpus_statistics(docs: DataFrame, settings: Settings = Settings()) -> Corpus:
     """Document frequencies of hashed terms, counted over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, df, n, total = _term_cache(settings.bits), np.zeros(1 << settings.bits, np.int64), 0, 0
+        df, n, total = np.zeros(1 << settings.bits, np.int64), 0, 0
         for batch in batches:
             for text in as_bytes(batch.column("text")):
-                terms = _terms((text or b"").split(), cache)
+                terms = _terms(text, settings.bits)
                 n, total = n + 1, total + len(terms)
                 df[np.unique(terms)] += 1
         used = np.flatnonzero(df)
@@ -188,7 +184,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, se
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, cache = encoder(tokenizer), _term_cache(settings.bits)
+        enc = encoder(tokenizer)
         packer = Packer(corpus, settings, TaskContext.get().partitionId() << 40)
         waiting: list[tuple] = []
         words_waiting = 0
@@ -199,8 +195,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, se
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_NAMES)
 
         for batch in batches:
-            for doc_id, (words, ids) in zip(batch.column("doc_id").to_pylist(), enc.batch(as_bytes(batch.column("text")), end_id), strict=True):
-                waiting.append((doc_id, np.frombuffer(ids, enc.dtype), _terms(words, cache)))
+            texts = as_bytes(batch.column("text"))
+            for doc_id, text, (words, ids) in zip(batch.column("doc_id").to_pylist(), texts, enc.batch(texts, end_id), strict=True):
+                waiting.append((doc_id, np.frombuffer(ids, enc.dtype), _terms(text, settings.bits)))
                 words_waiting += len(words)
                 if len(waiting) >= settings.shard_docs or words_waiting >= settings.shard_words:
                     packer.shard(waiting)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cache, as_bytes, hash_word, mix64, windows, word_hashes
+from .common import WHITE, as_bytes, hashed_words, mix64, windows
 from .linear import Rows, fit, platt, sigmoid
 
 SYMBOLS = b"#*$%&|<>"
@@ -82,14 +82,13 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")  # at most train_rows labels
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Cache(hash_word)
         for batch in batches:
             out: dict[str, list] = {"doc_id": [], "quality": [], "columns": [], "values": []}
             for doc_id, text, quality in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), batch.column("quality").to_pylist(), strict=True):
-                words = text.split()
-                if not words:
+                hashes, _ = hashed_words(text)
+                if not len(hashes):
                     continue
-                columns, values = _columns(text, word_hashes(words, cache), settings.bits)
+                columns, values = _columns(text, hashes, settings.bits)
                 for k, v in zip(out, (doc_id, quality, columns.astype("<u2" if size <= 1 << 16 else "<u4").tobytes(), values.astype("<f4").tobytes()), strict=True):
                     out[k].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("columns", pa.binary()), ("values", pa.binary())]))
@@ -123,19 +122,18 @@ class Scorer:
     def __init__(self, model: Model, threshold: float):
         self.model, self.threshold = model, threshold
         self.families = model.weights.reshape(3, -1)
-        self.hashes = Cache(hash_word)
 
-    def counts(self, text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[int, int, int, int]:
-        word_chars = sum(map(len, map(bytes.decode, words))) if not text.isascii() else sum(map(len, words))
+    def counts(self, text: bytes) -> tuple[int, int, int]:
+        word_chars = len(text.decode()) - (len(text) - len(text.translate(None, WHITE)))
         symbols = len(text) - len(text.translate(None, SYMBOLS))
         lines = [x for x in text.split(b"\n") if x.strip()]
-        return word_chars, symbols, len(lines) - len(set(lines)), repeated_words(hashes)
+        return word_chars, symbols, len(lines) - len(set(lines))
 
     def row(self, text: bytes | None) -> tuple:
         text = text or b""
-        words = text.split()
-        n, hashes = len(words), word_hashes(words, self.hashes)
-        word_chars, symbols, lines, repeats = self.counts(text, words, hashes)
+        hashes, _ = hashed_words(text)
+        n, repeats = len(hashes), repeated_words(hashes)
+        word_chars, symbols, lines = self.counts(text)
         failed = n < 10 or 100 * repeats > 20 * n
         score = 1.0
         if n and self.model.trained():
