@@ -87,7 +87,7 @@ def read_workbooks(spark: SparkSession, path: str, schema: T.StructType) -> Data
     text = spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, T.StructType([T.StructField(n, T.StringType()) for n in names]))
     # dates are stored as days since 1899-12-30
     as_date = lambda n: F.date_add(F.lit("1899-12-30").cast("date"), F.col(n).try_cast("double").cast("int"))
-    return text.select(*[(F.coalesce(F.col(f.name).try_cast("date"), as_date(f.name)) if isinstance(f.dataType, T.DateType) else F.col(f.name).try_cast(f.dataType)).alias(f.name) for f in schema.fields])
+    return text.select(*[(F.when(F.col(f.name).rlike(r"^\d+(\.\d+)?$"), as_date(f.name)).otherwise(F.col(f.name).try_cast("date")) if isinstance(f.dataType, T.DateType) else F.col(f.name).try_cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 # --- page texts (SRC6, SRC7): any extractor gives array<string>; everything after that is native
