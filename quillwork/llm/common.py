@@ -121,6 +121,24 @@ def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix64(h), starts
 
 
+def hashed_runs(text: bytes, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start, end and kind of each run of bytes of one kind but 0; kind: a number for each byte value, 0 for white space."""
+    b = np.frombuffer(text, np.uint8)
+    k = kind[b]
+    starts = np.flatnonzero(np.diff(k, prepend=np.uint8(255)))
+    ends = np.append(starts[1:], len(b))
+    place = np.arange(len(b), dtype=np.int32) - np.repeat(starts.astype(np.int32), ends - starts)
+    place &= 63
+    place <<= 8
+    place |= b
+    h = np.add.reduceat(_FLAT[place], starts) if len(b) else np.zeros(0, np.uint64)
+    kinds = k[starts]
+    for i in np.flatnonzero((ends - starts > 64) & (kinds > 0)).tolist():
+        h[i] = hash_word(text[starts[i] : ends[i]])
+    used = kinds > 0
+    return mix64(h[used]), starts[used], ends[used], kinds[used]
+
+
 def _words_apart(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The same for a block with a word that is longer than a block."""
     found = [(m.start(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]

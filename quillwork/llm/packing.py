@@ -196,9 +196,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, se
 
         for batch in batches:
             texts = as_bytes(batch.column("text"))
-            for doc_id, text, (words, ids) in zip(batch.column("doc_id").to_pylist(), texts, enc.batch(texts, end_id), strict=True):
+            for doc_id, text, ids in zip(batch.column("doc_id").to_pylist(), texts, enc.batch(texts, end_id), strict=True):
                 waiting.append((doc_id, np.frombuffer(ids, enc.dtype), _terms(text, settings.bits)))
-                words_waiting += len(words)
+                words_waiting += len(waiting[-1][2])
                 if len(waiting) >= settings.shard_docs or words_waiting >= settings.shard_words:
                     packer.shard(waiting)
                     waiting, words_waiting = [], 0

@@ -54,7 +54,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
                 continue
             out = out or files.open_output_stream(f"{own}.bin")
             sizes = []
-            for _, data in enc.batch(as_bytes(batch.column("text")), end_id):
+            for data in enc.batch(as_bytes(batch.column("text")), end_id):
                 out.write(data)
                 sizes.append(len(data) // enc.dtype.itemsize)
             ends.append((np.cumsum(sizes) + total).astype("<u8"))

@@ -1,20 +1,29 @@
 """Exact tokenization by cached pieces.
 
-The tokenizer drops white space and never joins text across it, so the ids of a text are those of its white-space-separated chunks, one after
-another. It lower-cases, and it cuts a chunk where letters meet other characters, so a chunk of Latin letters between punctuation marks has the ids of its
-lower-cased letters between those of its marks. Letters that are new are encoded many at a time; each piece is encoded once per process. Chunks of
-any other form go to the tokenizer as they are. A test compares all this with encoding whole texts."""
+The tokenizer drops white space, never joins text across it, lower-cases, and cuts where letters meet other characters. So the ids of a text are those of
+its runs of letters and of other characters, one after another. Texts of ASCII and Latin-1 letters are cut into such runs by array operations, many
+texts at a time; each distinct run is encoded once per process, new runs of letters many at a time, and ids are put together by array operations.
+Texts with anything that this would cut wrongly (an apostrophe before a letter, a special token's mark, other scripts) go chunk by chunk, where a
+chunk is what lies between white space. A test compares both with encoding whole texts."""
 
 from __future__ import annotations
 
+import re
 import string
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 
+from .common import LOWER_BYTES, WHITE, hashed_runs
+
 END_ID = 2
 MARKS = string.punctuation.encode()
+#: What sends a text the slower way: bytes outside ASCII and the letters of Latin-1, an apostrophe before a letter, the start of a special token.
+OTHER = re.compile(rb"[\xc2\xc4-\xff]|\xc3[\x97\xb7]|'[A-Za-z\xc3]|<\|")
+_KIND = np.full(256, 2, np.uint8)  # 0 white space, 1 letter, 2 other
+_KIND[list(WHITE)] = 0
+_KIND[list(b"abcdefghijklmnopqrstuvwxyz") + list(range(0x80, 0x100))] = 1
 
 
 def default_tokenizer() -> str:
@@ -40,6 +49,8 @@ class Encoder:
         self.old_chunks: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {b"": b""}
         self.old_pieces: dict[bytes, bytes] = {}
+        self.runs: dict[int, bytes] = {}
+        self.old_runs: dict[int, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
@@ -95,42 +106,104 @@ class Encoder:
                 chunks[chunk] = pieces[before] + pieces[core] + pieces[after]
 
     def _encode(self, cores: list[bytes]) -> None:
+        self.pieces |= zip(cores, self._each(cores), strict=True)
+
+    def _each(self, cores: list[bytes]) -> list[bytes]:
+        """Ids of runs of letters; each run's last id is one that closes a run."""
         ids = self._ids(b" ".join(cores).decode())
         ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) == len(cores):
-            size, data, at = self.dtype.itemsize, ids.tobytes(), 0
-            for core, end in zip(cores, (ends * size).tolist(), strict=True):
-                self.pieces[core] = data[at:end]
-                at = end
-        else:
-            self.pieces |= {core: self._ids(core.decode()).tobytes() for core in cores}
-
-    def batch(self, texts: list[bytes | None], end_id: int = END_ID, group: int = 50_000) -> Iterator[tuple[list[bytes], bytes]]:
-        """Words and ids of each text; new words are learned for some `group` words at a time."""
-        waiting, n = [], 0
+        if len(ends) != len(cores):
+            return [self._ids(core.decode()).tobytes() for core in cores]
+        data, cuts = ids.tobytes(), (ends * self.dtype.itemsize).tolist()
+        return [data[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+    def batch(self, texts: list[bytes | None], end_id: int = END_ID, group: int = 1_500_000) -> Iterator[bytes]:
+        """Ids of each text, in order; some `group` bytes are worked on at a time."""
+        waiting: list[bytes] = []
+        held = 0
         for text in texts:
-            waiting.append((text or b"").split())
-            n += len(waiting[-1])
-            if n >= group:
-                yield from self._flush(waiting, end_id)
-                waiting, n = [], 0
-        yield from self._flush(waiting, end_id)
-
-    def _flush(self, waiting: list[list[bytes]], end_id: int) -> Iterator[tuple[list[bytes], bytes]]:
+            waiting.append(text or b"")
+            held += len(waiting[-1])
+            if held >= group:
+                yield from self._group(waiting, end_id, group)
+                waiting, held = [], 0
+        yield from self._group(waiting, end_id, group)
+
+    def _group(self, texts: list[bytes], end_id: int, group: int) -> list[bytes]:
+        end, out = self.dtype.type(end_id).tobytes(), [b""] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            if OTHER.search(text):
+                out[i] = b"".join(data for part in _parts(text, group) for data in self._flush([part.split()])) + end
+            elif len(text) > 2 * group:
+                out[i] = b"".join(self._plain([part])[0] for part in _parts(text, group)) + end
+            else:
+                plain.append(i)
+        if plain:
+            for i, data in zip(plain, self._plain([texts[i] for i in plain]), strict=True):
+                out[i] = data + end
+        return out
+
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        joined = b"\n".join(texts).translate(LOWER_BYTES)
+        hashes, starts, ends, kinds = hashed_runs(joined, _KIND)
+        if not len(hashes):
+            return [b""] * len(texts)
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.runs) > self.max_items:
+            self.old_runs, self.runs = self.runs, {}
+        runs, old, keys = self.runs, self.old_runs, distinct.tolist()
+        new_keys, new_runs = [], []
+        for k, key in enumerate(keys):
+            if key in runs:
+                continue
+            if key in old:
+                runs[key] = old[key]
+                continue
+            i = first[k]
+            run = joined[starts[i] : ends[i]]
+            if kinds[i] == 2:
+                runs[key] = self._ids(run.decode()).tobytes()
+            else:
+                new_keys.append(key)
+                new_runs.append(run if run.isascii() else run.decode().lower().encode())
+        if new_runs:
+            runs |= zip(new_keys, self._each(new_runs), strict=True)
+        values = list(map(runs.__getitem__, keys))
+        size = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        flat, place = np.frombuffer(b"".join(values), self.dtype), np.cumsum(size) - size
+        n = size[inverse]
+        ids = flat[np.repeat(place[inverse] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+        cuts = np.append(0, np.cumsum(n))[np.searchsorted(starts, begin)].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _flush(self, waiting: list[list[bytes]]) -> Iterator[bytes]:
         if len(self.chunks) > self.max_items:
             self.old_chunks, self.chunks = self.chunks, {}
         missing = set().union(*waiting).difference(self.chunks)
         if missing:
             self._learn(missing)
-        find, end = self.chunks.__getitem__, self.dtype.type(end_id).tobytes()
+        find = self.chunks.__getitem__
         for words in waiting:
-            yield words, b"".join(map(find, words)) + end
+            yield b"".join(map(find, words))
         for chunk in missing:
             if len(chunk) > self.max_bytes:
                 del self.chunks[chunk]
 
     def text(self, text: bytes | None, end_id: int = END_ID) -> bytes:
-        return next(self.batch([text], end_id))[1]
+        return next(self.batch([text], end_id))
+
+
+def _parts(text: bytes, size: int) -> Iterator[bytes]:
+    """A long text in parts of about `size` bytes, cut at white space."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + size)
+        while end < len(text) and text[end] not in WHITE:
+            end += 1
+        yield text[at:end]
+        at = end
 
 
 _encoders: dict[str, Encoder] = {}
