@@ -83,5 +83,21 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM cut
 """
 
 
+OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                           WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+both_ways AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(d, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT both_ways.y, r.c FROM r JOIN both_ways ON r.d = both_ways.x),
+m AS (SELECT d, min(c) AS c FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept FROM documents JOIN m ON doc_id = d LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": OP8}
+    return {"op3_near_dedup": OP3, "op8_url_filter": OP8}
