@@ -34,9 +34,9 @@ def prj5_prj6_prj7(spark, d):
     return df.withColumns({"net": F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4), "tag": F.lit("x")}).drop("l_extendedprice", "l_discount")
 
 
-@R.query("prj9_casts", "SELECT p_partkey, CAST(p_size AS VARCHAR) AS s, try_cast(p_brand AS INT) AS none, CAST(p_size AS TINYINT) AS small FROM part")
+@R.query("prj9_casts", "SELECT p_partkey, CAST(p_size AS VARCHAR) AS s, try_cast(right(p_brand, 1) AS INT) AS digit, CAST(p_size AS TINYINT) AS small FROM part")
 def prj9(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.col("p_size").cast("string").alias("s"), F.col("p_brand").try_cast("int").alias("none"), F.col("p_size").cast("byte").alias("small"))
+    return table(spark, d, "part").select("p_partkey", F.col("p_size").cast("string").alias("s"), F.right("p_brand", F.lit(1)).try_cast("int").alias("digit"), F.col("p_size").cast("byte").alias("small"))
 
 
 @R.query("flt5_both_present", "SELECT o_orderkey FROM orders WHERE nullif(o_orderstatus, 'P') IS NOT NULL AND nullif(o_orderpriority, '5-LOW') IS NOT NULL")

@@ -1,13 +1,14 @@
 """Comparison of a query with its SQL in DuckDB."""
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def rows_of(df):
     names = sorted(df.columns)
-    return sorted(tuple("None" if v is None or v != v else str(v) for v in row) for row in df[names].astype(object).itertuples(index=False))
+    return sorted(tuple("None" if pd.isna(v) else str(v) for v in row) for row in df[names].astype(object).itertuples(index=False))
 
 
 def same_as_sql(spark, query, sql, folder):
