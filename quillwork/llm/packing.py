@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, hashed_words
+from .common import as_bytes, hashed_words, release_memory
 from .tokens import END_ID, crc_u32, default_tokenizer, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -207,5 +207,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, se
             packer.shard(waiting)
         packer.flush()
         yield rows()
+        del packer, waiting
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(fill, PIECES)

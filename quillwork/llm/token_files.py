@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, scratch
+from .common import as_bytes, release_memory, scratch
 from .tokens import END_ID, crc_u32, default_tokenizer, encoder
 
 PARTS = "part long, file string, docs long, tokens long, dtype string"
@@ -71,6 +71,8 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
                 w.write_batch(pa.record_batch([column], names=["doc_id"]))
         for kind in ("idx", "docs", "bin"):
             files.move(f"{own}.{kind}", f"{name}.{kind}")
+        del ends, ids
+        release_memory()
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:05d}"], "docs": [len(offsets) - 1], "tokens": [total], "dtype": [enc.dtype.str]})
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")

@@ -35,7 +35,7 @@ def default_tokenizer() -> str:
 class Encoder:
     """Ids of a text as little-endian bytes: 16 bits an id where the vocabulary allows it, else 32."""
 
-    def __init__(self, path: str, max_items: int = 300_000, max_bytes: int = 48):
+    def __init__(self, path: str, max_items: int = 200_000, max_bytes: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
