@@ -8,7 +8,7 @@ import uuid
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words of a text: runs of anything but the six ASCII white-space characters. bytes.split() splits exactly there.
@@ -167,6 +167,15 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), dtype)
 
 
+def smallest_draws(df: DataFrame, draw: Column, ties: str, n: int) -> DataFrame:
+    """The n rows with the smallest hashes `draw` (a 64-bit hash). A threshold from the number of rows leaves about 1.5 n of them before the sort, so
+    that what partitions send to be merged doesn't grow with their number."""
+    total = df.count()
+    if total > 2 * n + 1000:
+        df = df.where(F.pmod(draw, F.lit(1 << 40)) < int((1.5 * n + 100) / total * (1 << 40)))
+    return df.orderBy(F.pmod(draw, F.lit(1 << 40)), ties).limit(n)
+
+
 def release_memory() -> None:
     """Gives freed memory back to the system at the end of a task: Python workers live on, beside executors that use what is left."""
     import ctypes

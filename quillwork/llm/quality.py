@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, as_bytes, hashed_words, mix64, windows
+from .common import WHITE, as_bytes, hashed_words, mix64, smallest_draws, windows
 from .linear import Rows, fit, platt, sigmoid
 
 SYMBOLS = b"#*$%&|<>"
@@ -74,11 +74,8 @@ def _columns(text: bytes, hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     size = 3 << settings.bits
-    chosen = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-        .groupBy("doc_id").agg(F.max("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id").limit(settings.train_rows)
-    )
+    usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    chosen = smallest_draws(usable, F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", settings.train_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")  # at most train_rows labels
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
