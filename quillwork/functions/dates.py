@@ -26,8 +26,8 @@ def first_of_month(c: Column) -> Column:
 
 
 def rest_text(c: Column) -> Column:
-    """DAT2: the text behind `month [de] year` up to the end; null if there is none or it goes over a line break."""
-    return F.nullif(F.regexp_extract(strip(c), rf"(?iu)^(?:{NAMES})\s+(?:de\s+)?\d{{4}}[\s.,:;-]*([^\n]*)\z", 1), F.lit(""))
+    """DAT2: the text behind `month [de][,] year[.][,]` up to the end; null if there is none or it goes over a line break."""
+    return F.nullif(F.regexp_extract(strip(c), rf"(?iuU)^(?:{NAMES})(?:\s+de)?[,\s]+(?:\d{{4}})\.?,?\s*([^\n]*)\z", 1), F.lit(""))
 
 
 def month_text(d: Column) -> Column:

@@ -69,16 +69,24 @@ def spaced_number(c: Column) -> Column:
 
 #: STR16: canonical conflict types, in the order in which they are tried (fixed values).
 CONFLICT_TYPES = (
-    (r"^(por )?asuntos? de gobierno local", "Asuntos de gobierno local"),
-    (r"^(por )?asuntos? de (gobierno|gobiernos|gobiern) regional", "Asuntos de gobierno regional"),
+    (r"^por asuntos? de gobierno local|^asuntos? de gobierno local", "Asuntos de gobierno local"),
+    (r"^por asuntos? de gobierno regional|^asuntos? de gobiern(os)? regional|^asuntos? de gobiernos regional|^asuntos? de gobierno regional", "Asuntos de gobierno regional"),
     (r"^asuntos? de gobierno nacional", "Asuntos de gobierno nacional"),
-    (r"^(por )?cultivos? de coca", "Cultivo de coca"),
-    (r"^(por )?demarcación territorial", "Demarcación territorial"),
+    (r"^cultivo ilegal de hoja de coca", "Cultivo ilegal de hoja de coca"),
+    (r"^demarcación territorial", "Demarcación territorial"),
     (r"^socioambiental", "Socioambiental"),
 )
+#: STR22: type names of report records, in the order in which they are tried (fixed values).
+RECORD_TYPES = (
+    "Socioambiental", "Asuntos de gobierno nacional", "Asuntos de gobierno regional", "Asuntos de gobierno local", "Asunto de gobierno nacional",
+    "Asunto de gobierno regional", "Asunto de gobierno local", "Comunal", "Otros asuntos", "Laboral", "Demarcacion territorial",
+    "Cultivo ilegal de hoja de coca", "Asuntos de Gobiernos Regional", "Asuntos de Gobierno Local", "Asuntos de Gobiernos Nacional",
+    "Tipo otros asuntos", "Demarcacion Territorial", "Por asuntos de gobierno local", "Por asuntos de gobierno nacional", "Por asuntos de gobierno regional",
+)
 
 
 def conflict_type(c: Column) -> Column:
+    """STR16: the label of the first pattern that fits, else the text itself; lower case."""
     out = None
     for pattern, label in CONFLICT_TYPES:
         hit = c.rlike("(?iu)" + pattern)
@@ -107,6 +115,19 @@ def loose(word: str) -> str:
     return r"\s?".join(re.escape(ch) for ch in word)
 
 
+def scattered(word: str) -> str:
+    """STR22: a pattern for a line that holds the letters of word in order, whatever lies between them. Each step goes to the next such letter and
+    never back, so it takes linear time."""
+    return "(?dm)^" + "".join(f"[^{re.escape(ch)}\\n]*+{re.escape(ch)}" for ch in word) + "[^\\n]*+"
+
+
+def record_type(c: Column, types: tuple[str, ...] = RECORD_TYPES) -> Column:
+    """STR22: each line that holds the letters of a type in order becomes that type, type after type."""
+    for t in types:
+        c = F.regexp_replace(c, scattered(t), t)
+    return c
+
+
 def repair(c: Column, words_: list[str]) -> Column:
     """STR23: words broken by an inserted space become whole."""
     for w in words_:

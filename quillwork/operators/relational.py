@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import ordered_positions
+
 
 # --- projection (PRJ1-PRJ10)
 def rename_all(df: DataFrame, names: list[str]) -> DataFrame:
@@ -23,14 +25,19 @@ def columns_by_prefix(df: DataFrame, prefix: str, keep: str = "id") -> DataFrame
 
 
 def row_number0(df: DataFrame, name: str, *keys: Column, partition: list[str] | None = None) -> DataFrame:
-    """PRJ8: place from 0 in an explicit order, within the partition columns. Without any, use it on small tables only."""
-    return df.withColumn(name, (F.row_number().over(Window.partitionBy(*(partition or [])).orderBy(*keys)) - 1).cast("long"))
+    """PRJ8, JON6: place from 0 in an explicit order, within the partition columns; without any, by a range sort and prefix sums of its counts."""
+    if not partition:
+        return ordered_positions(df, *keys, position=name)
+    return df.withColumn(name, (F.row_number().over(Window.partitionBy(*partition).orderBy(*keys)) - 1).cast("long"))
 
 
 # --- filters (FLT1-FLT16)
 def min_history(df: DataFrame, key: str, more_than: int) -> DataFrame:
-    """FLT2, FLT9, AGG4, WIN1: rows whose key has more than so many rows; the count stays as n_key."""
-    return df.withColumn("n_key", F.count("*").over(Window.partitionBy(key))).where(F.col("n_key") > more_than)
+    """FLT2, FLT9, AGG4, WIN1: rows whose key has more than so many rows; the count stays as n_key. Keys are counted map-side and joined back (null is
+    a key too), so a hot key's rows are never one window; its join partition is split by adaptive execution."""
+    names = df.columns
+    counts = df.groupBy(F.col(key).alias("_counted")).agg(F.count("*").alias("n_key")).where(F.col("n_key") > more_than)
+    return df.drop("n_key").join(counts, F.col(key).eqNullSafe(F.col("_counted"))).select(*[n for n in names if n != "n_key"], "n_key")
 
 
 def min_support(df: DataFrame, key: str, least: int) -> DataFrame:

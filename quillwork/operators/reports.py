@@ -13,17 +13,25 @@ from . import relational, reshape, spells
 RECORD_FIELDS = ["Tipo", "Ingreso como caso nuevo", "Caso", "Ubicación", "Actores primarios", "Actores secundarios", "Actores terciarios", "Diálogo", "Detalle del mes"]
 
 
-def clean_occurrences(df: DataFrame, types: list[str] | None = None, states: list[str] | None = None, history: int = 5, stop: list[str] | None = None) -> DataFrame:
-    """From parsed occurrences to typed rows with canonical type, date, text and a 0/1 dialogue column; history is counted before later filters."""
-    d = df.where(F.col("state").isin(*states)) if states else df
+#: Raw dialogue values with their dummies, events that say nothing, and the columns that go on to modelling (fixed values).
+DIALOGUE = {"HAY DIÁLOGO": 1, "NO HAY DIÁLOGO": 0}
+EMPTY_EVENTS = ("se registraron nuevos hechos durante el mes.", "se registraron nuevos hechos durante el mes..")
+MODEL_COLUMNS = ["dialogo", "conflict_type", "conflict_uid", "report_number", "clean_date", "clean_conflict_text", "clean_event_text", "date_init", "location", "actors_1", "actors_2", "actors_3"]
+
+
+def clean_occurrences(df: DataFrame, history: int = 5, stop: list[str] | None = None) -> DataFrame:
+    """From parsed occurrences to MODEL_COLUMNS. Rows without one of the two dialogue values go before a conflict's history is counted; event texts
+    are filled from what follows the date; rows without an event go, texts may be null; of rows that agree in conflict, report and event the
+    first stays, in the order of their date, conflict text, type and raw date."""
+    d = df.where(F.col("dialogo").isin(*DIALOGUE))
     d = relational.min_history(d, "conflict_uid", history).drop("n_key")
-    d = d.withColumns({"conflict_type": text.conflict_type(F.col("conflict_type")), "clean_date": dates.first_of_month(F.col("date_init")), "event_text": F.coalesce("event_text", dates.rest_text(F.col("date_init")))})
-    if types:
-        d = d.where(F.col("conflict_type").isin(*types))
-    d = d.where((F.col("event_text") != "") & (F.col("conflict_text") != ""))
-    flag = F.when(F.upper("dialogo").isin("SI", "SÍ", "TRUE", "HAY"), 1).when(F.upper("dialogo").isin("NO", "FALSE", "NO HAY"), 0).cast("byte")
-    d = relational.keep_first(d.withColumn("dialogo", flag), ["conflict_uid", "report_number", "event_text"], F.col("clean_date"), F.col("conflict_text"))
-    return d.withColumns({"clean_conflict_text": text.clean_text(F.col("conflict_text"), stop or []), "clean_event_text": text.clean_text(F.col("event_text"), stop or [])})
+    raw = text.strip(F.col("date_init"))
+    d = d.withColumns({"conflict_type": text.conflict_type(F.col("conflict_type")), "date_init": raw, "clean_date": dates.first_of_month(raw), "event_text": F.coalesce("event_text", dates.rest_text(raw))})
+    for said in EMPTY_EVENTS:
+        d = d.where(F.col("event_text") != said)
+    d = d.withColumn("dialogo", relational.lookup(F.col("dialogo"), {k: str(v) for k, v in DIALOGUE.items()}).cast("byte"))
+    d = relational.keep_first(d, ["conflict_uid", "report_number", "event_text"], *map(F.col, ("clean_date", "conflict_text", "conflict_type", "date_init")))
+    return d.withColumns({"clean_conflict_text": text.clean_text(F.col("conflict_text"), stop or []), "clean_event_text": text.clean_text(F.col("event_text"), stop or [])}).select(*MODEL_COLUMNS)
 
 
 def workbook_description(df: DataFrame) -> DataFrame:
@@ -51,7 +59,7 @@ def report_records(df: DataFrame, key: str, body: str, number: Column, departmen
     names = [n for n in RECORD if n not in ("Dpto", "Mes", "NInforme")]
     cols = [F.try_element_at("_f", F.lit(f)).alias(n) for f, n in zip(RECORD_FIELDS, names, strict=True)]
     out = found.select(key, "Dpto", *cols, dates.month_text(dates.report_month(F.col("_n"))).alias("Mes"), F.col("_n").cast("int").alias("NInforme"))
-    return out.withColumn("Tipo", text.conflict_type(F.col("Tipo")))
+    return out.withColumn("Tipo", text.record_type(F.col("Tipo")))
 
 
 def activity_counts(df: DataFrame, key: str, body: str, start: str) -> DataFrame:

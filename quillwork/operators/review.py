@@ -9,17 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import parse_json, parse_plain
+from ..functions.text import format_text
 from ..schemas import LABELS
 
 Provider = Callable[[str, str], str]
-SYSTEM = "You label reports about social conflicts."
-ASK = "Is there dialogue between the parties in this report? Answer HAY_DIALOGO or NO_DIALOGO.\nReport: {text}"
+#: How a case is shown, of its conflict and its event (a fixed format).
+CASE = "[CONFLICTO]\n{conflict}\n\n[EVENTO]\n{event}"
+SYSTEM = "You label events of social conflicts."
+ASK = "Is there dialogue between the parties in this event? Answer HAY_DIALOGO or NO_DIALOGO.\nReport: {text}"
 RUBRIC = "Count as dialogue: meetings, working tables, mediation, signed minutes. Do not count: announcements, demands, protests.\n"
 AS_JSON = 'Answer with one JSON object: {"label": "...", "confidence": 0.0}.\n'
 #: style -> (response format, needs examples, rubric, JSON)
 STYLES = {"zero_shot_simple": ("plain", False, False, False), "zero_shot_rubric": ("plain", False, True, False), "few_shot": ("plain", True, False, False), "structured_json": ("json", False, False, True), "structured_few_shot_rubric": ("json", True, True, True)}
 
 
+def case(conflict: Column, event: Column) -> Column:
+    """STR21: the text of a case from its conflict and event texts; null if either is."""
+    return format_text(CASE, conflict=conflict, event=event)
+
+
 def examples_block(examples: list[tuple[str, str]]) -> str:
     return "".join(f"Example {i + 1}: {text}\nAnswer: {label}\n" for i, (text, label) in enumerate(examples))
 

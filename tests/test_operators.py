@@ -78,6 +78,8 @@ def test_dates(spark):
     given = ["Agosto de 2019", "setiembre 2020. Hubo reunión", "DICIEMBRE de 2018, texto", "En mayo de 2017", "Mayo", "Agosto de 2019. uno\ndos", None]
     assert [d and str(d) for d in values(spark, dates.first_of_month, given)] == ["2019-08-01", "2020-09-01", "2018-12-01", None, None, "2019-08-01", None]
     assert values(spark, dates.rest_text, given) == [None, "Hubo reunión", "texto", None, None, None, None]
+    more = ["Mayo, 2019. Hubo reunión", "Mayo de 2019: texto", "Mayo de, 2019.,x", "Mayo de 2019; y", "Mayo 2019 - z", "Mayo  de\u00a02019 w", "Mayo2019 v"]
+    assert values(spark, dates.rest_text, more) == ["Hubo reunión", ": texto", "x", "; y", "- z", "w", None]
     series = [r.month_text for r in dates.month_series(spark).orderBy("n").collect()]
     assert len(series) == 204 and series[0] == "Enero 2007" and series[-1] == "Diciembre 2023"
 
@@ -85,6 +87,13 @@ def test_dates(spark):
 def test_conflict_types(spark):
     given = ["Por asunto de gobierno local ...", "ASUNTOS DE GOBIERNO LOCAL", "Asuntos de gobiernos regional", "Por asuntos de gobierno nacional", "DEMARCACIÓN TERRITORIAL", "Socioambiental minería", "Comunal", None]
     assert values(spark, text.conflict_type, given) == ["asuntos de gobierno local", "asuntos de gobierno local", "asuntos de gobierno regional", "por asuntos de gobierno nacional", "demarcación territorial", "socioambiental", "comunal", None]
+    given = ["Cultivo ilegal de hoja de coca en X", "Cultivos de coca", "Por demarcación territorial", "Por asunto de gobierno regional", "Por asuntos de gobiernos regional", "Asunto de gobiern regional", "Asunto de gobierno nacional"]
+    assert values(spark, text.conflict_type, given) == ["cultivo ilegal de hoja de coca", "cultivos de coca", "por demarcación territorial", "asuntos de gobierno regional", "por asuntos de gobiernos regional", "asuntos de gobierno regional", "asuntos de gobierno nacional"]
+
+
+def test_record_types(spark):
+    given = ["x Socio ambien tal y", "Comu nal", "Otro", "Labo\nral", "Asunto de gobierno local", "Asuntos de go bierno local\nLaboral.", None]
+    assert values(spark, text.record_type, given) == ["Socioambiental", "Comunal", "Otro", "Labo\nral", "Asunto de gobierno local", "Asunto de gobierno local\nLaboral", None]
 
 
 def test_text_functions(spark):
@@ -153,17 +162,27 @@ def test_report_records(spark):
     body = "intro PIURA Tipo: Socioambiental x Caso: mina Ubicación: u Actores primarios: p Diálogo: HAY Detalle del mes: d1 Ti po: Comunal Caso: c2 Ubicación: u2 Actores primarios: p2 Actores secundarios: s2 Diálogo: NO HAY Detalle del mes: d2 PUNO Tipo: Otro Caso: c3 Ubicación: u3 Actores primarios: p3 Diálogo: NO Detalle del mes: d3"
     df = spark.createDataFrame([(1, 36, body)], "id int, n int, body string")
     got = reports.report_records(df, "id", "body", F.col("n"), ["PIURA", "LIMA", "PUNO"]).orderBy("Dpto", "Caso").collect()
-    assert [(r.Dpto, r.Tipo, r.Caso, r["Actores secundarios"], r["Detalle del mes"], r.Mes, r.NInforme) for r in got] == [("PIURA", "comunal", "c2", "s2", "d2", "Febrero 2007", 36), ("PIURA", "socioambiental", "mina", "", "d1", "Febrero 2007", 36), ("PUNO", "otro", "c3", "", "d3", "Febrero 2007", 36)]
+    assert [(r.Dpto, r.Tipo, r.Caso, r["Actores secundarios"], r["Detalle del mes"], r.Mes, r.NInforme) for r in got] == [("PIURA", "Comunal", "c2", "s2", "d2", "Febrero 2007", 36), ("PIURA", "Socioambiental", "mina", "", "d1", "Febrero 2007", 36), ("PUNO", "Otro", "c3", "", "d3", "Febrero 2007", 36)]
     table = spark.createDataFrame([("r", "x START\nmine water 12 30%\nroad 4 9%")], "k string, body string")
     assert [tuple(r) for r in reports.activity_counts(table, "k", "body", "START").collect()] == [("r", "mine water", "12", "30%"), ("r", "road", "4", "9%")]
 
 
 def test_occurrences(spark):
-    base = {f.name: None for f in schemas.OCCURRENCE.fields} | {"conflict_type": "Socioambiental x", "date_init": "Mayo de 2021. algo", "conflict_text": "La mina", "dialogo": "SI", "conflict_uid": "u1", "state": "activo"}
+    base = {f.name: None for f in schemas.OCCURRENCE.fields} | {"conflict_type": "Socioambiental x", "date_init": " Mayo de 2021. algo ", "conflict_text": "La mina", "dialogo": "HAY DIÁLOGO", "conflict_uid": "u1", "state": "activo"}
     rows = [base | {"event_text": f"e{i % 6}", "report_number": 200} for i in range(7)] + [base | {"conflict_uid": "u2", "event_text": "z", "report_number": 1}] * 2
+    # not counted: other dialogue values; not kept: events that say nothing; kept: null event with text behind the date, null conflict text
+    rows += [base | {"conflict_uid": "u3", "event_text": f"e{i}", "report_number": 2, "dialogo": "SI" if i < 3 else "NO HAY DIÁLOGO"} for i in range(8)]
+    rows += [base | {"conflict_uid": "u4", "event_text": e, "report_number": i, "dialogo": "NO HAY DIÁLOGO", "conflict_text": None} for i, e in enumerate(["se registraron nuevos hechos durante el mes.", "se registraron nuevos hechos durante el mes..", None, "", "a", "b"])]
+    rows.append(base | {"conflict_uid": "u1", "event_text": None, "date_init": "Mayo", "report_number": 9})
     df = spark.createDataFrame([tuple(r[f.name] for f in schemas.OCCURRENCE.fields) for r in rows], schemas.OCCURRENCE)
-    got = reports.clean_occurrences(df, types=["socioambiental"], states=["activo"], stop=["la"]).collect()
-    assert len(got) == 6 and {(r.dialogo, str(r.clean_date), r.clean_conflict_text) for r in got} == {(1, "2021-05-01", "mina")}
+    got = reports.clean_occurrences(df, stop=["la"])
+    assert got.columns == reports.MODEL_COLUMNS
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.conflict_uid, []).append(r)
+    assert by.keys() == {"u1", "u4"} and len(by["u1"]) == 6
+    assert {(r.dialogo, str(r.clean_date), r.clean_conflict_text, r.conflict_type, r.date_init) for r in by["u1"]} == {(1, "2021-05-01", "mina", "socioambiental", "Mayo de 2021. algo")}
+    assert sorted((r.dialogo, r.clean_event_text, r.clean_conflict_text) for r in by["u4"]) == [(0, "", None), (0, "a", None), (0, "algo", None), (0, "b", None)]
 
 
 def test_sentiment(spark):
