@@ -19,6 +19,7 @@ SYSTEM = "You label events of social conflicts."
 ASK = "Is there dialogue between the parties in this event? Answer HAY_DIALOGO or NO_DIALOGO.\nReport: {text}"
 RUBRIC = "Count as dialogue: meetings, working tables, mediation, signed minutes. Do not count: announcements, demands, protests.\n"
 AS_JSON = 'Answer with one JSON object: {"label": "...", "confidence": 0.0}.\n'
+JUDGE = 'Answer with one JSON object: {"label": "...", "winning_side": "A or B", "rationale": "..."}.\n'
 #: style -> (response format, needs examples, rubric, JSON)
 STYLES = {"zero_shot_simple": ("plain", False, False, False), "zero_shot_rubric": ("plain", False, True, False), "few_shot": ("plain", True, False, False), "structured_json": ("json", False, False, True), "structured_few_shot_rubric": ("json", True, True, True)}
 
@@ -84,12 +85,13 @@ def review(df: DataFrame, text: str, truth: str, styles: list[str], examples: li
 
 
 def multi_agent(df: DataFrame, text: str, truth: str, provider: Provider = offline) -> DataFrame:
-    """LLM3: two sides argue, a judge decides; three dependent calls for each row."""
-    side = lambda label: F.concat(F.lit(f"Argue in two sentences that the answer is {label}.\nReport: "), F.col(text))
+    """LLM3: two sides argue over the case in `text`, a judge decides in JSON; three dependent calls for each row."""
+    side = lambda label: F.concat(F.lit(f"Argue in at most four sentences that the answer is {label}, from this report alone.\nReport: "), F.col(text))
     d = df.withColumns({"_s": F.lit(SYSTEM), "_a": side(LABELS[0]), "_b": side(LABELS[1])})
     d = ask(ask(d, provider, "agent_a_argument", "_s", "_a"), provider, "agent_b_argument", "_s", "_b")
-    judge = F.concat(F.lit("Two sides have argued. Decide.\nFirst: "), F.col("agent_a_argument"), F.lit("\nSecond: "), F.col("agent_b_argument"), F.lit("\n" + ASK.split("{text}")[0]), F.col(text))
-    d = ask(d.withColumn("_j", judge), provider, "raw_response_text", "_s", "_j").withColumns({"prompt_style": F.lit("multi_agent"), "response_format": F.lit("plain")})
+    said = [part for label, agent in zip(LABELS, "ab", strict=True) for part in (F.lit(f"For {label}: "), F.col(f"agent_{agent}_argument"), F.lit("\n"))]
+    judge = F.concat(F.lit("Two sides have argued. Decide.\n"), *said, F.lit(JUDGE + ASK.split("{text}")[0]), F.col(text))
+    d = ask(d.withColumn("_j", judge), provider, "raw_response_text", "_s", "_j").withColumns({"prompt_style": F.lit("multi_agent"), "response_format": F.lit("json")})
     return parsed(d).drop("_s", "_a", "_b", "_j").withColumn("is_correct", F.col("normalized_label").eqNullSafe(F.col(truth)))
 
 

@@ -174,10 +174,25 @@ def str5_str6(spark, d):
     return table(spark, d, "benchmark").select("item_id", F.replace(F.regexp_replace("text", "[aeiou]+", "_"), F.lit("_t"), F.lit("T")).alias("t"))
 
 
-@R.query("str22_loose_pattern", "SELECT s_suppkey, true AS hit, false AS miss FROM supplier")
+@R.query("str22_loose_pattern", "SELECT p_partkey, regexp_matches(p_name, 'a ?l ?u') OR contains(p_type, 'TIN') AS hit FROM part")
 def str22(spark, d):
-    line = F.concat(F.lit("Acto res prima rios: "), F.col("s_name"))
-    return table(spark, d, "supplier").select("s_suppkey", line.rlike(text.loose("Actores primarios:")).alias("hit"), line.rlike(text.loose("Tipo:")).alias("miss"))
+    broken = F.concat(F.regexp_replace("p_name", "alu", "a lu"), F.lit("|"), F.regexp_replace("p_type", "TIN", "T I N"))
+    return table(spark, d, "part").select("p_partkey", (broken.rlike(text.loose("alu")) | broken.rlike(text.loose("TIN"))).alias("hit"))
+
+
+_KINDS = ("Socioambiental", "Comunal", "Laboral", "SMAL", "PRO STE", "PROM")
+
+
+def _typed(x: str) -> str:
+    for k in _KINDS:
+        x = f"CASE WHEN ({x}) LIKE '%{'%'.join(k)}%' THEN '{k}' ELSE ({x}) END"
+    return x
+
+
+@R.query("str22_record_type", f"SELECT p_partkey, {_typed('v')} AS t FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'x So cio ambien tal ' || p_name WHEN 1 THEN p_type ELSE 'Co mun l' || p_name END AS v FROM part)")
+def str22_types(spark, d):
+    v = F.expr("CASE p_partkey % 3 WHEN 0 THEN 'x So cio ambien tal ' || p_name WHEN 1 THEN p_type ELSE 'Co mun l' || p_name END")
+    return table(spark, d, "part").select("p_partkey", text.record_type(v, _KINDS).alias("t"))
 
 
 @R.query("dat3_timestamps", "SELECT o_orderkey, strftime(CAST(strftime(o_orderdate, '%Y-%m-%d') AS TIMESTAMP), '%Y-%m-%d') AS d FROM orders")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import basics, evaluation, history, relations, texts
+from . import basics, evaluation, history, relations, stores, texts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (basics, history, relations, texts, evaluation):
+for _module in (basics, history, relations, texts, evaluation, stores):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

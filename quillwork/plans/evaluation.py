@@ -119,12 +119,18 @@ def agg9_corr(spark, d):
 _SYSTEM, _ASK = review.SYSTEM, review.ASK.split("{text}")
 _STYLES = ["zero_shot_simple", "zero_shot_rubric", "structured_json"]
 _HEAD = {"zero_shot_simple": "", "zero_shot_rubric": review.RUBRIC, "structured_json": review.AS_JSON}
-_PROMPT_SQL = " UNION ALL ".join(f"SELECT item_id, '{s}' AS prompt_style, '{'json' if 'json' in s else 'plain'}' AS response_format, '{_SYSTEM}' AS system_prompt, '{_HEAD[s]}{_ASK[0]}' || text AS user_prompt FROM benchmark" for s in _STYLES)
+_CASE = "'[CONFLICTO]\n' || left(text, 40) || '\n\n[EVENTO]\n' || text"
+_PROMPT_SQL = " UNION ALL ".join(f"SELECT item_id, '{s}' AS prompt_style, '{'json' if 'json' in s else 'plain'}' AS response_format, '{_SYSTEM}' AS system_prompt, '{_HEAD[s]}{_ASK[0]}' || {_CASE} AS user_prompt FROM benchmark" for s in _STYLES)
+
+
+def _cases(spark, d):
+    """Cases of a conflict text (the first 40 characters here) and an event text."""
+    return table(spark, d, "benchmark").withColumn("text", review.case(F.left("text", F.lit(40)), F.col("text")))
 
 
 @R.query("str21_prompts", _PROMPT_SQL)
 def str21_prompts(spark, d):
-    return review.prompts(table(spark, d, "benchmark"), "text", _STYLES).drop("text")
+    return review.prompts(_cases(spark, d), "text", _STYLES).drop("text")
 
 
 _ANSWER = "CASE WHEN regexp_matches(lower(text), 'dialog|diálogo|meeting|reunión|mesa|table') THEN 'HAY_DIALOGO' ELSE 'NO_DIALOGO' END"
@@ -132,13 +138,13 @@ _ANSWER = "CASE WHEN regexp_matches(lower(text), 'dialog|diálogo|meeting|reuni
 
 @R.query("llm2_review", f"SELECT item_id, s AS prompt_style, {_ANSWER} AS normalized_label, {_ANSWER} = CASE WHEN item_id % 2 = 0 THEN 'HAY_DIALOGO' ELSE 'NO_DIALOGO' END AS is_correct FROM benchmark CROSS JOIN (VALUES " + ", ".join(f"('{s}')" for s in _STYLES) + ") t(s)")
 def llm2_review(spark, d):
-    df = table(spark, d, "benchmark").withColumn("truth", F.when(F.col("item_id") % 2 == 0, "HAY_DIALOGO").otherwise("NO_DIALOGO"))
+    df = _cases(spark, d).withColumn("truth", F.when(F.col("item_id") % 2 == 0, "HAY_DIALOGO").otherwise("NO_DIALOGO"))
     return review.review(df, "text", "truth", _STYLES).select("item_id", "prompt_style", "normalized_label", "is_correct")
 
 
-@R.query("llm3_multi_agent")
+@R.query("llm3_multi_agent", f"SELECT item_id, {_ANSWER} AS agent_a_argument, {_ANSWER} AS agent_b_argument, {_ANSWER} AS normalized_label, {_ANSWER} = 'NO_DIALOGO' AS is_correct FROM benchmark")
 def llm3_multi_agent(spark, d):
-    df = table(spark, d, "benchmark").withColumn("truth", F.lit("NO_DIALOGO"))
+    df = _cases(spark, d).withColumn("truth", F.lit("NO_DIALOGO"))
     return review.multi_agent(df, "text", "truth").select("item_id", "agent_a_argument", "agent_b_argument", "normalized_label", "is_correct")
 
 

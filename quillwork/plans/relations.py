@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics, relational
 from ..streaming import counts
+from ..storage import scratch
 from .base import Registry, table
 
 R = Registry()
@@ -180,19 +181,22 @@ def lkg1_report(spark, d):
     return relational.split_report(split, "user_id", "y").withColumn("share_pos", F.round("share_pos", 6))
 
 
-@R.query("lkg1_leaked", "SELECT user_id, 0::BIGINT AS n_splits FROM events WHERE false")
+@R.query("lkg1_leaked", "SELECT user_id, count(DISTINCT CASE WHEN md5('42|' || event_id) < 'b' THEN 'train' ELSE 'test' END) AS n_splits FROM events GROUP BY 1 HAVING n_splits > 1")
 def lkg1_leaked(spark, d):
+    """Users whose events a split by event, not by user, puts on both sides."""
+    drawn = table(spark, d, "events").select("user_id", F.when(relational.draw(42, F.col("event_id")) < "b", "train").otherwise("test").alias("split"))
+    return relational.leaked_keys(drawn, "user_id")
+
+
+@R.query("lkg1_none_leaked", f"SELECT user_id, count(DISTINCT split) AS n_splits FROM events JOIN {_GROUPS} USING (user_id) GROUP BY 1 HAVING n_splits > 1")
+def lkg1_none_leaked(spark, d):
     return relational.leaked_keys(relational.group_split(table(spark, d, "events").select("user_id"), "user_id"), "user_id")
 
 
 @R.query("str_stream_counts")
 def str_stream_counts(spark, d):
     """The streaming extension, drained once into a table in the shared folder."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quillwork-")
-    out = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    out = scratch(spark, "stream")
     stream = counts.windowed_counts(counts.read_events(spark, d), ["purchase", "view"])
     stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("start timestamp, event_type string, n long, value double").parquet(f"{out}/rows").withColumn("start", F.date_format("start", "yyyy-MM-dd"))

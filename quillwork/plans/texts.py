@@ -68,16 +68,61 @@ def str14_spaced_number(spark, d):
     return table(spark, d, "part").select("p_partkey", text.spaced_number(F.concat(F.lit("Report7 no "), F.col("p_size").cast("string"), F.lit(" of 9"))).alias("n"))
 
 
-_TYPES = {"purchase": "Por asunto de gobierno local x", "view": "DEMARCACIÓN TERRITORIAL", "signup": "Asuntos de gobiernos regional", "error": "Por asuntos de gobierno nacional", "click": "Comunal"}
-_CANON = {"purchase": "asuntos de gobierno local", "view": "demarcación territorial", "signup": "asuntos de gobierno regional", "error": "por asuntos de gobierno nacional", "click": "comunal"}
+#: Raw conflict types that reach every branch, and their canonical forms by the reports' rules; an event takes one by its number.
+_TYPES = [
+    ("Por asunto de gobierno local x", "asuntos de gobierno local"), ("ASUNTOS DE GOBIERNO LOCAL", "asuntos de gobierno local"), ("Asunto de gobierno local", "asuntos de gobierno local"),
+    ("Por asuntos de gobierno regional", "asuntos de gobierno regional"), ("Asuntos de gobiernos regional", "asuntos de gobierno regional"), ("asunto de gobiern regional y", "asuntos de gobierno regional"),
+    ("Por asuntos de gobiernos regional", "por asuntos de gobiernos regional"), ("Asunto de gobierno nacional", "asuntos de gobierno nacional"), ("Por asuntos de gobierno nacional", "por asuntos de gobierno nacional"),
+    ("Cultivo ilegal de hoja de coca en X", "cultivo ilegal de hoja de coca"), ("Cultivos de coca", "cultivos de coca"), ("DEMARCACIÓN TERRITORIAL", "demarcación territorial"),
+    ("Por demarcación territorial", "por demarcación territorial"), ("Socioambiental minería", "socioambiental"), ("Comunal", "comunal"), (" Socioambiental", " socioambiental"),
+]
 
 
-@R.query("str16_canon_type", "SELECT event_id, CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _CANON.items()) + " END AS t FROM events")
+def _choice(key, values, alias):
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + f" END AS {alias}"
+
+
+_text = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+@R.query("str16_canon_type", f"SELECT event_id, {_choice('event_id', [_text(v) for _, v in _TYPES], 't')} FROM events")
 def str16_canon_type(spark, d):
-    raw = F.create_map(*[F.lit(x) for pair in _TYPES.items() for x in pair])[F.col("event_type")]
+    raw = F.array(*[F.lit(k) for k, _ in _TYPES])[(F.col("event_id") % len(_TYPES)).cast("int")]
     return table(spark, d, "events").select("event_id", text.conflict_type(raw).alias("t"))
 
 
+#: Dates with text behind them, and that text.
+_RESTS = [("Mayo, 2019. Hubo reunión", "Hubo reunión"), ("Mayo de 2019: texto", ": texto"), ("setiembre de, 2020.,x", "x"), ("ENERO 2001 - z", "- z"), ("Enero de 2001", None), ("En mayo de 2017 y", None), ("Mayo2019 v", None), ("Mayo de 19 w", None)]
+
+
+@R.query("dat2_rest_text", f"SELECT event_id, {_choice('event_id', [_text(v) for _, v in _RESTS], 'rest')} FROM events")
+def dat2_rest_text(spark, d):
+    raw = F.array(*[F.lit(k) for k, _ in _RESTS])[(F.col("event_id") % len(_RESTS)).cast("int")]
+    return table(spark, d, "events").select("event_id", dates.rest_text(raw).alias("rest"))
+
+
+@R.query("rpt1_clean_occurrences", """
+WITH o AS (SELECT 'u' || user_id AS conflict_uid, (event_id % 4)::INT AS report_number, CASE WHEN event_id % 9 = 0 THEN 'SI' WHEN user_id % 2 = 0 THEN 'HAY DIÁLOGO' ELSE 'NO HAY DIÁLOGO' END AS said, event_type, event_id % 5 AS kind FROM events),
+h AS (SELECT *, count(*) OVER (PARTITION BY conflict_uid) AS n FROM o WHERE said <> 'SI')
+SELECT DISTINCT CASE WHEN said = 'HAY DIÁLOGO' THEN 1 ELSE 0 END AS dialogo, conflict_uid, report_number, 'socioambiental' AS conflict_type, '2019-05-01' AS clean_date, 'mina ' || conflict_uid AS clean_conflict_text,
+  CASE WHEN kind = 1 THEN 'hubo ' || event_type WHEN kind = 2 THEN event_type ELSE '' END AS clean_event_text FROM h WHERE n > 5 AND kind IN (1, 2, 4)""")
+def rpt1_clean_occurrences(spark, d):
+    """Events as parsed occurrences: a fifth says nothing, a fifth has its event behind the date, a fifth has none."""
+    from ..operators import reports
+    from ..schemas import OCCURRENCE
+
+    kind = F.col("event_id") % 5
+    given = {
+        "conflict_type": F.lit("Socioambiental z"), "conflict_text": F.concat(F.lit("la mina u"), F.col("user_id").cast("string")), "conflict_uid": F.concat(F.lit("u"), F.col("user_id").cast("string")),
+        "date_init": F.when(kind == 1, F.concat(F.lit(" Mayo de 2019. Hubo "), "event_type")).otherwise(F.lit("mayo, 2019")), "report_number": (F.col("event_id") % 4).cast("int"),
+        "event_text": F.when(kind == 0, "se registraron nuevos hechos durante el mes..").when(kind == 2, F.col("event_type")).when(kind == 4, ""),
+        "dialogo": F.when(F.col("event_id") % 9 == 0, "SI").when(F.col("user_id") % 2 == 0, "HAY DIÁLOGO").otherwise("NO HAY DIÁLOGO"),
+    }
+    rows = table(spark, d, "events").select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in OCCURRENCE.fields])
+    names = ["dialogo", "conflict_uid", "report_number", "conflict_type", "clean_date", "clean_conflict_text", "clean_event_text"]
+    return reports.clean_occurrences(rows, stop=["la"]).select(*names).withColumns({"clean_date": F.date_format("clean_date", "yyyy-MM-dd"), "dialogo": F.col("dialogo").cast("int")})
+
+
 _TOKENS = "list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+|[^\\s\\p{L}\\p{N}]'), lambda t: NOT list_contains(" + _LIST(STOP) + ", t))"
 
 
@@ -126,9 +171,9 @@ def jon7_report_month(spark, d):
     return table(spark, d, "part").select("p_partkey", F.date_format(dates.report_month((F.col("p_partkey") % 200 + 35).cast("int")), "yyyy-MM-dd").alias("d"))
 
 
-@R.query("agg7_term_freq", f"SELECT term, count(*) AS n FROM (SELECT unnest({_CLEAN}) AS term FROM documents WHERE lang = 'en') GROUP BY 1")
+@R.query("agg7_term_freq", f"SELECT term, count(*) AS n FROM (SELECT unnest({_CLEAN}) AS term FROM documents) GROUP BY 1")
 def agg7_term_freq(spark, d):
-    return sentiment.term_counts(table(spark, d, "documents").where("lang = 'en'"), text.clean_tokens(F.col("text"), STOP))
+    return sentiment.term_counts(table(spark, d, "documents"), text.clean_tokens(F.col("text"), STOP))
 
 
 _ALL = "list_transform(list_filter(string_split_regex(translate(text, '\",.:;''()', ''), '\\s+'), lambda x: x <> ''), lambda x: lower(x))"
@@ -153,13 +198,31 @@ def jon3_lexicon(spark, d):
     return _rounded(sentiment.proportions_by_join(table(spark, d, "documents"), "doc_id", text.clean_tokens(F.col("text"), []), lexicon))
 
 
+def _plain(x):
+    """SQL that resolves the character references that these pages hold."""
+    return f"replace(replace(replace(replace(replace({x}, '&quot;', chr(34)), '&lt;', '<'), '&gt;', '>'), '&#x27;', chr(39)), '&amp;', '&')"
+
+
+@R.query("src7_section_span", """
+WITH p AS (SELECT conv_id, turn, role || ': ' || text || ' end' AS t FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS r FROM conversations) WHERE r = 1),
+f AS (SELECT conv_id, min(turn) FILTER (contains(t, 'user')) AS a, min(turn) FILTER (contains(t, 'assistant')) AS b FROM p GROUP BY 1),
+j AS (SELECT f.conv_id, string_agg(t, '' ORDER BY turn) AS t FROM f JOIN p ON p.conv_id = f.conv_id AND turn BETWEEN a AND b GROUP BY 1)
+SELECT CAST(f.conv_id AS VARCHAR) AS path, nullif(regexp_extract(t, '(?s)user(.*?)assistant', 1), '') AS text FROM f LEFT JOIN j USING (conv_id)""")
+def src7_section_span(spark, d):
+    pages = table(spark, d, "conversations").groupBy(F.col("conv_id").cast("string").alias("path"), F.col("turn").alias("page")).agg(F.min_by(F.concat(F.regexp_replace("role", "^(us|assis)", "$1 "), F.lit(": "), "text", F.lit(" end")), "text").alias("text"))
+    return readers.section_span(pages, "user", "assistant")
+
+
 @R.query("sen1_polarity")
 def sen1_polarity(spark, d):
     scored = sentiment.polarity(table(spark, d, "benchmark"), "text", {"the": 1.5, "of": -2.0, "in": 0.5})
     return scored.select("item_id", *[F.round(c, 6).alias(c) for c in ("pos", "neg", "neu", "compound")])
 
 
-@R.query("src10_links")
+@R.query("src10_links", f"""
+WITH a AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '(?s)<a\\s[^>]*>.*?</a>')) AS x FROM pages),
+t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_extract(x, '(?s)<a\\s[^>]*>(.*)</a>', 1), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g') AS title, regexp_extract(x, 'href="([^"]*)"', 1) AS href FROM a)
+SELECT page_id, {_plain("trim(title)")} AS title, {_plain("href")} AS href FROM t""")
 def src10_links(spark, d):
     return table(spark, d, "pages").select("page_id", F.inline(readers.links(F.col("html"))))
 

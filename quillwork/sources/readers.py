@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import after, strip
+from ..functions.text import after, loose, section, strip
 from ..schemas import MEDIA
 
 
@@ -75,8 +75,24 @@ def sheet_rows(data: bytes) -> list[list[str | None]]:
         return rows
 
 
+def workbook(rows: list[list[str | None]]) -> bytes:
+    """An .xlsx file of one sheet of text cells."""
+    from xml.sax.saxutils import escape
+
+    cells = "".join("<row>" + "".join(f'<c r="{chr(65 + j)}{i}" t="inlineStr"><is><t>{escape(v)}</t></is></c>' for j, v in enumerate(row) if v is not None) + "</row>" for i, row in enumerate(rows, 1))
+    out = BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{_NS["m"]}"><sheetData>{cells}</sheetData></worksheet>')
+    return out.getvalue()
+
+
 def read_workbooks(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """SRC1: the first sheet of each workbook under path (one task a workbook), its header row left out, columns by position as declared."""
+    return parse_workbooks(spark.read.format("binaryFile").load(path), schema)
+
+
+def parse_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """SRC1 on workbooks that are there as a column `content`."""
     names = [f.name for f in schema.fields]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +100,7 @@ def read_workbooks(spark: SparkSession, path: str, schema: T.StructType) -> Data
             rows = [(r + [None] * len(names))[: len(names)] for data in pdf["content"] for r in sheet_rows(data)[1:]]
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    text = spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    text = files.select("content").mapInPandas(parse, T.StructType([T.StructField(n, T.StringType()) for n in names]))
     # dates are stored as days since 1899-12-30
     as_date = lambda n: F.date_add(F.lit("1899-12-30").cast("date"), F.col(n).try_cast("double").cast("int"))
     return text.select(*[(F.when(F.col(f.name).rlike(r"^\d+(\.\d+)?$"), as_date(f.name)).otherwise(F.col(f.name).try_cast("date")) if isinstance(f.dataType, T.DateType) else F.col(f.name).try_cast(f.dataType)).alias(f.name) for f in schema.fields])
@@ -109,6 +125,24 @@ def whole_text(pages: DataFrame) -> DataFrame:
     return pages.groupBy("path").agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "\n").alias("text"))
 
 
+def section_span(pages: DataFrame, start: str, end: str) -> DataFrame:
+    """SRC7, STR24: path and the shortest text between two markers, which white space may break, looked for on the pages from the first that holds
+    the one to the first that holds the other; null where a marker is missing or the second page comes first."""
+    first = lambda marker: F.min(F.when(F.col("text").rlike(loose(marker)), F.col("page")))
+    range_ = pages.groupBy("path").agg(first(start).alias("_from"), first(end).alias("_to"))
+    inside = pages.join(range_, "path").where(F.col("page").between(F.col("_from"), F.col("_to")))
+    joined = inside.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda p: p["text"]), "").alias("_t"))
+    return range_.select("path").join(joined, "path", "left").select("path", section(F.col("_t"), start, end).alias("text"))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def pdf_pages(content: pd.Series) -> pd.Series:
+    """SRC6, SRC7: the page texts of PDF files by pypdf, where it is installed; any other extractor of that type does as well."""
+    from pypdf import PdfReader
+
+    return content.map(lambda data: [page.extract_text() for page in PdfReader(BytesIO(data)).pages])
+
+
 # --- HTML (SRC9-SRC13): pages are a column; fetching is outside the engine
 class _Links(HTMLParser):
     def __init__(self) -> None:
@@ -204,8 +238,13 @@ def report_links(pages: DataFrame, key: str, html: str, word: str) -> DataFrame:
 
 def crawl_grid(spark: SparkSession, terms: list[str], pages: int, inclusive: bool = True) -> DataFrame:
     """SRC11, SRC12: (term, page) to fetch."""
+    return grid(spark.createDataFrame([(t,) for t in terms], "term string"), pages, inclusive)
+
+
+def grid(terms: DataFrame, pages: int, inclusive: bool = True) -> DataFrame:
+    """SRC11, SRC12 on a table of terms."""
     last = pages if inclusive else pages - 1
-    return spark.createDataFrame([(t,) for t in terms], "term string").select("term", F.explode(F.sequence(F.lit(1), F.lit(last))).alias("page"))
+    return terms.select("term", F.explode(F.sequence(F.lit(1), F.lit(last))).alias("page"))
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -214,5 +253,5 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """SNK2, SNK3: with a header; as many files as partitions."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """SNK2, SNK3: with a header; as many files as partitions; white space around values stays."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

@@ -191,6 +191,15 @@ def test_sentiment(spark):
     lexicon = spark.createDataFrame([("good", 1), ("bad", -1), ("good", -1)], "word string, polarity int")
     for got in (sentiment.proportions(df, "id", tokens, ["good"], ["bad", "good"]), sentiment.proportions_by_join(df, "id", tokens, lexicon)):
         assert {r.id: (r.positive, r.negative, r.neutral) for r in got.collect()} == {1: (0.5, 0.25, 0.25), 2: (None, None, None)}
+    # examples that the rules' authors publish, with their lexicon's values
+    valence = {"smart": 1.7, "handsome": 2.2, "funny": 1.9, "good": 1.9, "sux": -1.5, "horrible": -2.5, "great": 3.1, "uncompelling": -0.9, "kind": 2.4}
+    known = {
+        "VADER is smart, handsome, and funny.": 0.8316, "VADER is smart, handsome, and funny!": 0.8439, "VADER is very smart, handsome, and funny.": 0.8545, "VADER is VERY SMART, handsome, and FUNNY.": 0.9227,
+        "VADER is VERY SMART, handsome, and FUNNY!!!": 0.9342, "VADER is not smart, handsome, nor funny.": -0.7424, "The book was good.": 0.4404, "The book was kind of good.": 0.3832, "Today SUX!": -0.5461,
+        "At least it isn't a horrible book.": 0.431, "The plot was good, but the characters are uncompelling and the dialog is not great.": -0.7042, "": 0.0,
+    }
+    rated = sentiment.polarity(spark.createDataFrame([(t,) for t in known], "t string"), "t", valence).collect()
+    assert {r.t: round(r.compound, 4) for r in rated} == known and all(abs(r.pos + r.neg + r.neu - 1) < 1e-9 for r in rated if r.t)
     scored = sentiment.polarity(spark.createDataFrame([("it is good",), ("not good",), (None,)], "t string"), "t", {"good": 2.0}).collect()
     assert scored[0].compound > 0 > scored[1].compound and scored[2].compound == 0
 
