@@ -52,8 +52,8 @@ def flt7(spark, d):
 
 @R.query("flt9_group_transform", "SELECT o_orderkey, n FROM (SELECT o_orderkey, count(o_custkey) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE n > 10")
 def flt9_agg4_win1(spark, d):
-    df = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return df.withColumn("n", F.count("o_custkey").over(Window.partitionBy("o_custkey"))).where("n > 10").select("o_orderkey", "n")
+    df = table(spark, d, "orders").select("o_orderkey", "o_custkey").where("o_custkey is not null")
+    return relational.min_history(df, "o_custkey", 10).select("o_orderkey", F.col("n_key").alias("n"))
 
 
 @R.query("flt12_range", "SELECT p_partkey FROM part WHERE p_partkey > 126")

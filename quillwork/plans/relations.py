@@ -193,13 +193,15 @@ def lkg1_none_leaked(spark, d):
     return relational.leaked_keys(relational.group_split(table(spark, d, "events").select("user_id"), "user_id"), "user_id")
 
 
-@R.query("str_stream_counts")
+@R.query("str_stream_counts", """
+WITH e AS (SELECT * FROM events WHERE event_type IN ('purchase', 'view')), m AS (SELECT max(ts) - INTERVAL 2 DAY AS mark FROM e)
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS start, event_type, count(*) AS n, round(sum(value), 3) AS value FROM e, m GROUP BY date_trunc('day', ts), event_type, mark HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= mark""")
 def str_stream_counts(spark, d):
     """The streaming extension, drained once into a table in the shared folder."""
     out = scratch(spark, "stream")
     stream = counts.windowed_counts(counts.read_events(spark, d), ["purchase", "view"])
     stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("start timestamp, event_type string, n long, value double").parquet(f"{out}/rows").withColumn("start", F.date_format("start", "yyyy-MM-dd"))
+    return spark.read.schema("start timestamp, event_type string, n long, value double").parquet(f"{out}/rows").withColumns({"start": F.date_format("start", "yyyy-MM-dd"), "value": F.round("value", 3)})
 
 
 QUERIES, ORACLES = R.queries, R.oracles

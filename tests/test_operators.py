@@ -239,3 +239,12 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("select sum(n) from seen").first()[0] == 6
+
+
+def test_classifier_on_held_out_rows(spark):
+    words = {"a": ["mesa", "acuerdo", "reunión"], "b": ["paro", "bloqueo", "protesta"]}
+    rows = [(i, f"caso {i % 13} {words[y][i % 3]} {words[y][i % 2]} zona {i % 7}", y) for i in range(200) for y in ("a" if i % 3 else "b",)]
+    df = spark.createDataFrame(rows, "id int, t string, y string")
+    model = review.train_classifier(df.where("id < 140"), "t", "y")
+    got = model.transform(df.where("id >= 140")).collect()
+    assert sum(r.prediction == (r.y == "b") for r in got) == len(got) == 60
