@@ -1,16 +1,16 @@
-"""What several operators share: scratch storage, word caches, hashes of words and shingles, model transport."""
+"""What several operators share: word caches, hashes of words and shingles, model transport, and scratch storage (of the library)."""
 
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import free_name, materialise, ordered_positions, scratch, shared_dir  # noqa: F401  (shared with the other operators)
+
 #: Words of a text: runs of anything but the six ASCII white-space characters. bytes.split() splits exactly there.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -18,30 +18,6 @@ LOWER_BYTES = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset (tests, local runs) a new one is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        found = "file://" + tempfile.mkdtemp(prefix="quillwork-")
-        spark.sparkContext.setCheckpointDir(found)
-        return found
-    return found
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/quillwork/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it again, which cuts its lineage; survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a shuffle of small rows."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -159,6 +135,12 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (by sorting, which is several times as fast here as numpy's own way by hashing)."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def pack(array: np.ndarray) -> bytes:
     return zlib.compress(array.tobytes(), 1)
 
@@ -197,20 +179,3 @@ def as_bytes(column) -> list[bytes | None]:
 
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist()
-
-
-def ordered_positions(df: DataFrame, *keys, name: str = "ordered") -> DataFrame:
-    """Adds `position`, from 0 in the order of keys (nulls first), without gathering the rows: a range sort is written once,
-    then the counts of its partitions (one small row each) become prefix sums. Rows with equal keys get some order of their own."""
-    tagged = materialise(df.orderBy(*keys).withColumn("_at", F.monotonically_increasing_id()), name)
-    part = F.shiftright("_at", 33)
-    counts = tagged.groupBy(part.alias("_part")).count().orderBy("_part").collect()  # one row per partition
-    starts, total = [], 0
-    for row in counts:
-        starts.append((row["_part"], total))
-        total += row["count"]
-    if not starts:
-        return tagged.withColumn("position", F.lit(0).cast("long")).drop("_at")
-    bases = F.create_map(*[F.lit(x) for pair in starts for x in pair])
-    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return tagged.withColumn("position", bases[part] + inside).drop("_at")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, hashed_words, release_memory
+from .common import as_bytes, distinct, hashed_words, release_memory
 from .tokens import END_ID, crc_u32, default_tokenizer, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -61,7 +61,7 @@ def corpus_statistics(docs: DataFrame, settings: Settings = Settings()) -> Corpu
             for text in as_bytes(batch.column("text")):
                 terms = _terms(text, settings.bits)
                 n, total = n + 1, total + len(terms)
-                df[np.unique(terms)] += 1
+                df[distinct(terms)] += 1
         used = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1, -2], used]), pa.int32()), pa.array(np.concatenate([[n, total], df[used]]), pa.int64())], names=["term", "n"])
 
