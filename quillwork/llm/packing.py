@@ -1,15 +1,17 @@
 """Operator 6: lexical retrieval packing.
 
-Documents are packed shard by shard (runs of the input of bounded size, each inside one task), so texts are never shuffled. A shard has a BM25
-inverted index over its words; document frequencies and the mean length come from all documents, by one pass before. A seed document opens a window;
-the index returns unused neighbours of the seed, best first, which fill the window; what is cut off the last one opens the next window as its seed.
-A window that finds no more neighbours takes the next unused documents in order. The open window goes on into the task's next shard; the last one is
-cut into runs whose lengths are powers of two. So no sequence needs padding.
+Documents are dealt to shards by content: each goes by its heaviest term (largest tf * idf among terms that another document has), documents of one
+term lie side by side, and a term that very many documents have is salted. A shard is a run of such documents of bounded size, inside one task, with
+a BM25 inverted index over its words; document frequencies and the mean length come from all documents, by one pass before. A seed document opens a
+window; the index scores its unused neighbours by all words of the seed and returns them best first, which fill the window; what is cut off the last
+one opens the next window as its seed. A window that finds no more neighbours takes the next unused documents in order. The open window goes on into
+the task's next shard; the last one is cut into runs whose lengths are powers of two. So no sequence needs padding.
 
-Words are hashed to `1 << bits` terms, which bounds what the driver gathers and each task holds.
+Within a shard words are told apart by 64-bit hashes. Their document frequencies are kept for hashed buckets, whose number grows with the number of
+documents from 2 ** 18 to 2 ** 22, which bounds what the driver gathers and each task holds; a bucket's words share the frequency of all of them.
 
 Edge cases: null and empty texts are the end id alone; repeated rows are packed as often as they come; a document longer than the window runs over
-several; an empty table gives no rows; other columns are ignored."""
+several; texts without white space are one word and bounded by their bytes; an empty table gives no rows; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, distinct, hashed_words, release_memory
+from .common import as_bytes, distinct, hashed_words, mix64, release_memory
 from .tokens import END_ID, crc_u32, default_tokenizer, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -31,75 +33,127 @@ _NAMES = [x.split()[0] for x in PIECES.split(", ")]
 @dataclass(frozen=True)
 class Settings:
     window: int = 4096
-    bits: int = 18
+    least_bits: int = 18
+    most_bits: int = 22
     shard_docs: int = 2048
     shard_words: int = 600_000
-    terms: int = 24  # of a seed, the heaviest
+    shard_bytes: int = 8_000_000
     k1: float = 1.2
     b: float = 0.75
 
 
 @dataclass
 class Corpus:
-    """What BM25 knows of all documents."""
+    """What BM25 knows of all documents. frequency: by bucket, the upper bits of a word's hash."""
 
     docs: int
     mean: float
     frequency: np.ndarray
 
+    def df(self, hashes: np.ndarray) -> np.ndarray:
+        bits = len(self.frequency).bit_length() - 1
+        return self.frequency[(hashes >> np.uint64(64 - bits)).astype(np.int64)]
 
-def _terms(text: bytes | None, bits: int) -> np.ndarray:
-    return (hashed_words(text or b"")[0] >> np.uint64(64 - bits)).astype(np.int32)
+    def idf(self, hashes: np.ndarray) -> np.ndarray:
+        df = self.df(hashes)
+        return np.log1p((self.docs - df + 0.5) / (df + 0.5))
+
+
+def hashed_texts(texts: list[bytes | None], size: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Many texts at once: the place of the first, hashes of words, and where each text's begin (one more at the end)."""
+    first, group, held = 0, [], 0
+    for i, text in enumerate(texts):
+        group.append(text or b"")
+        held += len(group[-1])
+        if held >= size or i + 1 == len(texts):
+            h, at = hashed_words(b"\n".join(group))
+            begin = np.cumsum([0] + [len(t) + 1 for t in group])
+            yield first, h, np.searchsorted(at, begin)
+            first, group, held = i + 1, [], 0
 
 
 def corpus_statistics(docs: DataFrame, settings: Settings = Settings()) -> Corpus:
-    """Document frequencies of hashed terms, counted over all documents."""
+    """Document frequencies of hashed words, counted over all documents."""
+    rows = docs.count()
+    bits = min(settings.most_bits, max(settings.least_bits, (2 * rows).bit_length()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n, total = np.zeros(1 << settings.bits, np.int64), 0, 0
+        df, n, total = np.zeros(1 << bits, np.int64), 0, 0
         for batch in batches:
-            for text in as_bytes(batch.column("text")):
-                terms = _terms(text, settings.bits)
-                n, total = n + 1, total + len(terms)
-                df[distinct(terms)] += 1
+            for _, h, cuts in hashed_texts(as_bytes(batch.column("text"))):
+                n, total = n + len(cuts) - 1, total + len(h)
+                owner = np.repeat(np.arange(len(cuts) - 1, dtype=np.uint64), np.diff(cuts))
+                each = distinct(owner << np.uint64(bits) | h >> np.uint64(64 - bits))
+                df += np.bincount((each & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
         used = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1, -2], used]), pa.int32()), pa.array(np.concatenate([[n, total], df[used]]), pa.int64())], names=["term", "n"])
 
-    got = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # at most one row per term
+    got = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # at most one row per bucket
     terms, n = got.column("term").to_numpy(), got.column("n").to_numpy()
-    frequency = np.zeros(1 << settings.bits, np.int32)
+    frequency = np.zeros(1 << bits, np.int32)
     frequency[terms[terms >= 0]] = np.minimum(n[terms >= 0], 2**31 - 1)
     count_of = {int(t): int(v) for t, v in zip(terms[terms < 0], n[terms < 0], strict=True)}
     return Corpus(count_of.get(-1, 0), count_of.get(-2, 0) / max(1, count_of.get(-1, 0)), frequency)
 
 
-class Shard:
-    """The inverted index of some documents, each given by its terms."""
+def dealt(docs: DataFrame, corpus: Corpus, settings: Settings) -> DataFrame:
+    """doc_id, text and key: the heaviest term, salted so that no key has many more documents than a few shards."""
 
-    def __init__(self, terms: list[np.ndarray], corpus: Corpus, settings: Settings):
-        self.n, self.settings = len(terms), settings
-        lengths = np.fromiter(map(len, terms), np.int64, self.n)
-        keys, tf = np.unique(np.concatenate(terms).astype(np.int64) * self.n + np.repeat(np.arange(self.n), lengths), return_counts=True) if lengths.sum() else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        term, doc = keys // self.n, keys % self.n
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = 0
+        for batch in batches:
+            keys = []
+            for _, h, cuts in hashed_texts(as_bytes(batch.column("text"))):
+                n = len(cuts) - 1
+                owner = np.repeat(np.arange(n), np.diff(cuts))
+                order = np.lexsort((h, owner))
+                h, owner = h[order], owner[order]
+                edge = np.flatnonzero((np.diff(h, prepend=~h[:1]) != 0) | (np.diff(owner, prepend=-1) != 0))
+                tf = np.diff(edge, append=len(h))
+                h, owner = h[edge], owner[edge]
+                df = corpus.df(h)
+                weight = np.where(df > 1, tf / (tf + settings.k1) * corpus.idf(h), 0)
+                # the last of each document in the order of weight
+                best = np.lexsort((h, weight, owner))
+                last = best[np.flatnonzero(np.diff(owner[best], append=-1))] if len(best) else best
+                key, many = np.zeros(n, np.uint64), np.full(n, corpus.docs)
+                key[owner[last]], many[owner[last]] = h[last], df[last]
+                salt = (np.arange(row, row + n) % (many // (4 * settings.shard_docs) + 1)).astype(np.uint64)
+                keys.append(mix64(key + salt * np.uint64(0x9E3779B97F4A7C15)))
+                row += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64())], names=["doc_id", "text", "key"])
+
+    text = docs.schema["text"].dataType.simpleString()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(deal, f"doc_id long, text {text}, key long")
+
+
+class Shard:
+    """The inverted index of some documents, each given by the hashes of its words."""
+
+    def __init__(self, words: list[np.ndarray], corpus: Corpus, settings: Settings):
+        self.n = len(words)
+        lengths = np.fromiter(map(len, words), np.int64, self.n)
+        h = np.concatenate(words) if words else np.zeros(0, np.uint64)
+        vocabulary = distinct(h)
+        pair = np.sort(np.searchsorted(vocabulary, h) * self.n + np.repeat(np.arange(self.n), lengths))
+        edge = np.flatnonzero(np.diff(pair, prepend=-1))
+        tf, pair = np.diff(edge, append=len(pair)), pair[edge]
+        term, doc = pair // max(1, self.n), pair % max(1, self.n)
         edge = np.flatnonzero(np.diff(term, prepend=-1))
-        size = np.diff(np.append(edge, len(term)))
-        shared = np.repeat(size > 1, size)  # a term of one document finds no neighbour
+        size = np.diff(edge, append=len(term))
+        shared = np.repeat(size > 1, size)  # a word of one document finds no neighbour
         size = size[size > 1]
         term, self.doc, tf = term[shared], doc[shared], tf[shared]
-        self.first = np.cumsum(size) - size
-        self.size = size
-        df = corpus.frequency[term]
-        idf = np.log1p((corpus.docs - df + 0.5) / (df + 0.5))
+        self.first, self.size = np.cumsum(size) - size, size
         norm = settings.k1 * (1 - settings.b + settings.b * lengths[self.doc] / max(corpus.mean, 1e-9))
-        self.weight = idf * tf * (settings.k1 + 1) / (tf + norm)
-        place = np.repeat(np.arange(len(size)), size)
-        order = np.lexsort((-self.weight, self.doc))
-        self.of_doc = place[order]
+        self.weight = corpus.idf(vocabulary)[term] * tf * (settings.k1 + 1) / (tf + norm)
+        order = np.argsort(self.doc, kind="stable")
+        self.of_doc = np.repeat(np.arange(len(size)), size)[order]
         self.starts = np.searchsorted(self.doc[order], np.arange(self.n + 1))
 
     def neighbours(self, doc: int) -> np.ndarray:
-        """Documents of the shard by falling BM25 score for the heaviest terms of doc; those without a common term are left out."""
-        mine = self.of_doc[self.starts[doc] : min(self.starts[doc + 1], self.starts[doc] + self.settings.terms)]
+        """Documents of the shard by falling BM25 score for the words of doc; those without a common word are left out."""
+        mine = self.of_doc[self.starts[doc] : self.starts[doc + 1]]
         if not len(mine):
             return mine
         size = self.size[mine]
@@ -136,7 +190,7 @@ class Packer:
         return start + take
 
     def shard(self, docs: list[tuple]) -> None:
-        """docs: (doc_id, ids, terms)."""
+        """docs: (doc_id, ids, hashes of words)."""
         index = Shard([d[2] for d in docs], self.corpus, self.settings)
         used, at = np.zeros(len(docs), bool), 0
         ranked: Iterator[int] = iter(())
@@ -187,7 +241,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, se
         enc = encoder(tokenizer)
         packer = Packer(corpus, settings, TaskContext.get().partitionId() << 40)
         waiting: list[tuple] = []
-        words_waiting = 0
+        words_waiting = bytes_waiting = 0
 
         def rows() -> pa.RecordBatch:
             columns = list(zip(*packer.out, strict=True)) or [[]] * len(_NAMES)
@@ -195,14 +249,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, se
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_NAMES)
 
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            for doc_id, text, ids in zip(batch.column("doc_id").to_pylist(), texts, enc.batch(texts, end_id), strict=True):
-                waiting.append((doc_id, np.frombuffer(ids, enc.dtype), _terms(text, settings.bits)))
-                words_waiting += len(waiting[-1][2])
-                if len(waiting) >= settings.shard_docs or words_waiting >= settings.shard_words:
-                    packer.shard(waiting)
-                    waiting, words_waiting = [], 0
-                    yield rows()
+            texts, ids_ = as_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
+            encoded = enc.batch(texts, end_id)
+            for first, h, cuts in hashed_texts(texts):
+                for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True), first):
+                    waiting.append((ids_[i], np.frombuffer(next(encoded), enc.dtype), h[a:b]))
+                    words_waiting += b - a
+                    bytes_waiting += len(texts[i] or b"")
+                    if len(waiting) >= settings.shard_docs or words_waiting >= settings.shard_words or bytes_waiting >= settings.shard_bytes:
+                        packer.shard(waiting)
+                        waiting, words_waiting, bytes_waiting = [], 0, 0
+                        yield rows()
         if waiting:
             packer.shard(waiting)
         packer.flush()
@@ -210,4 +267,5 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, se
         del packer, waiting
         release_memory()
 
-    return docs.select("doc_id", "text").mapInArrow(fill, PIECES)
+    # equal keys side by side, in an order that a rerun repeats
+    return dealt(docs, corpus, settings).repartition(F.xxhash64("key")).sortWithinPartitions("key", "doc_id").select("doc_id", "text").mapInArrow(fill, PIECES)

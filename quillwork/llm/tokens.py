@@ -8,7 +8,6 @@ chunk is what lies between white space. A test compares both with encoding whole
 
 from __future__ import annotations
 
-import re
 import string
 import zlib
 from collections.abc import Iterator
@@ -20,12 +19,65 @@ from .common import LOWER_BYTES, WHITE, hashed_runs
 END_ID = 2
 MARKS = string.punctuation.encode()
 #: What sends a text the slower way: bytes outside ASCII and the letters of Latin-1, an apostrophe before a letter, the start of a special token.
-OTHER = re.compile(rb"[\xc2\xc4-\xff]|\xc3[\x97\xb7]|'[A-Za-z\xc3]|<\|")
+#: By first byte: 1 always; 2 to 4 if the second byte is one of its row.
+_FIRST = np.zeros(256, np.uint8)
+_FIRST[0xC2:] = 1
+_FIRST[[0xC3, ord("'"), ord("<")]] = (2, 3, 4)
+_SECOND = np.zeros((5, 256), bool)
+_SECOND[1] = True
+_SECOND[2, [0x97, 0xB7]] = True
+_SECOND[3, list(string.ascii_letters.encode()) + [0xC3]] = True
+_SECOND[4, ord("|")] = True
 _KIND = np.full(256, 2, np.uint8)  # 0 white space, 1 letter, 2 other
 _KIND[list(WHITE)] = 0
 _KIND[list(b"abcdefghijklmnopqrstuvwxyz") + list(range(0x80, 0x100))] = 1
 
 
+def slower_places(text: bytes) -> np.ndarray:
+    """Where text has something that the array operations would cut wrongly."""
+    b = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero(_FIRST[b])
+    after = b[np.minimum(at + 1, len(b) - 1)] * (at + 1 < len(b)) if len(at) else at
+    return at[_SECOND[_FIRST[b[at]], after]]
+
+
+class RunTable:
+    """Ids of runs by their hashes, in sorted arrays. Past max_items only what was used since the last such turn stays, so memory is bounded."""
+
+    def __init__(self, dtype: np.dtype, max_items: int):
+        self.dtype, self.max_items = dtype, max_items
+        self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, dtype), np.zeros(0, bool))
+
+    def _set(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray, used: np.ndarray) -> None:
+        """flat holds the ids in the order of keys."""
+        self.keys, self.size, self.flat, self.used, self.place = keys, size, flat, used, np.cumsum(size) - size
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        n = self.size[at]
+        return self.flat[np.repeat(self.place[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted keys: their places, and which of them are known."""
+        at = np.searchsorted(self.keys, keys)
+        known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        self.used[at[known]] = True
+        return at, known
+
+    def add(self, keys: np.ndarray, values: list[bytes]) -> None:
+        """New keys, sorted, with their ids."""
+        size = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        if len(self.keys) > self.max_items:
+            old = np.flatnonzero(self.used)
+            old = old if len(old) <= self.max_items // 2 else old[:0]
+            self._set(self.keys[old], self.size[old], self._gather(old), np.zeros(len(old), bool))
+        both, sizes = np.concatenate([self.keys, keys]), np.concatenate([self.size, size])
+        joined = np.concatenate([self.flat, np.frombuffer(b"".join(values), self.dtype)])
+        order = np.argsort(both, kind="stable")
+        used = np.append(self.used, np.ones(len(keys), bool))[order]
+        self._set(both, sizes, joined, used)
+        self._set(both[order], sizes[order], self._gather(order), used)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -49,8 +101,7 @@ class Encoder:
         self.old_chunks: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {b"": b""}
         self.old_pieces: dict[bytes, bytes] = {}
-        self.runs: dict[int, bytes] = {}
-        self.old_runs: dict[int, bytes] = {}
+        self.runs = RunTable(self.dtype, 5 * max_items)  # some 40 bytes each
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
@@ -132,8 +183,10 @@ class Encoder:
     def _group(self, texts: list[bytes], end_id: int, group: int) -> list[bytes]:
         end, out = self.dtype.type(end_id).tobytes(), [b""] * len(texts)
         plain = []
+        begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+        slower = set((np.searchsorted(begin, slower_places(b"\n".join(texts)), "right") - 1).tolist())
         for i, text in enumerate(texts):
-            if OTHER.search(text):
+            if i in slower:
                 out[i] = b"".join(data for part in _parts(text, group) for data in self._flush([part.split()])) + end
             elif len(text) > 2 * group:
                 out[i] = b"".join(self._plain([part])[0] for part in _parts(text, group)) + end
@@ -150,28 +203,31 @@ class Encoder:
         if not len(hashes):
             return [b""] * len(texts)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.runs) > self.max_items:
-            self.old_runs, self.runs = self.runs, {}
-        runs, old, keys = self.runs, self.old_runs, distinct.tolist()
-        new_keys, new_runs = [], []
-        for k, key in enumerate(keys):
-            if key in runs:
-                continue
-            if key in old:
-                runs[key] = old[key]
-                continue
-            i = first[k]
-            run = joined[starts[i] : ends[i]]
-            if kinds[i] == 2:
-                runs[key] = self._ids(run.decode()).tobytes()
-            else:
-                new_keys.append(key)
-                new_runs.append(run if run.isascii() else run.decode().lower().encode())
-        if new_runs:
-            runs |= zip(new_keys, self._each(new_runs), strict=True)
-        values = list(map(runs.__getitem__, keys))
-        size = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
-        flat, place = np.frombuffer(b"".join(values), self.dtype), np.cumsum(size) - size
+        at, known = self.runs.find(distinct)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            i = first[new]
+            values, letters = [], []
+            for a, b, kind in zip(starts[i].tolist(), ends[i].tolist(), kinds[i].tolist(), strict=True):
+                run = joined[a:b]
+                if kind == 2:
+                    values.append(self._ids(run.decode()).tobytes())
+                else:
+                    letters.append(run if run.isascii() else run.decode().lower().encode())
+                    values.append(None)
+            encoded = iter(self._each(letters) if letters else ())
+            values = [next(encoded) if v is None else v for v in values]
+            # what the table gives up to make room may be among the known ones: their ids are read first
+            held = self.runs._gather(at[known]), self.runs.size[at[known]]
+            self.runs.add(distinct[new], values)
+            size = np.zeros(len(distinct), np.int64)
+            size[known], size[new] = held[1], [len(v) // self.dtype.itemsize for v in values]
+            flat = np.concatenate([held[0], np.frombuffer(b"".join(values), self.dtype)])
+            place = np.zeros(len(distinct), np.int64)
+            place[known] = np.cumsum(held[1]) - held[1]
+            place[new] = len(held[0]) + np.cumsum(size[new]) - size[new]
+        else:
+            flat, place, size = self.runs.flat, self.runs.place[at], self.runs.size[at]
         n = size[inverse]
         ids = flat[np.repeat(place[inverse] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         begin = np.cumsum([0] + [len(t) + 1 for t in texts])

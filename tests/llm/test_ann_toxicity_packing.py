@@ -121,6 +121,7 @@ def check_pack(docs, settings=packing.Settings()):
 def test_packing(spark, sf):
     check_pack(read(spark, sf, "documents"))
     check_pack(read(spark, sf, "documents").repartition(3), packing.Settings(shard_docs=7))
+    check_pack(read(spark, sf, "documents"), packing.Settings(shard_bytes=5000, window=64))
 
 
 def test_packing_awkward(spark):
@@ -128,9 +129,44 @@ def test_packing_awkward(spark):
     assert packing.pack(documents(spark, [])).count() == 0
 
 
-def test_packing_joins_neighbours():
-    settings = packing.Settings()
-    terms = [np.array([1, 2, 3, 10 + i % 2, 20 + i % 2, 30 + i % 2], np.int32) for i in range(40)]
-    corpus = packing.Corpus(40, 6.0, np.bincount(np.concatenate(terms), minlength=1 << 18).astype(np.int32))
-    index = packing.Shard(terms, corpus, settings)
-    assert {int(d) % 2 for d in index.neighbours(0)[:20]} == {0}
+def brute_bm25(words, corpus, settings, seed):
+    """Documents by falling score; words: list of lists of hashes."""
+    scores = []
+    for d, mine in enumerate(words):
+        score = 0.0
+        for t in set(words[seed]) & set(mine):
+            df = int(corpus.frequency[t >> (64 - 18)])
+            tf = mine.count(t)
+            score += np.log(1 + (corpus.docs - df + 0.5) / (df + 0.5)) * tf * (settings.k1 + 1) / (tf + settings.k1 * (1 - settings.b + settings.b * len(mine) / corpus.mean))
+        scores.append(score)
+    return scores
+
+
+def test_bm25_order_equals_brute_force():
+    settings, rng = packing.Settings(), np.random.default_rng(4)
+    vocabulary = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    words = [vocabulary[np.minimum(299, rng.geometric(0.02, rng.integers(0, 120)))] for _ in range(60)]
+    frequency = np.zeros(1 << 18, np.int32)
+    for w in words:
+        frequency[np.unique(w >> np.uint64(64 - 18)).astype(int)] += 1
+    corpus = packing.Corpus(60, sum(map(len, words)) / 60, frequency)
+    index = packing.Shard(words, corpus, settings)
+    lists = [[int(x) for x in w] for w in words]
+    for seed in range(60):
+        want = brute_bm25(lists, corpus, settings, seed)
+        got = index.neighbours(seed).tolist()
+        assert {d for d in range(60) if want[d] > 0} - {seed} == set(got) - {seed}
+        assert all(want[a] >= want[b] - 1e-9 for a, b in zip(got, got[1:], strict=False))
+
+
+def test_related_documents_meet_from_everywhere(spark):
+    """Pairs of documents with words of their own lie far apart in the input; they are packed next to each other."""
+    rng = np.random.default_rng(1)
+    common = [f"c{i}" for i in range(50)]
+    rows = [(i, " ".join([*rng.choice(common, 30), *[f"topic{i % 200}word"] * 6])) for i in range(400)]
+    got = packing.pack(documents(spark, rows).repartition(6), settings=packing.Settings(window=256)).collect()
+    window = {}
+    for r in got:
+        window.setdefault(r.doc_id % 200, set()).add(r.sequence_id)
+    together = sum(any(a.sequence_id == b.sequence_id for a in by[0] for b in by[1]) for by in ([[r for r in got if r.doc_id == t + 200 * k] for k in (0, 1)] for t in range(200)))
+    assert together > 100  # by chance it would be two
