@@ -97,7 +97,7 @@ def corpus_statistics(docs: DataFrame, settings: Settings = Settings()) -> Corpu
 
 
 def dealt(docs: DataFrame, corpus: Corpus, settings: Settings) -> DataFrame:
-    """doc_id, text and key: the heaviest term, salted so that no key has many more documents than a few shards."""
+    """doc_id, text and key: the heaviest term, salted so that no key has many more documents than a shard."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
@@ -118,7 +118,7 @@ def dealt(docs: DataFrame, corpus: Corpus, settings: Settings) -> DataFrame:
                 last = best[np.flatnonzero(np.diff(owner[best], append=-1))] if len(best) else best
                 key, many = np.zeros(n, np.uint64), np.full(n, corpus.docs)
                 key[owner[last]], many[owner[last]] = h[last], df[last]
-                salt = (np.arange(row, row + n) % (many // (4 * settings.shard_docs) + 1)).astype(np.uint64)
+                salt = (np.arange(row, row + n) % (many // settings.shard_docs + 1)).astype(np.uint64)
                 keys.append(mix64(key + salt * np.uint64(0x9E3779B97F4A7C15)))
                 row += n
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64())], names=["doc_id", "text", "key"])

@@ -1,9 +1,13 @@
 """Operator 5: toxicity through a noisy channel.
 
-A writer may hide a word by look-alike characters, by spacing its letters or by repeating them. Words that look so are decoded: each character
-becomes a column of a lattice (the letters it may stand for, or nothing, for separators and repeats, each with a channel cost), and Viterbi finds
-the letters that are likeliest under a character trigram model, counted over all documents. Texts are then scored as restored: a logistic
-regression over words and word beginnings that are present, chosen by how well they tell the classes apart.
+A writer may hide a word by look-alike characters, masks, spacing its letters or repeating them. What is not plainly a word is decoded: each character
+becomes a column of a lattice (the letters it may stand for, nothing for separators and repeats, any letter for a mask of one or two signs between letters, the end of a word for white
+space and punctuation, each with a channel cost), and Viterbi finds the words that are likeliest under a character trigram model, counted over all
+documents. Decoded are: chunks (between white space) with a letter and anything but letters, or a letter three times in a row; letters spaced one by one, by any white
+space, however many; and neighbouring chunks of letters mixed with look-alikes, together. Accents are folded for the model and its words. A doubled letter gives a word its
+squeezed form besides. There is no limit of length: Viterbi takes linear time. Not decoded: numbers without letters, and scripts other than Latin, which are
+read as they are. Texts are then scored as restored: a logistic regression over words and word beginnings that are present. Chosen are those that
+speak for toxicity (log-odds over 0.7); the absence of all of them is what speaks against it.
 
 Labels are used from rows whose crc32(doc_id) mod 5 is not 0 only, at most `train_rows` of them, those with the smallest hash of doc_id. A score
 depends on the text alone.
@@ -15,8 +19,9 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,15 +33,41 @@ from .common import LOWER_BYTES, Cache, as_bytes, hash_word, release_memory, sma
 from .linear import Rows, fit, platt, sigmoid
 
 #: What a character may stand for besides itself (fixed values).
-LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c"}
-#: Characters that may stand for nothing between letters.
-SEPARATORS = " .-_*~'`^,:;/\\#%&"
+LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "µ": "u", "§": "s"}
+#: Characters that may stand for nothing between letters, for any letter, and for the end of a word.
+SEPARATORS = " |.-_*~'`^,:;/\\#%&\"\u2019\u00b7"
+MASKED = re.compile(r"(?<=[a-z])[*#?%]{1,2}(?=[a-z])")
+BREAKS = " .-_,:;/\\!?()[]{}\"|&+=<>"
+#: Letters that have no accent to fold (fixed values).
+FOLDS = str.maketrans({"ß": "ss", "ø": "o", "æ": "ae", "œ": "oe", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i"})
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SIZE = len(LETTERS) + 1  # 0 is the edge of a word
-COST_SELF, COST_LOOK, COST_SKIP, COST_REPEAT, COST_DOUBLE = 0.05, 0.4, 0.1, 0.2, 1.5
+COST_SELF, COST_LOOK, COST_SKIP, COST_REPEAT, COST_DOUBLE, COST_MASK, COST_BREAK, COST_ODD = 0.05, 0.4, 0.1, 0.2, 1.5, 1.0, 1.0, 3.0
+BREAK = -1
 EDGES = b".,;:!?\"'()[]{}*#%&$<>|~`^-_=+/\\"
-SPACED = re.compile(rb"(?<![^\s])(?:[A-Za-z0-9@$!|][ ]){3,}[A-Za-z0-9@$!|](?![^\s])")
-SUSPECT = re.compile(rb"[A-Za-z].*[0-9@$!|+(<._*~\-][^\s]*[A-Za-z]|[0-9@$!|][A-Za-z].*[A-Za-z]|([A-Za-z])\1\1")
+_UNIT = rb"(?:[A-Za-z0-9@$!|*]|\xc3[\x80-\xbf])"
+_GAP = rb"(?:[\x20\x09-\x0D]|\xc2\xa0){1,3}"
+SPACED = re.compile(rb"(?<![A-Za-z0-9@$\x80-\xff])(?:" + _UNIT + _GAP + rb"){3,}" + _UNIT + rb"(?![A-Za-z0-9@$\xc3-\xff])")
+_MIXED = rb"(?=[A-Za-z0-9@$|*]{0,11}[A-Za-z])[A-Za-z]*[0-9@$|*][A-Za-z0-9@$|*]{0,11}"
+BROKEN = re.compile(rb"(?<![^\s])" + _MIXED + rb"(?:[ \t]" + _MIXED + rb"){1,7}(?![A-Za-z0-9@$|*])")
+#: Chunks that need no decoding, once their edges are off: words, with one hyphen or apostrophe at most. _TRIPLE: a letter three times in a row.
+PLAIN = re.compile(r"[^\W\d_]+(?:['\u2019-][^\W\d_]{2,})?")
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_RUNS = re.compile(r"(.)\1{3,}", re.S)
+_PAIR = re.compile(rb"([a-z])\1")
+_PAIRS = re.compile(rb"([a-z])\1+")
+#: Edges that may be letters.
+_STARTS, _ENDS = (b"$", b"|", b"(", b"<"), (b"$", b"|")
+_DOUBLES = re.compile(r"(.)\1+")
+_LETTER = re.compile(r"[^\W\d_]")
+
+
+def fold(word: str) -> str:
+    """Lower case without accents."""
+    if word.isascii():
+        return word.lower()
+    low = unicodedata.normalize("NFD", word.lower().translate(FOLDS))
+    return "".join(c for c in low if not unicodedata.combining(c))
 
 
 @dataclass(frozen=True)
@@ -45,7 +76,6 @@ class Settings:
     features: int = 4096
     support: int = 4
     prefixes: tuple[int, ...] = (4, 5, 6)
-    longest: int = 40  # longer chunks are not decoded; no word is that long
     seed: int = 5
 
 
@@ -71,7 +101,9 @@ def letter_trigrams(docs: DataFrame) -> np.ndarray:
         strip = bytes(range(33)) + b"\x7f" + EDGES
 
         def add(words: Counter[bytes]) -> None:
-            plain = [(w, n) for w, n in ((w.strip(strip), n) for w, n in words.items()) if w.isalpha() and w.isascii() and len(w) <= 64]
+            stripped = ((w.strip(strip), n) for w, n in words.items())
+            folded = ((w if w.isascii() else fold(w.decode(errors="ignore")).encode(), n) for w, n in stripped)
+            plain = [(w, n) for w, n in folded if w.isascii() and w.isalpha()]
             if not plain:
                 return
             lengths = np.fromiter((len(w) + 3 for w, _ in plain), np.int64)
@@ -115,47 +147,61 @@ class Channel:
         seen = trigrams.sum(2, keepdims=True)
         p3 = np.divide(trigrams, seen, out=np.zeros_like(trigrams), where=seen > 0)
         trust = seen / (seen + 10.0)
-        self.cost = -np.log(trust * 0.9 * p3 + (1 - trust * 0.9) * (0.9 * p2[None] + 0.1 * p1[None, None]))
+        cost = -np.log(trust * 0.9 * p3 + (1 - trust * 0.9) * (0.9 * p2[None] + 0.1 * p1[None, None]))
+        self.cost: list[float] = cost.ravel().tolist()  # of a letter behind two others
 
     def columns(self, seen: str) -> list[list[tuple[int, float]]]:
-        """For each character the letters that it may stand for (0: nothing) and their costs."""
+        """For each character the letters that it may stand for (0: nothing, BREAK: the end of a word) and their costs."""
         out: list[list[tuple[int, float]]] = []
+        masks = {i for m in MASKED.finditer(seen) for i in range(*m.span())}
         for i, c in enumerate(seen):
             options: list[tuple[int, float]] = []
-            if c in LETTERS:
-                repeated = i > 0 and seen[i - 1] == c
-                options.append((LETTERS.index(c) + 1, COST_DOUBLE if repeated else COST_SELF))
+            repeated = i > 0 and seen[i - 1] == c
+            if c.isspace():
+                c = " "
+            if "a" <= c <= "z":
+                options.append((ord(c) - 96, COST_DOUBLE if repeated else COST_SELF))
                 if repeated:
                     options.append((0, COST_REPEAT))
             else:
-                options += [(LETTERS.index(x) + 1, COST_LOOK) for x in LOOKALIKES.get(c, "")]
-                if c in SEPARATORS or (i > 0 and seen[i - 1] == c):
+                options += [(ord(x) - 96, COST_LOOK) for x in LOOKALIKES.get(c, "")]
+                if i in masks:
+                    options += [(x, COST_MASK) for x in range(1, SIZE)]
+                if c in SEPARATORS or repeated:
                     options.append((0, COST_SKIP))
+                if c in BREAKS:
+                    options.append((BREAK, COST_BREAK))
                 if not options:
-                    options.append((0, 3.0))
+                    options.append((0, COST_ODD))
             out.append(options)
         return out
 
-    def decode(self, seen: str) -> str:
-        """The likeliest letters behind `seen` (lower case)."""
-        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    def decode(self, seen: str) -> list[str]:
+        """The likeliest words behind `seen` (folded)."""
+        cost_of = self.cost
+        states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}  # the last two letters -> cost, path
         for options in self.columns(seen):
-            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (a, b), (cost, path) in states.items():
+            after: dict[int, tuple[float, tuple | None]] = {}
+            for state, (cost, path) in states.items():
                 for letter, channel in options:
-                    if letter:
-                        key, new, way = (b, letter), cost + channel + self.cost[a, b, letter], (letter, path)
-                    else:
-                        key, new, way = (a, b), cost + channel, path
-                    if key not in after or new < after[key][0]:
+                    if letter > 0:
+                        key, new, way = state % SIZE * SIZE + letter, cost + channel + cost_of[state * SIZE + letter], (letter, path)
+                    elif letter == 0:
+                        key, new, way = state, cost + channel, path
+                    elif state:
+                        key, new, way = 0, cost + channel + cost_of[state * SIZE], (0, path)
+                    else:  # no word has begun
+                        key, new, way = 0, cost + channel, path
+                    held = after.get(key)
+                    if held is None or new < held[0]:
                         after[key] = (new, way)
             states = after
-        best = min(states.items(), key=lambda x: (x[1][0] + self.cost[x[0][0], x[0][1], 0], x[0]))[1][1]
+        best = min(states.items(), key=lambda x: (x[1][0] + (cost_of[x[0] * SIZE] if x[0] else 0.0), x[0]))[1][1]
         letters = []
         while best is not None:
-            letters.append(LETTERS[best[0] - 1])
+            letters.append(chr(best[0] + 96) if best[0] else " ")
             best = best[1]
-        return "".join(reversed(letters))
+        return "".join(reversed(letters)).split()
 
 
 class Reader:
@@ -164,25 +210,45 @@ class Reader:
     def __init__(self, trigrams: np.ndarray, settings: Settings, keep: dict[int, float] | None = None):
         self.channel, self.settings, self.keep = Channel(trigrams), settings, keep
         self.chunks = Cache(self._chunk, 150_000)
-        self.spaced = Cache(lambda run: self._word(self.channel.decode(run.decode().lower()).encode()), 10_000)
+        self.runs = Cache(self._run, 10_000)
+        self.least = min(settings.prefixes)
 
-    def _word(self, word: bytes) -> tuple[int, ...]:
-        text = word.decode()
-        found = {hash_word(b"w" + word)} | {hash_word(b"p" + text[:n].encode()) for n in self.settings.prefixes if len(text) > n}
-        return tuple(sorted(f for f in found if self.keep is None or f in self.keep))
+    def _words(self, words: Iterable[bytes]) -> tuple[int, ...]:
+        found: set[int] = set()
+        for word in words:
+            if word:
+                found.add(hash_word(b"w" + word))
+                if len(word) > self.least:
+                    text = word if word.isascii() else word.decode()
+                    found.update([hash_word(b"p" + (p if text is word else p.encode())) for p in [text[:n] for n in self.settings.prefixes if len(text) > n]])
+        return tuple(sorted(found if self.keep is None else found & self.keep.keys()))
+
+    def _restored(self, seen: str) -> list[str]:
+        return self.channel.decode(_RUNS.sub(r"\1\1\1", fold(seen)))
+
+    def _run(self, run: bytes) -> tuple[int, ...]:
+        return self._words(w.encode() for w in self._restored(run.decode(errors="ignore")))
 
     def _chunk(self, chunk: bytes) -> tuple[int, ...]:
         low = chunk.translate(LOWER_BYTES)
-        words = {low.strip(EDGES)}
-        if not chunk.isascii():
-            words = {chunk.decode().lower().encode().strip(EDGES)}
-        if len(low) <= self.settings.longest and low.isascii() and SUSPECT.search(low):
-            words.add(self.channel.decode(low.decode()).encode())
-        out: set[int] = set()
-        for w in words:
-            if w:
-                out.update(self._word(w))
-        return tuple(sorted(out))
+        core = low.strip(EDGES)
+        words = {core}
+        if core.isalpha() and core.isascii():
+            plain = True
+            if _PAIR.search(core):
+                words.add(_PAIRS.sub(rb"\1", core))
+                plain = not _TRIPLE.search(core.decode())
+        else:
+            text = core.decode(errors="ignore").lower()
+            forms = {text, fold(text)}
+            words = {w.encode() for w in forms | {_DOUBLES.sub(r"\1", w) for w in forms}}
+            plain = (PLAIN.fullmatch(text) and not _TRIPLE.search(text)) or not _LETTER.search(text)
+        hidden = len(low) > len(core) and (low[-1:] in _ENDS or low[:1] in _STARTS) and _LETTER.search(low.decode(errors="ignore"))
+        if not plain:
+            words.update(w.encode() for w in self._restored(core.decode(errors="ignore")))
+        if hidden:  # what the edges may hide, as in a$$
+            words.update(w.encode() for w in self._restored(low.decode(errors="ignore")))
+        return self._words(words)
 
     def features(self, text: bytes | None) -> set[int]:
         found: set[int] = set()
@@ -190,10 +256,9 @@ class Reader:
             return found
         for hit in set(map(self.chunks.__getitem__, text.split())):
             found.update(hit)
-        for run in SPACED.finditer(text):
-            letters = run.group().split()
-            if len(set(letters)) > 2 and len(letters) <= self.settings.longest:
-                found.update(self.spaced[run.group()])
+        for pattern in (SPACED, BROKEN):
+            for run in pattern.finditer(text):
+                found.update(self.runs[run.group()])
         return found
 
 

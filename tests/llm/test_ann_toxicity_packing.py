@@ -78,6 +78,46 @@ def test_toxicity_reads_hidden_words(spark):
     assert all(score[i] > 0.5 for i in range(9000, 9004)) and score[9004] < 0.5 and score[9005] < 0.5 and score[9006] == score[9005]
 
 
+OBFUSCATED = [
+    "m o r o n", "m o r o n.", "(m o r o n)", "m  o  r  o  n", "m\to\tr\to\tn", "s t u p i d m o r o n", "m0r0n,you", "m0 r0n", "m\u00f6r0n", "m*ron", "m.o.r.o.n", "mooorooon", "m-0-r-0-n",
+    "mo" + "r" * 45 + "on", "y o u a r e s u c h a w o r t h l e s s m o r o n t o d a y f r i e n d", "m\u00f2ron", "MORON!!", "moorronn", "m0r0n", "m|0|r|0|n",
+]
+
+
+def test_hidden_spellings_are_read(spark):
+    """A model of the words of some texts restores a word in each of these spellings."""
+    rng = np.random.default_rng(2)
+    known = "river stone bridge window garden market winter summer paper letter you are such a worthless today friend stupid moron and the people here".split()
+    text = " ".join(rng.choice(known, 4000))
+    trigrams = toxicity.letter_trigrams(documents(spark, [(1, text), (2, text)]))
+    reader = toxicity.Reader(trigrams, toxicity.Settings())
+    want = toxicity.hash_word(b"wmoron")
+    assert [x for x in OBFUSCATED if want not in reader.features(("river " + x + " stone").encode())] == []
+    assert all(want not in reader.features(x.encode()) for x in ("river stone", "2019 12.5", "a b c", "", "more on", "m"))
+    assert toxicity.hash_word(b"wstupid") in reader.features(b"st*pid") and toxicity.hash_word(b"wstupid") in reader.features(b"s t u p i d m o r o n")
+
+
+@pytest.mark.parametrize("seen", ["m0r0n", "a b", "s*n", "aab", "1.d", "m0 r0", "$-a$", "??", "x!!y"])
+def test_viterbi_equals_brute_force(spark, seen):
+    import itertools
+
+    trigrams = np.random.default_rng(3).integers(0, 50, (27, 27, 27)).astype(float)
+    channel = toxicity.Channel(trigrams)
+    best = None
+    for way in itertools.product(*channel.columns(seen)):
+        cost, state, out = 0.0, 0, ""
+        for letter, price in way:
+            cost += price
+            if letter > 0:
+                cost, state, out = cost + channel.cost[state * 27 + letter], state % 27 * 27 + letter, out + chr(letter + 96)
+            elif letter < 0 and state:
+                cost, state, out = cost + channel.cost[state * 27], 0, out + " "
+        cost += channel.cost[state * 27] if state else 0.0
+        if best is None or cost < best[0] - 1e-12:
+            best = (cost, out.split())
+    assert channel.decode(seen) == best[1]
+
+
 def test_toxicity_labels_of_held_out_rows_are_not_used(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     marks = read(spark, sf, "labels")
