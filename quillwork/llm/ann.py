@@ -6,9 +6,12 @@ asymmetric distance tables (query against codebooks) rank the codes, and the bes
 Equal table sums at the cut are all reranked, so groups of copies, which share their codes, lose nothing to the cut. How many lists a query probes is
 read off the sample: the fewest with which sampled queries find `recall` of their true neighbours there.
 
-Neighbouring lists share a bin of about `block` vectors, a larger list is cut into several, and a bin's queries into chunks of about `chunk`; one task
-searches one bin for one chunk, so that a list, or a vector with its copies, may hold a third of all rows. Only counts, one for each centroid,
-reach the driver.
+Queries whose probed lists hold too few candidates probe on until they hold k or all lists are read.
+
+Neighbouring lists share a bin of about `block` vectors, and a larger list is cut into several blocks, so that a list, or a vector with its copies, may
+hold a third of all rows. Each vector is shuffled once, to its block; a query goes to the blocks of the bins that it probes, and a task holds one block
+while its queries stream past. The number of lists is the square root of the number of vectors up to `lists`, and the sample grows with it. Only counts, one for each
+centroid, reach the driver.
 
 Edge cases: vectors that are null, zero, hold a null or non-finite component, or have another length than most, take no part as candidates or queries;
 equal scores go to the smaller vec_id; a repeated vec_id is one candidate per row, but never its own query's, and one query, by its smallest vector;
@@ -32,15 +35,15 @@ RESULT = "query_id long, vec_id long, score double"
 @dataclass(frozen=True)
 class Settings:
     k: int = 20
-    sample: int = 20_000
-    lists: int = 1024  # at most; the square root of the number of vectors, if that is less
+    sample: int = 20_000  # at least; `per_list` for each list, if that is more
+    per_list: int = 16
+    lists: int = 4096  # at most; the square root of the number of vectors, if that is less
     recall: float = 0.97  # of sampled queries in the sample, by the lists probed
     trials: int = 200  # sampled queries
     parts: int = 16
     words: int = 256
     rerank: int = 512
     block: int = 4096
-    chunk: int = 2048
     seed: int = 3
 
 
@@ -98,14 +101,20 @@ def encode(x: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
 
 def _probes_needed(sample: np.ndarray, centroids: np.ndarray, settings: Settings) -> int:
     q = sample[: settings.trials]
-    near = np.argsort(-(q @ sample.T), 1, kind="stable")[:, 1 : settings.k + 1]
+    score = q @ sample.T
+    score[np.arange(len(q)), np.arange(len(q))] = -np.inf  # not the query itself, which need not be its own nearest
+    near = np.argsort(-score, 1, kind="stable")[:, : min(settings.k, len(sample) - 1)]
     place = np.argsort(np.argsort(-(q @ centroids.T), 1, kind="stable"), 1)
     needed = np.sort(np.take_along_axis(place, _nearest(sample, centroids)[near], 1).ravel())
     return int(needed[min(len(needed) - 1, int(settings.recall * len(needed)))]) + 1 if len(needed) else 1
 
 
-def probes(q: np.ndarray, index: Index) -> np.ndarray:
-    return np.argsort(-(q @ index.centroids.T), axis=1, kind="stable")[:, : index.probe]
+def probes(q: np.ndarray, index: Index, counts: np.ndarray, need: np.ndarray) -> list[np.ndarray]:
+    """The lists that each query probes, best first: index.probe of them, or as many as hold `need` vectors. counts: vectors by list."""
+    order = np.argsort(-(q @ index.centroids.T), axis=1, kind="stable")
+    held = np.cumsum(counts[order], 1)
+    enough = (held < need[:, None]).sum(1) + 1
+    return [o[: max(index.probe, n)] for o, n in zip(order, enough.tolist(), strict=True)]
 
 
 def search_bin(q: np.ndarray, q_ids: np.ndarray, probed: list[np.ndarray], x: np.ndarray, ids: np.ndarray, at: np.ndarray, codes: np.ndarray, index: Index, k: int, rerank: int):
@@ -151,10 +160,11 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> tuple[Index, D
     """The fitted index, and every usable vector with list, codes and embedding, written to the shared folder."""
     v = usable(vectors)
     n = v.count()
-    # about `sample` of the vectors by a hash threshold; at most `sample` of those are taken
-    share = min(1.0, 1.2 * settings.sample / max(1, n))
+    # about `size` of the vectors by a hash threshold; at most `size` of those are taken
+    size = max(settings.sample, settings.per_list * min(settings.lists, int(n**0.5)))
+    share = min(1.0, 1.2 * size / max(1, n))
     drawn = v.where(F.pmod(F.xxhash64("vec_id", F.lit(settings.seed)), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else v
-    got = drawn.orderBy(F.xxhash64("vec_id", F.lit(settings.seed)), "vec_id").limit(settings.sample).select("embedding").toArrow()
+    got = drawn.orderBy(F.xxhash64("vec_id", F.lit(settings.seed)), "vec_id").limit(size).select("embedding").toArrow()
     sample = _matrix(got.column("embedding").combine_chunks()) if len(got) else np.zeros((1, 1))
     index = fit_index(sample, n, settings)
 
@@ -178,18 +188,24 @@ def _bins(counts: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
     return out
 
 
+ROUTED = "query_id long, query array<double>, bin int, lists array<int>"
+
+
 def nearest(vectors: DataFrame, every: int = 20, settings: Settings = Settings()) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector whose vec_id is divisible by `every`, its k nearest others that were found."""
     spark = vectors.sparkSession
     index, stored = build(vectors, settings)
-    bins = _bins({r["list"]: r["count"] for r in stored.groupBy("list").count().collect()}, settings.block)  # one row per list
+    per_list = {r["list"]: r["count"] for r in stored.groupBy("list").count().collect()}  # one row per list
+    bins = _bins(per_list, settings.block)
+    counts = np.array([per_list.get(i, 0) for i in range(len(index.centroids))])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows, numbers, lists = [], [], []
-            for i, probed in enumerate(probes(_matrix(batch.column("embedding")), index)):
+            need = batch.column("own").to_numpy() + settings.k  # its own rows are no candidates
+            for i, probed in enumerate(probes(_matrix(batch.column("embedding")), index, counts, need)):
                 of: dict[int, list[int]] = {}
                 for p in probed.tolist():
                     if p in bins:
@@ -200,27 +216,42 @@ def nearest(vectors: DataFrame, every: int = 20, settings: Settings = Settings()
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(at), batch.column("embedding").take(at), pa.array(numbers, pa.int32()), pa.array(lists, pa.list_(pa.int32()))], names=["query_id", "query", "bin", "lists"])
 
-    asked = stored.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    routed = materialise(asked.mapInArrow(route, "query_id long, query array<double>, bin int, lists array<int>"), "probes")
-    chunks = {r["bin"]: -(-r["count"] // settings.chunk) for r in routed.groupBy("bin").count().collect()}  # one row per bin
+    asked = stored.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.count("*").alias("own"))
     # one row per list, and the number of lists is bounded
-    table = spark.createDataFrame([(i, n, blocks, chunks.get(n, 0)) for i, (n, blocks) in bins.items()], "list int, bin int, blocks int, chunks int")
-    per_bin = table.groupBy("bin").agg(F.max("blocks").alias("blocks"), F.max("chunks").alias("chunks"))
-    left = stored.join(F.broadcast(table), "list").where("chunks > 0").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    right = routed.join(F.broadcast(per_bin), "bin").withColumn("chunk", F.pmod(F.xxhash64("query_id"), "chunks").cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
-    keys = ["bin", "block", "chunk"]
-    names, kinds = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()]
-
-    def search(x: pa.Table, q: pa.Table) -> pa.Table:
-        if not len(x) or not len(q):
-            return pa.Table.from_arrays([pa.array([], t) for t in kinds], names=names)
-        x, q = x.combine_chunks(), q.combine_chunks()
-        ids, q_ids = x.column("vec_id").to_numpy(), q.column("query_id").to_numpy()
-        codes = np.frombuffer(b"".join(x.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
-        probed = [np.array(p) for p in q.column("lists").to_pylist()]
-        rows, found, scores = search_bin(_matrix(q.column("query").chunk(0)), q_ids, probed, _matrix(x.column("embedding").chunk(0)), ids, x.column("list").to_numpy(), codes, index, settings.k, settings.rerank)
-        return pa.Table.from_arrays([pa.array(q_ids[rows]), pa.array(ids[found]), pa.array(scores)], names=names)
-
-    found = left.select(*keys, "list", "vec_id", "embedding", "codes").groupBy(*keys).cogroup(right.select(*keys, "query_id", "query", "lists").groupBy(*keys)).applyInArrow(search, RESULT)
+    table = spark.createDataFrame([(i, n, blocks) for i, (n, blocks) in bins.items()], "list int, bin int, blocks int")
+    per_bin = table.groupBy("bin").agg(F.max("blocks").alias("blocks"))
+    null = lambda kind: F.lit(None).cast(kind)
+    left = stored.join(F.broadcast(table), "list").withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), "blocks").cast("int"))
+    left = left.select("bin", "block", F.lit(False).alias("is_query"), F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "list", "codes", null("array<int>").alias("lists"))
+    right = asked.mapInArrow(route, ROUTED).join(F.broadcast(per_bin), "bin").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = right.select("bin", "block", F.lit(True).alias("is_query"), F.col("query_id").alias("id"), F.col("query").alias("vector"), null("int").alias("list"), null("binary").alias("codes"), "lists")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come block by block, vectors before queries."""
+        block, held, ready = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.stack([batch.column("bin").to_numpy(), batch.column("block").to_numpy(), batch.column("is_query").to_numpy(zero_copy_only=False)], 1)
+            cuts = np.flatnonzero(np.append(True, (marks[1:] != marks[:-1]).any(1)))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(marks)], strict=True):
+                part, at = batch.slice(a, b - a), tuple(marks[a, :2].tolist())
+                if at != block:
+                    block, held, ready = at, [], None
+                if not marks[a, 2]:
+                    held.append(part)
+                    continue
+                if not held:
+                    continue
+                if ready is None:
+                    x = pa.Table.from_batches(held).combine_chunks()
+                    codes = np.frombuffer(b"".join(x.column("codes").to_pylist()), np.uint8).reshape(len(x), -1)
+                    ready = _matrix(x.column("vector").chunk(0)), x.column("id").to_numpy(), x.column("list").to_numpy(), codes
+                    held = held[:1]
+                q_ids = part.column("id").to_numpy()
+                rows, found, scores = search_bin(_matrix(part.column("vector")), q_ids, [np.array(p) for p in part.column("lists").to_pylist()], *ready, index, settings.k, settings.rerank)
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows]), pa.array(ready[1][found]), pa.array(scores)], names=["query_id", "vec_id", "score"])
+
+    dealt = left.unionByName(right).repartition(F.xxhash64("bin", "block")).sortWithinPartitions("bin", "block", "is_query")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k).select("query_id", "rank", "vec_id", "score")
+    return dealt.mapInArrow(search, RESULT).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k).select("query_id", "rank", "vec_id", "score")

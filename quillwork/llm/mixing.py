@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise, ordered_positions
+from .common import free_name, materialise, ordered_positions
 
 #: The weights that sources take in turn.
 CYCLE = (5, 2, 1)
@@ -115,10 +115,10 @@ def copies_of(docs: DataFrame, most: int = 3, cycle: tuple[int, ...] = CYCLE, bl
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
-    """row, doc_id, source, size of each row of documents, written once. Rows are numbered in the order of their doc_id, source and size, so that
-    the numbers and what is drawn by them don't depend on how the input is laid out; rows that agree in all three are interchangeable."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return ordered_positions(sized, F.col("doc_id").asc_nulls_first(), F.col("source").asc_nulls_first(), "size", name="sizes").withColumnRenamed("position", "row")
+    """row, doc_id, source, size, print of each row of documents, written once; print is a hash of the text. Rows are numbered in the order of those,
+    so that the numbers and what is drawn by them don't depend on how the input is laid out; rows that agree in all are interchangeable."""
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("print"))
+    return ordered_positions(sized, F.col("doc_id").asc_nulls_first(), F.col("source").asc_nulls_first(), "size", "print", name="sizes", position="row")
 
 
 def mix_report(docs: DataFrame, **settings) -> DataFrame:
@@ -128,11 +128,18 @@ def mix_report(docs: DataFrame, **settings) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, **settings) -> DataFrame:
-    """docs with each row as often as the mix takes it."""
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    window = Window.partitionBy("doc_id", "source", "_size").orderBy("text")
+    """docs with each row as often as the mix takes it. Rows find their copies by doc_id, source, size and text; only rows that agree in all share a
+    window, so null ids are no hot group."""
+    names = docs.columns
+    size, print_, nth, copy = (free_name(names, n) for n in ("_size", "_print", "_nth", "_copy"))
+    keys = {"doc_id": "doc_id", "source": "source", "size": size, "print": print_}
     copies = copies_of(document_sizes(docs), **settings).where("copies > 0")
-    mine = copies.select(*(F.col(c).alias(f"_{c}_") for c in ("doc_id", "source", "size", "copies")), F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("row")).alias("_nth_"))
-    numbered = sized.withColumn("_nth", F.row_number().over(window))
-    on = numbered["doc_id"].eqNullSafe(mine["_doc_id_"]) & numbered["source"].eqNullSafe(mine["_source_"]) & (numbered["_size"] == mine["_size_"]) & (numbered["_nth"] == mine["_nth_"])
-    return numbered.join(mine, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies_"))).select(*docs.columns)
+    mine = {c: free_name(names, f"_{c}_of_row") for c in (*keys, "copies", "nth")}
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("row"))
+    wanted = copies.select(*(F.col(c).alias(mine[c]) for c in (*keys, "copies")), place.alias(mine["nth"]))
+    sized = docs.withColumns({size: word_count(F.col("text")), print_: F.xxhash64("text")})
+    numbered = sized.withColumn(nth, F.row_number().over(Window.partitionBy(*keys.values()).orderBy("text")))
+    on = F.col(nth) == F.col(mine["nth"])
+    for theirs, ours in keys.items():
+        on &= F.col(ours).eqNullSafe(F.col(mine[theirs]))
+    return numbered.join(wanted, on).withColumn(copy, F.explode(F.sequence(F.lit(1), mine["copies"]))).select(*names)

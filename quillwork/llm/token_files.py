@@ -75,8 +75,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
         release_memory()
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:05d}"], "docs": [len(offsets) - 1], "tokens": [total], "dtype": [enc.dtype.str]})
 
-    # ranges by doc_id alone: the driver samples what ranges are cut by, and texts have no bound
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # ranges by doc_id and the first characters, so that one doc_id (or null) may have many rows; the driver samples what ranges are cut by, and
+    # whole texts have no bound
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", F.left("text", F.lit(24))).sortWithinPartitions("doc_id", "text")
     parts = sorted(ordered.mapInArrow(write, PARTS).collect(), key=lambda r: r["part"])  # one row per part
     base, listed = 0, []
     for row in parts:

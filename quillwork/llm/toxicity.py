@@ -318,22 +318,22 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     return Model(trigrams, {f: float(w[i]) for f, i in columns.items()}, bias, slope, shift)
 
 
-def score_toxicity(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
-    """docs with `toxicity`, the calibrated probability that the restored text is toxic."""
-    docs = docs.drop("toxicity")
+def score_toxicity(docs: DataFrame, model: Model, settings: Settings = Settings(), name: str = "toxicity") -> DataFrame:
+    """docs with `toxicity` (or another name), the calibrated probability that the restored text is toxic."""
+    docs = docs.drop(name)
     names = docs.columns
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, weights = Reader(model.trigrams, settings, model.weights), model.weights
         for batch in batches:
             z = np.fromiter((model.bias + sum(weights[f] for f in sorted(reader.features(t))) for t in as_bytes(batch.column("text"))), np.float64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(model.slope * z + model.shift))], names=[*names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(model.slope * z + model.shift))], names=[*names, name])
         del reader
         release_memory()
 
     from pyspark.sql import types as T
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

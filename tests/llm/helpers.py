@@ -1,5 +1,6 @@
 """Rows with the awkward cases that every operator must take: nulls, empty and long texts, ties, repeats, clashing column names."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA = T.StructType([
@@ -20,6 +21,19 @@ def awkward(spark):
     return documents(spark, rows)
 
 
+#: Names that operators might use for columns of their own.
+CLASHING = ("_id", "_set", "_class", "_kept", "_size", "_print", "_nth", "_copy", "_row", "_gone", "_best", "_page", "_of", "toxicity", "n_lines", "n_dropped", "position", "copies", "key")
+
+
+def with_clashes(df):
+    """df with columns of those names, whose values name their column."""
+    return df.withColumns({n: F.lit(n) for n in CLASHING})
+
+
+def same_clashes(df):
+    return all(r[n] == n for r in df.select(*CLASHING).distinct().collect() for n in CLASHING)
+
+
 def labels(spark, rows):
     """rows: (doc_id, quality, toxic)."""
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")

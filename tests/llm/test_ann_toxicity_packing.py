@@ -52,12 +52,23 @@ def test_ann_awkward(spark):
     bad = [(1000, None), (1020, [0.0] * 6), (1040, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (1060, [float("nan")] * 6), (1080, [float("inf")] + [1.0] * 5), (1100, [1.0, 2.0]), (None, [1.0] * 6)]
     df = spark.createDataFrame(good + bad, "vec_id long, embedding array<float>").withColumn("list", F.lit("clash"))
     as_float = [(i, np.array(v, "f4").astype(float).tolist()) for i, v in good]
-    small = ann.Settings(k=20, block=16, chunk=2)
+    small = ann.Settings(k=20, block=16)
     check_ann(ann.nearest(df, settings=small).collect(), truth(as_float, 20, 20), 0.9)
     assert ann.nearest(df.where("false")).count() == 0
     assert ann.nearest(df.where("vec_id = 1000")).count() == 0
 
 
+def test_ann_norms_and_copies(spark):
+    """Vectors of very different norms, most of them copies: every query has its 20 neighbours, and finds most of the true ones."""
+    rng = np.random.default_rng(5)
+    seeds = rng.normal(size=(40, 8)) * rng.lognormal(0, 1, (40, 1))
+    rows = [(i, (seeds[i % 40] if i % 10 else rng.normal(size=8) * rng.lognormal(0, 1)).astype("f4").tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    check_ann(ann.nearest(df).collect(), truth([(i, np.array(v, "f4").astype(float).tolist()) for i, v in rows], 20, 20), 0.9)
+    few = ann.probes(np.ones((1, 2)), ann.Index(np.eye(2), np.zeros((1, 1, 1)), 1), np.array([3, 50]), np.array([20]))
+    assert few[0].tolist() == [0, 1]
+
+
 def test_toxicity_held_out(spark, sf):
     docs, marks = read(spark, "/root/testdata/sf0.01", "documents"), read(spark, "/root/testdata/sf0.01", "labels")
     got = toxicity.toxicity(docs.select("doc_id", "text"), marks).withColumn("held", toxicity.held_out(F.col("doc_id")))

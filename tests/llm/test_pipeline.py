@@ -4,17 +4,37 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quillwork.llm import mixing, near_dedup, toxicity
+from quillwork.llm import mixing, near_dedup, toxicity, url_filter
 from quillwork.llm.tokens import default_tokenizer
 
+from .helpers import awkward, labels, same_clashes, with_clashes
 
-def test_stages_and_run(spark):
+
+def test_stages_take_awkward_rows_and_clashing_names(spark, tmp_path):
+    """Nulls, empty and long texts, repeats and empty tables; columns of any name come back as they were."""
+    labels(spark, [(1, 1, 0)]).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = with_clashes(awkward(spark))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns and same_clashes(got), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert packed.where("start = 0").count() == docs.count()
+    assert corpus_pipeline.STAGES[2][1](spark, docs.where("false"), str(tmp_path)).count() == 0
+
+
+def test_urls_with_clashing_names(spark):
+    pages = with_clashes(spark.createDataFrame([(1, "http://a.com/en/x"), (2, None)], "page_id long, url string"))
+    got = url_filter.filter_urls(pages)
+    assert same_clashes(got) and {r.page_id: r.verdict for r in got.collect()} == {1: "block", 2: "allow"}
+
+
+def test_stages_and_run(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns = docs.columns
     kept = []
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        path = f"/tmp/quillwork-test-{i}"
+        path = f"{tmp_path}/stage-{i}"
         stage(spark, docs, sf).write.mode("overwrite").parquet(path)
         before, docs = docs, spark.read.parquet(path)
         kept.append(docs.count())
