@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, Cache, as_bytes, hash_word, release_memory, smallest_draws
+from .common import LOWER_BYTES, Cache, as_bytes, release_memory, smallest_draws
 from .linear import Rows, fit, platt, sigmoid
 
 #: What a character may stand for besides itself (fixed values).
@@ -50,6 +50,7 @@ _GAP = rb"(?:[\x20\x09-\x0D]|\xc2\xa0){1,3}"
 SPACED = re.compile(rb"(?<![A-Za-z0-9@$\x80-\xff])(?:" + _UNIT + _GAP + rb"){3,}" + _UNIT + rb"(?![A-Za-z0-9@$\xc3-\xff])")
 _MIXED = rb"(?=[A-Za-z0-9@$|*]{0,11}[A-Za-z])[A-Za-z]*[0-9@$|*][A-Za-z0-9@$|*]{0,11}"
 BROKEN = re.compile(rb"(?<![^\s])" + _MIXED + rb"(?:[ \t]" + _MIXED + rb"){1,7}(?![A-Za-z0-9@$|*])")
+_NEAR = re.compile(rb"[0-9@$|*][A-Za-z0-9@$|*]*[ \t][A-Za-z]*[0-9@$|*]")  # without it a text has no BROKEN
 #: Chunks that need no decoding, once their edges are off: words, with one hyphen or apostrophe at most. _TRIPLE: a letter three times in a row.
 PLAIN = re.compile(r"[^\W\d_]+(?:['\u2019-][^\W\d_]{2,})?")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
@@ -81,10 +82,10 @@ class Settings:
 
 @dataclass
 class Model:
-    """trigrams: counts of letter triples over the corpus; weights by feature hash."""
+    """trigrams: counts of letter triples over the corpus; weights by feature (w and a word, p and the beginning of one)."""
 
     trigrams: np.ndarray
-    weights: dict[int, float] = field(default_factory=dict)
+    weights: dict[bytes, float] = field(default_factory=dict)
     bias: float = -20.0
     slope: float = 1.0
     shift: float = 0.0
@@ -207,33 +208,39 @@ class Channel:
 class Reader:
     """The features of texts, in one process: each distinct chunk is restored once."""
 
-    def __init__(self, trigrams: np.ndarray, settings: Settings, keep: dict[int, float] | None = None):
+    def __init__(self, trigrams: np.ndarray, settings: Settings, keep: dict[bytes, float] | None = None):
         self.channel, self.settings, self.keep = Channel(trigrams), settings, keep
-        self.chunks = Cache(self._chunk, 150_000)
+        self.chunks = Cache(self._chunk, 400_000)
         self.runs = Cache(self._run, 10_000)
         self.least = min(settings.prefixes)
 
-    def _words(self, words: Iterable[bytes]) -> tuple[int, ...]:
-        found: set[int] = set()
-        for word in words:
-            if word:
-                found.add(hash_word(b"w" + word))
-                if len(word) > self.least:
-                    text = word if word.isascii() else word.decode()
-                    found.update([hash_word(b"p" + (p if text is word else p.encode())) for p in [text[:n] for n in self.settings.prefixes if len(text) > n]])
-        return tuple(sorted(found if self.keep is None else found & self.keep.keys()))
+    def _names(self, word: bytes) -> list[bytes]:
+        """The features of a word: itself and its beginnings."""
+        if len(word) <= self.least:
+            return [b"w" + word]
+        if word.isascii():
+            return [b"w" + word, *[b"p" + word[:n] for n in self.settings.prefixes if len(word) > n]]
+        text = word.decode()
+        return [b"w" + word, *[b"p" + text[:n].encode() for n in self.settings.prefixes if len(text) > n]]
+
+    def _words(self, words: Iterable[bytes]) -> tuple[bytes, ...]:
+        found = [name for word in words if word for name in self._names(word)]
+        if self.keep is not None:
+            keep = self.keep
+            found = [name for name in found if name in keep]
+        return tuple(sorted(set(found))) if found else ()
 
     def _restored(self, seen: str) -> list[str]:
         return self.channel.decode(_RUNS.sub(r"\1\1\1", fold(seen)))
 
-    def _run(self, run: bytes) -> tuple[int, ...]:
+    def _run(self, run: bytes) -> tuple[bytes, ...]:
         return self._words(w.encode() for w in self._restored(run.decode(errors="ignore")))
 
-    def _chunk(self, chunk: bytes) -> tuple[int, ...]:
+    def _chunk(self, chunk: bytes) -> tuple[bytes, ...]:
         low = chunk.translate(LOWER_BYTES)
         core = low.strip(EDGES)
         words = {core}
-        if core.isalpha() and core.isascii():
+        if core.isalpha():  # ASCII letters only: these are bytes
             plain = True
             if _PAIR.search(core):
                 words.add(_PAIRS.sub(rb"\1", core))
@@ -250,14 +257,16 @@ class Reader:
             words.update(w.encode() for w in self._restored(low.decode(errors="ignore")))
         return self._words(words)
 
-    def features(self, text: bytes | None) -> set[int]:
-        found: set[int] = set()
+    def features(self, text: bytes | None) -> set[bytes]:
+        found: set[bytes] = set()
         if not text:
             return found
         for hit in set(map(self.chunks.__getitem__, text.split())):
             found.update(hit)
-        for pattern in (SPACED, BROKEN):
-            for run in pattern.finditer(text):
+        for run in SPACED.finditer(text):
+            found.update(self.runs[run.group()])
+        if _NEAR.search(text):
+            for run in BROKEN.finditer(text):
                 found.update(self.runs[run.group()])
         return found
 
@@ -281,12 +290,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
                 seen[y].update(reader.features(text))
                 docs_of[y] += 1
         keys = sorted(seen[0].keys() | seen[1].keys())
-        total = pa.RecordBatch.from_pydict({"feature": pa.array([0], pa.int64()), "total": [True], "neg": [docs_of[0]], "pos": [docs_of[1]]})
-        signed = np.array(keys, np.uint64).view(np.int64)
-        yield total
-        yield pa.RecordBatch.from_arrays([pa.array(signed), pa.array(np.zeros(len(keys), bool)), pa.array([seen[0][k] for k in keys], pa.int64()), pa.array([seen[1][k] for k in keys], pa.int64())], names=["feature", "total", "neg", "pos"])
+        yield pa.RecordBatch.from_pydict({"feature": pa.array([b""], pa.binary()), "total": [True], "neg": [docs_of[0]], "pos": [docs_of[1]]})
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(np.zeros(len(keys), bool)), pa.array([seen[0][k] for k in keys], pa.int64()), pa.array([seen[1][k] for k in keys], pa.int64())], names=["feature", "total", "neg", "pos"])
 
-    counts = rows.mapInArrow(count, "feature long, total boolean, neg long, pos long").groupBy("feature", "total").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+    counts = rows.mapInArrow(count, "feature binary, total boolean, neg long, pos long").groupBy("feature", "total").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
     counts = counts.where(F.col("total") | (F.col("neg") + F.col("pos") >= settings.support))
     # the gain of knowing a feature, from its counts alone: docs are few, so the class sizes can follow
     ratio = F.abs(F.log((F.col("pos") + 0.1) / (F.col("neg") + F.col("pos") + 0.2)))
@@ -296,7 +303,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     pos = next((r["pos"] for r in top if r["total"]), 0)
     if not pos or not neg:
         return Model(trigrams, {}, (-20.0 if not pos else 20.0))
-    odds = {r["feature"] % (1 << 64): math.log((r["pos"] + 0.1) / (pos + 0.2)) - math.log((r["neg"] + 0.1) / (neg + 0.2)) for r in top if not r["total"]}
+    odds = {bytes(r["feature"]): math.log((r["pos"] + 0.1) / (pos + 0.2)) - math.log((r["neg"] + 0.1) / (neg + 0.2)) for r in top if not r["total"]}
     chosen_features = {k: v for k, v in odds.items() if v > 0.7}
     columns = {f: i for i, f in enumerate(sorted(chosen_features))}
 

@@ -102,10 +102,10 @@ def test_hidden_spellings_are_read(spark):
     text = " ".join(rng.choice(known, 4000))
     trigrams = toxicity.letter_trigrams(documents(spark, [(1, text), (2, text)]))
     reader = toxicity.Reader(trigrams, toxicity.Settings())
-    want = toxicity.hash_word(b"wmoron")
+    want = b"wmoron"
     assert [x for x in OBFUSCATED if want not in reader.features(("river " + x + " stone").encode())] == []
     assert all(want not in reader.features(x.encode()) for x in ("river stone", "2019 12.5", "a b c", "", "more on", "m"))
-    assert toxicity.hash_word(b"wstupid") in reader.features(b"st*pid") and toxicity.hash_word(b"wstupid") in reader.features(b"s t u p i d m o r o n")
+    assert b"wstupid" in reader.features(b"st*pid") and b"wstupid" in reader.features(b"s t u p i d m o r o n")
 
 
 @pytest.mark.parametrize("seen", ["m0r0n", "a b", "s*n", "aab", "1.d", "m0 r0", "$-a$", "??", "x!!y"])
