@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +24,33 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/quillwork/{name}-{uuid.uuid4().hex}"
+#: For each scope that is open, the tables written in it.
+_scopes: list[list[str]] = []
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def scratch(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in the shared folder; keep: it outlives the innermost scope."""
+    path = f"{shared_dir(spark).rstrip('/')}/quillwork/{name}-{uuid.uuid4().hex}"
+    if len(_scopes) > keep:
+        _scopes[-1 - keep].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables written inside at the end, but for those that were written with keep. What leaves the scope must not read them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Writes df to the shared folder and reads it again, which cuts its lineage; survives lost executors."""
-    path = scratch(df.sparkSession, name)
+    path = scratch(df.sparkSession, name, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
