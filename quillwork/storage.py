@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -36,6 +37,13 @@ def scratch(spark: SparkSession, name: str, keep: bool = False) -> str:
     return path
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of a finished query only when the driver's garbage collector meets its plan, which may be long after. Where much
+    has been shuffled and written since, this has it collected now. Files of plans that are still held stay."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Removes the tables written inside at the end, but for those that were written with keep. What leaves the scope must not read them."""
@@ -46,6 +54,7 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         for path in _scopes.pop():
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        release_shuffles(spark)
 
 
 def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
