@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import free_name, materialise, ordered_positions, scratch, shared_dir, temporary  # noqa: F401  (shared with the other operators)
+from ..storage import free_name, materialise, ordered_positions, release_shuffles, scratch, shared_dir, temporary  # noqa: F401  (shared with the other operators)
 
 #: Words of a text: runs of anything but the six ASCII white-space characters. bytes.split() splits exactly there.
 WORD = r"[^\x20\x09-\x0D]+"
