@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, mixing, near_dedup, packing, pii, quality, token_files, toxicity, url_filter
+from . import alignment, ann, line_dedup, mixing, near_dedup, packing, pii, quality, token_files, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_ann": op1_ann,
@@ -65,6 +69,7 @@ def queries() -> dict:
         "op8_url_filter": op8_url_filter,
         "op9_token_files": op9_token_files,
         "op10_line_dedup": op10_line_dedup,
+        "op11_alignment": op11_alignment,
     }
 
 
