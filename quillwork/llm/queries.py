@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, line_dedup, mixing, near_dedup, packing, pii, quality, token_files, toxicity, url_filter
+from . import alignment, ann, line_dedup, mixing, near_dedup, packing, pii, quality, token_files, toxicity, url_filter, variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignments(_table(spark, sf_dir, "documents"))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_ann": op1_ann,
@@ -70,6 +74,7 @@ def queries() -> dict:
         "op9_token_files": op9_token_files,
         "op10_line_dedup": op10_line_dedup,
         "op11_alignment": op11_alignment,
+        "op12_variants": op12_variants,
     }
 
 
@@ -104,5 +109,27 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS ke
 """
 
 
+# crc32 by its table; distances over one-byte letters, since DuckDB's levenshtein counts bytes
+OP12 = r"""
+WITH RECURSIVE tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents),
+each AS (SELECT w, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS keyed, count(*) AS n FROM runs WHERE length(w) >= 5 GROUP BY 1, 2),
+bytes AS (SELECT w, n, hex(encode(keyed)) AS x FROM each),
+hashed AS (
+  SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x), 2), lambda i: (instr('0123456789ABCDEF', x[i + 1]) - 1) * 16 + instr('0123456789ABCDEF', x[i + 2]) - 1)),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM bytes, tab),
+damaged AS (SELECT CASE WHEN h % 97 = 0 THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+flat AS (SELECT *, length(word) AS l, translate(word, 'ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖ×ØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõö÷øùúûüýþÿ', '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$%&()*+,-./:;<=>?@[]^_{|}~') AS f FROM words),
+near AS (SELECT a.word, b.word AS other, b.n AS m FROM flat a JOIN flat b ON (b.l = a.l OR b.l = a.l + 1 OR b.l = a.l - 1) AND a.word <> b.word AND levenshtein(a.f, b.f) = 1),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS form, max(m) AS form_n FROM near GROUP BY 1),
+rows_ AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS last, 0 AS step FROM rows_ UNION ALL SELECT chain.word, rows_.form, step + 1 FROM chain JOIN rows_ ON rows_.word = chain.last WHERE rows_.form IS NOT NULL),
+ends AS (SELECT word, max_by(last, step) AS root FROM chain GROUP BY 1)
+SELECT word, form, root, n, n_near, form_n FROM rows_ JOIN ends USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_dedup": OP3, "op8_url_filter": OP8}
+    return {"op3_near_dedup": OP3, "op8_url_filter": OP8, "op12_variants": OP12}

@@ -12,7 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillwork.llm import alignment, queries
+from quillwork.llm import alignment, queries, variants
+from quillwork.llm.common import UPPER
 
 from .helpers import awkward, documents, same_clashes, with_clashes
 
@@ -122,3 +123,90 @@ def test_alignment_of_awkward_rows(spark):
     assert {r["n_a"] for r in got if r["doc_id"] in (1, 2)} == {0}
     assert alignment.alignments(documents(spark, [])).count() == 0
     assert alignment.alignments(documents(spark, [(1, None), (2, "")])).where("n_links > 0 or groups_sha256 <> ''").count() == 0
+
+
+# --- 12
+def brute_words(rows):
+    """word -> n of (doc_id, text) rows."""
+    count = Counter()
+    low = str.maketrans(UPPER, UPPER.lower())
+    for doc_id, text in rows:
+        for run in re.findall("[a-z\xc0-\xff]+", (text or "").translate(low)):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    return {w: n for w, n in count.items() if len(w) >= 5 and n >= 3}
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(words):
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best and words[best] >= 2 * words[w] else None
+    out = set()
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.add((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return out
+
+
+def variant_rows(df):
+    return {(r["word"], r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in df.collect()}
+
+
+def crowd(seed):
+    """Words in dense families: every letter of one place, chains of counts, equal letters, endings and beginnings, some very long."""
+    rng = np.random.default_rng(seed)
+    letters = list("abcdeñéÿ")
+    words = {"aaaaa", "aaaaaa", "aaaaaaa", "abababab", "babababa", "ababababa", "x" * 5000, "x" * 4999 + "y", "x" * 5001, "ÀÀÀÀÀ".lower(), "ÀÀÀÀÀ"}
+    words |= {"kolmer" + c for c in "abcdefghijklmnop"} | {c + "kolmer" for c in "abcdefghijklmnop"}
+    words |= {"".join(rng.choice(letters, n)) for n in rng.integers(5, 8, 500)}
+    return [(w, int(rng.integers(3, 60))) for w in sorted(words)] + [("chaina", 3), ("chainb", 7), ("chainbc", 20), ("chainbcd", 50), ("chainbcde", 200)]
+
+
+@pytest.mark.parametrize("most", [3, 256])
+def test_variants_of_crowded_words(spark, most):
+    given_ = dict(crowd(5))
+    rows = [(i, " ".join([w] * n)) for i, (w, n) in enumerate(given_.items())] + [(None, "nullid nullid nullid"), (-1, None), (-2, "")]
+    words = brute_words(rows)
+    docs = with_clashes(documents(spark, rows)).repartition(4)
+    assert {r["word"]: r["n"] for r in variants.word_counts(docs).collect()} == words
+    assert variant_rows(variants.variants(docs, most)) == brute_variants(words)
+
+
+def test_variants_of_hot_grams(spark, monkeypatch):
+    given_ = {w: n for w, n in crowd(6) if len(w) < 100}
+    words = spark.createDataFrame(list(given_.items()), "word string, n long").repartition(5)
+    expected = {w: [v for v in given_ if one_edit(w, v)] for w in given_}
+    expected = {(w, len(vs), *min((-given_[v], v) for v in vs)) for w, vs in expected.items() if vs}
+    monkeypatch.setattr(variants, "HOT_LEAST", 5)
+    got = variants.nearest(words, 8, share=1e-9).collect()
+    assert {(r["word"], r["n_near"], -r["best_n"], r["best"]) for r in got} == expected
+
+
+def test_variants_are_those_of_the_sql(spark, sf):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    assert variant_rows(queries.op12_variants(spark, sf)) == set(con.execute(queries.OP12).fetchall())
+
+
+def test_variants_of_awkward_rows(spark):
+    rows = [(r["doc_id"], r["text"]) for r in awkward(spark).collect()]
+    assert variant_rows(variants.variants(awkward(spark))) == brute_variants(brute_words(rows))
+    assert variants.variants(documents(spark, [])).count() == 0
