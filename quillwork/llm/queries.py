@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, line_dedup, mixing, near_dedup, packing, pii, quality, token_files, toxicity, url_filter, variants
+from . import alignment, ann, language, line_dedup, mixing, near_dedup, packing, pii, quality, token_files, toxicity, url_filter, variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_ann": op1_ann,
@@ -75,6 +79,7 @@ def queries() -> dict:
         "op10_line_dedup": op10_line_dedup,
         "op11_alignment": op11_alignment,
         "op12_variants": op12_variants,
+        "op13_language": op13_language,
     }
 
 

@@ -12,10 +12,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillwork.llm import alignment, queries, variants
+from quillwork.llm import alignment, language, queries, variants
 from quillwork.llm.common import UPPER
 
-from .helpers import awkward, documents, same_clashes, with_clashes
+from .helpers import awkward, documents, with_clashes
 
 
 # --- 11
@@ -113,8 +113,10 @@ def test_pieces_give_the_tokens_of_the_text(text):
     sound = v.same(a, v.a_bytes, whole.encode()) and v.same(b, v.b_bytes, whole.encode())
     assert bool(aligner.sizes[numbers, 4].all()) == sound
     if sound:
-        ends = np.cumsum(v.a_size[a]).tolist(), np.cumsum(v.b_size[b]).tolist()
-        assert ";".join(aligner.groups[i] for i in numbers) == alignment.groups_text(a.tolist(), ends[0], b.tolist(), ends[1])
+        alone = alignment.Aligner(v)
+        alone.pieces[whole]
+        alone.learn()
+        assert aligner.text_of_groups(numbers) == alone.text_of_groups(np.array([0]))
 
 
 def test_alignment_of_awkward_rows(spark):
@@ -210,3 +212,100 @@ def test_variants_of_awkward_rows(spark):
     rows = [(r["doc_id"], r["text"]) for r in awkward(spark).collect()]
     assert variant_rows(variants.variants(awkward(spark))) == brute_variants(brute_words(rows))
     assert variants.variants(documents(spark, [])).count() == 0
+
+
+# --- 13
+def test_languages_of_held_out_rows(spark, sf):
+    docs = spark.read.parquet(f"{sf}/../sf0.01/documents.parquet")
+    got = queries.op13_language(spark, f"{sf}/../sf0.01").toPandas().set_index("doc_id")
+    true = docs.select("doc_id", "text", "lang").toPandas().set_index("doc_id")
+    assert len(got) == len(true) and got["score"].between(0, 1).all()
+    for doc_id, held in got["held_out"].items():
+        assert held == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
+    held = got[got["held_out"] & (got["lang_pred"] != "und")]
+    assert (held["lang_pred"] == true["lang"][held.index]).mean() > 0.98
+    no_letter = true["text"].map(lambda t: not any(map(str.isalpha, t or "")))
+    assert ((got["lang_pred"] == "und") == no_letter[got.index]).all()
+
+
+def test_held_out_rows_are_not_learnt_from(spark, sf):
+    """Another lang or text in held-out rows changes no prediction of the others."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    changed = docs.withColumn("lang", F.when(language.held_out(F.col("doc_id")), F.lit("xx")).otherwise(F.col("lang")))
+    a, b = (language.languages(d).orderBy("doc_id").toPandas() for d in (docs, changed))
+    assert a.equals(b)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.text(st.sampled_from("abÉé \n1.-ñ漢İß"), max_size=40), st.sampled_from([1, 2, 3, 7, 500_000]))
+def test_counts_of_n_grams(text, block):
+    """Against a plain way, whatever the blocks of long texts."""
+    low = re.sub(r"[^a-zéñ漢ßi\u0307]+", " ", "".join(c if c.isalpha() else " " for c in text.lower()))
+    low = " " + low.strip() + " "
+    grams = Counter(low[i : i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1))
+    before, language.BLOCK = language.BLOCK, block
+    found = language.counts(text, 16)
+    language.BLOCK = before
+    if not low.strip():
+        assert found is None
+        return
+    expected = Counter()
+    for g, n in grams.items():
+        codes = np.array([ord(c) for c in g], np.uint32)
+        expected[int(language._columns(codes, 16)[-1])] += n
+    assert dict(zip(found[0].tolist(), found[1].tolist(), strict=True)) == dict(expected)
+
+
+def test_follow_the_leader_against_a_plain_way():
+    """Row by row and coordinate by coordinate, as the method is published."""
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(3)), np.sort(rng.choice(12, 4, replace=False)), rng.random(4).astype(np.float32)) for _ in range(60)]
+    s = language.Settings(passes=2, l1=0.6, l2=0.1)
+    got, bias = language.follow_leader(rows, 3, 12, s)
+    z, n = np.zeros((13, 3)), np.zeros((13, 3))
+
+    def weight(i, k):
+        l1, l2 = (s.l1, s.l2) if i < 12 else (0, 0)
+        return 0.0 if abs(z[i, k]) <= l1 else -(z[i, k] - np.sign(z[i, k]) * l1) / ((s.beta + n[i, k] ** 0.5) / s.alpha + l2)
+
+    for _ in range(2):
+        for y, columns, x in rows:
+            values = [*zip(columns.tolist(), x.tolist(), strict=True), (12, 1.0)]
+            scores = np.array([sum(v * weight(i, k) for i, v in values) for k in range(3)])
+            p = np.exp(scores) / np.exp(scores).sum()
+            w = {(i, k): weight(i, k) for i, _ in values for k in range(3)}
+            for i, v in values:
+                for k in range(3):
+                    g = (p[k] - (y == k)) * v
+                    z[i, k] += g - ((n[i, k] + g * g) ** 0.5 - n[i, k] ** 0.5) / s.alpha * w[i, k]
+                    n[i, k] += g * g
+    expected = np.array([[weight(i, k) for k in range(3)] for i in range(13)])
+    assert np.allclose(got, expected[:-1], atol=1e-5) and np.allclose(bias, expected[-1])
+    assert (got == 0).any() and (got != 0).any()
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 3, 3000)
+    z = rng.normal(size=(3000, 3)) + 1.5 * np.eye(3)[y]
+    t = language.fit_temperature(8 * z, y)
+    p = language.softmax(8 * z / t)
+    assert abs(p.max(1).mean() - (p.argmax(1) == y).mean()) < 0.03 and language.fit_temperature(z[:5], y[:5]) == 1.0
+
+
+def test_the_sample_is_bounded(spark):
+    """A repeated row, or a doc_id of many rows, brings no more rows than the parameter says."""
+    rows = [(2, "the same text again and again")] * 3000 + [(3, f"word{'abcdefghij'[i % 10]} number {'xyz'[i % 3] * (i % 40)} of one id") for i in range(3000)]
+    docs = documents(spark, rows)
+    assert all(zlib.crc32(str(i).encode()) % 3 != 1 for i in (2, 3))
+    names, drawn = language.sample(docs.select("doc_id", "text", "lang"), language.Settings(per_language=20))
+    assert names == ["en"] and 0 < len(drawn) <= 20
+
+
+def test_languages_of_awkward_rows(spark):
+    got = language.languages(with_clashes(awkward(spark))).collect()
+    assert len(got) == awkward(spark).count() and {r["lang_pred"] for r in got if r["doc_id"] in (1, 2, 3, 10)} == {"und"}
+    assert {r["lang_pred"] for r in got} <= {"und", "en"}
+    assert language.languages(documents(spark, [])).count() == 0
+    nothing = documents(spark, [(1, "letters here"), (None, None)]).withColumn("lang", F.lit(None).cast("string"))
+    assert {(r["lang_pred"], r["score"]) for r in language.languages(nothing).collect()} == {("und", 0.0)}
