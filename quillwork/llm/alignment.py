@@ -22,6 +22,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import pairwise
 
 import numpy as np
@@ -99,27 +100,31 @@ class Vocabularies:
 def align(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ends of groups, and the packed pair and the end of each link. Each stretch between two neighbouring ends of either kind lies in one token of A and
     one of B, and each overlapping pair has one such stretch."""
-    both = np.union1d(a_ends, b_ends)
+    both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+    twice = both[1:] == both[:-1]
+    common, both = both[1:][twice], both[np.append(True, ~twice)] if len(both) else both
     pairs = b[np.searchsorted(b_ends, both)] << np.int64(32) | a[np.searchsorted(a_ends, both)]
-    return np.intersect1d(a_ends, b_ends, assume_unique=True), pairs, both
-
-
-def groups_text(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> str:
-    """`a1,a2|b1;a3|b2,b3`."""
-    if len(a) == 1 or len(b) == 1:
-        return f"{','.join(map(str, a))}|{','.join(map(str, b))}"
-    out, i, j, m, n = [], 0, 0, 0, 0
-    while m < len(a):
-        if a_ends[m] == b_ends[n]:
-            m += 1
-            n += 1
-            out.append(f"{','.join(map(str, a[i:m]))}|{','.join(map(str, b[j:n]))}")
-            i, j = m, n
-        elif a_ends[m] < b_ends[n]:
-            m += 1
-        else:
-            n += 1
-    return ";".join(out)
+    return common, pairs, both
+
+
+def groups_text(ids: np.ndarray, ends: np.ndarray, cuts: np.ndarray, other: np.ndarray, other_ends: np.ndarray) -> tuple[str, np.ndarray]:
+    """`a1,a2|b1;a3|b2,b3;`, and where in it each group ends."""
+    names, keys = [], []
+    for side, (x, at) in enumerate(((ids, ends), (other, other_ends))):
+        last = np.isin(at, cuts, assume_unique=True)
+        names.append(np.where(last, 2 * side + 1, 2 * side) + 4 * x)
+        keys.append(2 * np.searchsorted(cuts, at) + side)
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    text = [_name(n) for n in np.concatenate(names)[order].tolist()]
+    sizes = np.cumsum(np.fromiter(map(len, text), np.int64, len(text)))
+    return "".join(text), sizes[np.flatnonzero(np.diff(key[order] >> 1, append=-1))]
+
+
+@cache
+def _name(n: int) -> str:
+    """An id and what follows it: a comma within a group, a bar behind A's ids, a semicolon behind the group. At most four texts an id."""
+    return str(n >> 2) + (",", "|", ",", ";")[n & 3]
 
 
 class Pieces(dict):
@@ -137,16 +142,18 @@ class Pieces(dict):
 
 
 class Aligner:
-    """Alignments of pieces, in one process. Past max_items everything is forgotten (`full`), so memory is bounded; pieces over max_chars are not kept."""
+    """Alignments of pieces, in one process. Past max_items everything is forgotten (`full`), so memory is bounded; pieces over max_chars are not kept.
+    with_groups: texts of groups are made; else the pairs of all pieces stay."""
 
-    def __init__(self, vocabularies: Vocabularies, max_items: int = 300_000, max_chars: int = 48):
-        self.v, self.max_items, self.max_chars = vocabularies, max_items, max_chars
+    def __init__(self, vocabularies: Vocabularies, max_items: int = 600_000, max_chars: int = 48, with_groups: bool = True):
+        self.v, self.max_items, self.max_chars, self.with_groups = vocabularies, max_items, max_chars, with_groups
         self.forget()
 
     def forget(self) -> None:
         self.pieces, self.groups = Pieces(), []
-        self.sizes = np.zeros((1024, 5), np.int64)  # n_a, n_b, n_groups, n_links, and whether both give the text back
-        self.pairs: list[np.ndarray] = []
+        self.sizes = np.zeros((1024, 5), np.int32)  # n_a, n_b, n_groups, n_links, and whether both give the text back
+        self.start = np.zeros(1024, np.int64)  # where a piece's pairs begin
+        self.pairs, self.used = np.zeros(1024, np.int64), 0
 
     def full(self) -> bool:
         return self.pieces.known >= self.max_items
@@ -166,68 +173,74 @@ class Aligner:
         return np.concatenate(parts)
 
     def learn(self) -> np.ndarray:
-        """Aligns the new pieces; returns the packed pairs of all of them, each piece's one after another."""
+        """Aligns the new pieces; returns their numbers."""
         new, self.pieces.new = self.pieces.new, []
         first = self.pieces.known
         self.pieces.known += len(new)
-        if self.pieces.known > len(self.sizes):
-            self.sizes = np.concatenate([self.sizes, np.zeros((max(self.pieces.known, 2 * len(self.sizes)) - len(self.sizes), 5), np.int64)])
-        self.groups += [""] * len(new)
-        pairs: list[np.ndarray] = [np.zeros(0, np.int64)] * len(new)
+        self.sizes, self.start = grown(self.sizes, self.pieces.known), grown(self.start, self.pieces.known)
+        if self.with_groups:
+            self.groups += [""] * len(new)
+            self.used = 0
         # pieces that keep their tokens when others follow are encoded together
-        many = [i for i, p in enumerate(new) if len(p) <= self.max_chars and p[-1] not in " \t\n" and "▁" not in p]
+        many = [i for i, p in enumerate(new) if len(p) <= self.max_chars and p[-1] not in " \t\n" and "\u2581" not in p]
+        alone = set(range(len(new))).difference(many)
         for at in range(0, len(many), 4096):
             some = many[at : at + 4096]
-            if not self._together([new[i] for i in some], some, first, pairs):
-                for i in some:
-                    self._alone(new[i], i, first, pairs)
-        alone = set(range(len(new))).difference(many)
+            if not self._together([new[i] for i in some], np.array(some, np.int64) + first):
+                alone.update(some)
         for i in alone:
-            self._alone(new[i], i, first, pairs)
+            self._together([new[i]], np.array([first + i]))
             if len(new[i]) > self.max_chars:
                 del self.pieces[new[i]]
-        self.pairs += pairs
-        return np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
+        return np.arange(first, self.pieces.known)
 
-    def _alone(self, piece: str, i: int, first: int, pairs: list[np.ndarray]) -> None:
-        data = piece.encode()
-        a, b = self.v.ids_a(piece), self.v.ids_b(piece)
-        if not (self.v.same(a, self.v.a_bytes, data) and self.v.same(b, self.v.b_bytes, data)):
-            return
-        a_ends, b_ends = np.cumsum(self.v.a_size[a]), np.cumsum(self.v.b_size[b])
-        ends, pairs[i], _ = align(a, a_ends, b, b_ends)
-        self.sizes[first + i] = len(a), len(b), len(ends), len(pairs[i]), 1
-        self.groups[first + i] = groups_text(a.tolist(), a_ends.tolist(), b.tolist(), b_ends.tolist())
-
-    def _together(self, pieces: list[str], places: list[int], first: int, pairs: list[np.ndarray]) -> bool:
-        """The same for pieces one after another in one text, a line break between where a piece has no white space in front."""
-        spaced = [p if p[0] in " \t\n" else "\n" + p for p in pieces]
+    def _together(self, pieces: list[str], places: np.ndarray) -> bool:
+        """Aligns pieces one after another in one text, a line break between where a piece has no white space in front. False if the tokenizers don't give
+        that text back."""
+        spaced = [p if len(pieces) == 1 or p[0] in " \t\n" else "\n" + p for p in pieces]
         text = "".join(spaced)
         data = text.encode()
         a, b = self.v.ids_a(text), self.v.ids_b(text)
         if not (self.v.same(a, self.v.a_bytes, data) and self.v.same(b, self.v.b_bytes, data)):
             return False
         a_ends, b_ends = np.cumsum(self.v.a_size[a]), np.cumsum(self.v.b_size[b])
-        sizes = np.array([len(p.encode()) for p in spaced], np.int64)
+        sizes = np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in spaced), np.int64, len(spaced))
         stops = np.cumsum(sizes)
-        starts = stops - sizes + np.array([len(s) - len(p) for s, p in zip(spaced, pieces, strict=True)], np.int64)
+        starts = stops - sizes + np.fromiter((len(s) - len(p) for s, p in zip(spaced, pieces, strict=True)), np.int64, len(spaced))
         ends, found, at = align(a, a_ends, b, b_ends)
         cuts = np.append(0, ends)
-        if not (cuts[np.searchsorted(cuts, starts)] == starts).all() or not (cuts[np.searchsorted(cuts, stops)] == stops).all():
+        if not all((cuts[np.searchsorted(cuts, x)] == x).all() for x in (starts, stops)):
             return False
-        span = lambda x: (np.searchsorted(x, starts, "right"), np.searchsorted(x, stops, "right"))
-        spans = [span(x) for x in (a_ends, b_ends, ends, at)]
-        where = np.array(places, np.int64) + first
+        spans = [(np.searchsorted(x, starts, "right"), np.searchsorted(x, stops, "right")) for x in (a_ends, b_ends, ends, at)]
         for k, (lo, hi) in enumerate(spans):
-            self.sizes[where, k] = hi - lo
-        self.sizes[where, 4] = 1
-        (a0, a1), (b0, b1), _, (p0, p1) = ([x.tolist() for x in s] for s in spans)
-        a_list, b_list, a_at, b_at = a.tolist(), b.tolist(), a_ends.tolist(), b_ends.tolist()
-        for k, i in enumerate(places):
-            pairs[i] = found[p0[k] : p1[k]]
-            self.groups[first + i] = groups_text(a_list[a0[k] : a1[k]], a_at[a0[k] : a1[k]], b_list[b0[k] : b1[k]], b_at[b0[k] : b1[k]])
+            self.sizes[places, k] = hi - lo
+        self.sizes[places, 4] = 1
+        self.pairs = grown(self.pairs, self.used + len(found))
+        self.pairs[self.used : self.used + len(found)] = found
+        self.start[places] = self.used + spans[3][0]
+        self.used += len(found)
+        if self.with_groups:
+            named, until = groups_text(a, a_ends, ends, b, b_ends)
+            until = np.append(0, until)
+            for place, lo, hi in zip(places.tolist(), until[spans[2][0]].tolist(), until[spans[2][1]].tolist(), strict=True):
+                self.groups[place] = named[lo:hi]
         return True
 
+    def pairs_of(self, places: np.ndarray) -> np.ndarray:
+        """The pairs of pieces, one piece after another; with groups, only of those learnt last."""
+        n = self.sizes[places, 3].astype(np.int64)
+        return self.pairs[np.repeat(self.start[places] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+    def text_of_groups(self, places: np.ndarray) -> str:
+        return "".join([self.groups[i] for i in places.tolist()])[:-1]
+
+
+def grown(x: np.ndarray, n: int) -> np.ndarray:
+    """x with room for n rows."""
+    if len(x) >= n:
+        return x
+    return np.concatenate([x, np.zeros((max(n, 3 * len(x) // 2) - len(x), *x.shape[1:]), x.dtype)])
+
 
 def texts_of(batches: Iterator[pa.RecordBatch], size: int = 1_500_000) -> Iterator[tuple[list, list]]:
     """doc_ids and texts, some `size` characters at a time; null texts are empty."""
@@ -256,32 +269,29 @@ def vocabularies(paths: tuple[str, str]) -> Vocabularies:
 
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their n."""
-    distinct, at = np.unique(keys, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, at, n)
-    return distinct, total
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    return keys[starts], np.add.reduceat(n[order], starts) if len(starts) else n[:0]
 
 
-def partial_counts(docs: DataFrame, paths: tuple[str, str], max_items: int = 300_000) -> DataFrame:
+def partial_counts(docs: DataFrame, paths: tuple[str, str], max_items: int = 600_000) -> DataFrame:
     """key (packed pair), n: distinct keys of each stretch of a partition."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(vocabularies(paths), max_items)
-        hits = np.zeros(0, np.int64)
+        aligner = Aligner(vocabularies(paths), max_items, with_groups=False)
+        hits = np.zeros(1024, np.int64)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            used = np.flatnonzero(hits)
-            if len(used):
-                lists = [aligner.pairs[i] for i in used.tolist()]
-                keys, n = summed(np.concatenate(lists), np.repeat(hits[used], [len(x) for x in lists]))
-                for at in range(0, len(keys), 500_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 500_000]), pa.array(n[at : at + 500_000])], names=["key", "n"])
+            used = np.flatnonzero(hits[: aligner.pieces.known])
+            keys, n = summed(aligner.pairs_of(used), np.repeat(hits[used], aligner.sizes[used, 3]))
+            for at in range(0, len(keys), 500_000):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 500_000]), pa.array(n[at : at + 500_000])], names=["key", "n"])
 
         for _, texts in texts_of(batches):
             rows = [aligner.numbers(" " + t) for t in texts if t]
             aligner.learn()
-            if len(hits) < aligner.pieces.known:
-                hits = np.concatenate([hits, np.zeros(len(aligner.sizes) - len(hits), np.int64)])
+            hits = grown(hits, aligner.pieces.known)
             sound = aligner.sizes[:, 4] > 0
             rows = [r for r in rows if sound[r].all()]
             if rows:
@@ -289,7 +299,7 @@ def partial_counts(docs: DataFrame, paths: tuple[str, str], max_items: int = 300
             if aligner.full():
                 yield from flush()
                 aligner.forget()
-                hits = np.zeros(0, np.int64)
+                hits = np.zeros(1024, np.int64)
         yield from flush()
         del aligner
         release_memory()
@@ -395,7 +405,7 @@ class Counts:
         return found[at]
 
 
-def read_alignments(docs: DataFrame, folder: str, paths: tuple[str, str] | None = None, max_items: int = 300_000) -> DataFrame:
+def read_alignments(docs: DataFrame, folder: str, paths: tuple[str, str] | None = None, max_items: int = 600_000) -> DataFrame:
     """doc_id and FIELDS of each row, by the counts in folder."""
     paths = paths or default_vocabularies()
     names = ["doc_id", *[f.split()[0] for f in FIELDS.split(", ")]]
@@ -403,27 +413,26 @@ def read_alignments(docs: DataFrame, folder: str, paths: tuple[str, str] | None
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, counts = Aligner(vocabularies(paths), max_items), Counts(folder)
-        by_piece = np.zeros((0, 2), np.int64)  # links of the highest count, sum of counts
+        by_piece = np.zeros((1024, 2), np.int64)  # links of the highest count, sum of counts
         for ids, texts in texts_of(batches):
             rows = [aligner.numbers(" " + t) if t else None for t in texts]
-            first = aligner.pieces.known
-            pairs = aligner.learn()
-            n = counts.find(pairs)
-            size = aligner.sizes[first : aligner.pieces.known, 3]
-            ends = np.cumsum(size)
-            total = lambda x: np.diff(np.append(0, np.cumsum(x))[np.append(0, ends)])
-            by_piece = np.concatenate([by_piece, np.stack([total(n == counts.best[pairs >> np.int64(32)]), total(n)], 1)])
+            new = aligner.learn()
+            pairs, size = aligner.pairs_of(new), aligner.sizes[new, 3]
+            n, of = counts.find(pairs), np.repeat(np.arange(len(new)), size)
+            by_piece = grown(by_piece, aligner.pieces.known)
+            by_piece[new, 0] = np.bincount(of[n == counts.best[pairs >> np.int64(32)]], minlength=len(new))
+            np.add.at(by_piece[:, 1], new[of], n)
             out: dict[str, list] = {name: [] for name in names}
             for doc_id, row in zip(ids, rows, strict=True):
                 sound = row is not None and bool(aligner.sizes[row, 4].all())
-                values = [*aligner.sizes[row, :4].sum(0).tolist(), *by_piece[row].sum(0).tolist()] if sound else [0] * 6
-                digest = hashlib.sha256(";".join([aligner.groups[i] for i in row.tolist()]).encode()).hexdigest() if sound else ""
+                values = [*aligner.sizes[row, :4].sum(0, np.int64).tolist(), *by_piece[row].sum(0).tolist()] if sound else [0] * 6
+                digest = hashlib.sha256(aligner.text_of_groups(row).encode()).hexdigest() if sound else ""
                 for name, value in zip(names, (doc_id, *values, digest), strict=True):
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
             if aligner.full():
                 aligner.forget()
-                by_piece = by_piece[:0]
+                by_piece = np.zeros((1024, 2), np.int64)
         del aligner, counts
         release_memory()
 
