@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources import readers
+from ..operators import relational
+from ..sources import readers, workbooks
 from ..storage import scratch
 from .base import Registry, table
 
@@ -26,6 +30,42 @@ def src1_workbooks(spark, d):
     return readers.parse_workbooks(books, schema).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+@R.query("src1_workbook_sheets", """
+SELECT 'n' || s_nationkey || '.xlsx' AS book, 'suppliers' AS sheet, s_suppkey AS id, s_name AS name, CAST(s_acctbal AS DOUBLE) AS balance, strftime(DATE '2020-02-28' + CAST(s_suppkey % 700 AS INT), '%Y-%m-%d') AS day FROM supplier
+UNION ALL SELECT 'n' || n_nationkey || '.xlsx', 'nation', n_nationkey, n_name, NULL, NULL FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)""")
+def src1_workbook_sheets(spark, d):
+    """A workbook of two sheets for each nation that has suppliers, written to the shared folder by tasks and read by the data source."""
+    folder = scratch(spark, "books")
+
+    def book(rows: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        of, nation = int(rows["n_nationkey"].iloc[0]), rows["n_name"].iloc[0]
+        suppliers = [[k, n, b, dt.date(2020, 2, 28) + dt.timedelta(days=k % 700)] for k, n, b in zip(rows["s_suppkey"].tolist(), rows["s_name"], rows["s_acctbal"].tolist(), strict=True)]
+        files, base = fs.FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        own = f"{base}/.{of}-{uuid.uuid4().hex}"
+        with files.open_output_stream(own) as f:
+            f.write(workbooks.write_book({"suppliers": [["id", "name", "balance", "day"], *suppliers], "nation": [["name", "id"], [nation, of]]}))
+        files.move(own, f"{base}/n{of}.xlsx")
+        return pd.DataFrame({"n": [1]})
+
+    joined = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    joined.groupBy("n_nationkey").applyInPandas(book, "n int").count()
+    found = readers.read_workbooks(spark, folder, T.StructType.fromDDL("id long, name string, balance double, day date, _file string, _sheet string"), "*", source=True)
+    return found.select(F.element_at(F.split("_file", "/"), -1).alias("book"), F.col("_sheet").alias("sheet"), "id", "name", "balance", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+@R.query("src2_json_splits", "SELECT doc_id, text, lang, source, length(text) AS n FROM documents")
+def src2_json_splits(spark, d):
+    """Documents as files of one array each, whose blocks are read by tasks of their own; texts and a nested record hold any marks."""
+    given = table(spark, d, "documents").select("doc_id", "text", F.struct("lang", F.array("source").alias("sources")).alias("meta"))
+    path = scratch(spark, "arrays")
+    readers.write_json_arrays(given, path)
+    got = readers.read_json_array(spark, path, given.schema)
+    return got.select("doc_id", "text", "meta.lang", F.col("meta.sources")[0].alias("source"), F.length("text").cast("long").alias("n"))
+
+
 @R.query("src2_json_array", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def src2_json_array(spark, d):
     nation = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -44,6 +84,15 @@ def src3_snk2_csv(spark, d):
     return readers.read_csv(spark, path, given.schema).withColumn("text", F.expr("substring(text, 6, length(text) - 10)"))
 
 
+@R.query("src3_csv_splits", "SELECT doc_id, 'say \"' || text || '\",' AS text, lang FROM documents")
+def src3_csv_splits(spark, d):
+    """Documents as CSV, whose values hold line breaks, quotes and commas; blocks of a file are read by tasks of their own."""
+    given = table(spark, d, "documents").select("doc_id", F.concat(F.lit('say "'), "text", F.lit('",')).alias("text"), "lang")
+    path = scratch(spark, "csv")
+    readers.write_csv(given, path)
+    return readers.read_csv(spark, path, given.schema)
+
+
 @R.query("snk3_csv_separator", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier")
 def snk3_csv(spark, d):
     given = table(spark, d, "supplier").select("s_suppkey", "s_name", F.expr("CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END").alias("s_acctbal"))
@@ -69,14 +118,28 @@ def src5_word_list(spark, d):
     return readers.read_word_list(spark, path)
 
 
-@R.query("src8_list_files", "SELECT n_regionkey AS region, count(*) AS n_nations, true AS in_time_order FROM nation GROUP BY 1")
+@R.query("src8_list_files", "SELECT n_regionkey AS region, n AS n_nations, row_number() OVER (ORDER BY n_regionkey DESC) - 1 AS place FROM (SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1)")
 def src8_list_files(spark, d):
-    """The files of a folder by time; each bears its region's number in its path, and a line for each nation."""
+    """The files of a folder by time, with their places in that order; each bears its region's number in its path, and a line for each nation. They are
+    written so that the order of time is not that of path."""
     path = scratch(spark, "files")
     names = table(spark, d, "nation").select(F.lpad(F.lit("x"), 9, "x").alias("value"), F.col("n_regionkey").alias("of"))
-    names.repartition("of").write.partitionBy("of").text(path)
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        of = int(rows["of"].iloc[0])
+        files, base = fs.FileSystem.from_uri(f"{path}/of={of}")
+        files.create_dir(base, recursive=True)
+        with files.open_output_stream(f"{base}/part-0.txt") as f:
+            f.write(("\n".join(rows["value"]) + "\n").encode())
+        return pd.DataFrame({"n": [1]})
+
+    for row in names.select("of").distinct().orderBy(F.desc("of")).limit(100).collect():  # a folder a region
+        names.where(F.col("of") == row["of"]).groupBy("of").applyInPandas(write, "n int").count()
     found = readers.list_files(spark, f"{path}/*", "part-*")
-    return found.select(F.regexp_extract("path", r"of=(\d+)", 1).cast("int").alias("region"), (F.col("length") / 10).cast("long").alias("n_nations"), F.col("modificationTime").isNotNull().alias("in_time_order"))
+    placed = relational.row_number0(found, "place", F.col("modificationTime"), F.col("path"))
+    return placed.select(F.regexp_extract("path", r"of=(\d+)", 1).cast("int").alias("region"), (F.col("length") / 10).cast("long").alias("n_nations"), "place")
 
 
 @R.query("snk1_json_lines", "SELECT conv_id, turn, role, text FROM conversations")

@@ -9,22 +9,25 @@ from io import BytesIO
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import after, loose, section, strip
 from ..schemas import MEDIA
+from .splits import csv_records, json_records
+from .workbooks import register
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC2: a file holding one array of records."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """SRC2: files that each hold one array of records; a large one is read by many tasks."""
+    return json_records(spark, path, schema)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
-    """SRC3: with a header; quoted fields may hold line breaks and doubled quotes."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep).csv(path)
+    """SRC3: with a header; quoted fields may hold line breaks and doubled quotes; a large file is read by many tasks."""
+    return csv_records(spark, path, schema, sep)
 
 
 def read_media_list(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +44,7 @@ def read_word_list(spark: SparkSession, path: str, comment: str = ";", encoding:
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """SRC8: path, modification time and length; order by time, then path."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "modificationTime", "length")
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "modificationTime", "length").orderBy("modificationTime", "path")
 
 
 # --- workbooks (SRC1): the first sheet of an .xlsx file, by the standard library
@@ -86,9 +89,11 @@ def workbook(rows: list[list[str | None]]) -> bytes:
     return out.getvalue()
 
 
-def read_workbooks(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC1: the first sheet of each workbook under path (one task a workbook), its header row left out, columns by position as declared."""
-    return parse_workbooks(spark.read.format("binaryFile").load(path), schema)
+def read_workbooks(spark: SparkSession, path: str, schema: T.StructType | None = None, sheet: str = "1", source: bool = False) -> DataFrame:
+    """SRC1: a sheet (or all: *) of each workbook at path, a task a workbook and sheet; see `workbooks` for schemas and options."""
+    register(spark)
+    reader = spark.read.format("workbook").option("sheet", sheet).option("source", str(source).lower())
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def parse_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
@@ -252,6 +257,22 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """SNK1: each file one array of records, as SRC2 reads them; as many files as partitions, written in a stream."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            if batch.num_rows:
+                rows = batch.column("value").to_pylist()
+                yield pa.RecordBatch.from_pydict({"value": [before + rows[0], *("," + r for r in rows[1:])]}, schema=schema)
+                before = ","
+        yield pa.RecordBatch.from_pydict({"value": ["]" if before == "," else "[]"]}, schema=schema)
+
+    schema = pa.schema([("value", pa.string())])
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """SNK2, SNK3: with a header; as many files as partitions; white space around values stays."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
