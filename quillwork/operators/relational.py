@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import ordered_positions
+from ..storage import free_name, ordered_positions
+from .scans import first_n
 
 
 # --- projection (PRJ1-PRJ10)
@@ -80,9 +81,10 @@ def union_diagonal(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """SET3, WIN8: the first row of each key in a total order."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+    """SET3, WIN8: the first row of each key in a total, ascending order, nulls first; rows are compared map-side, so each task sends one row a key."""
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*order))
+    key = [F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)]
+    return df.groupBy(*key).agg(first.alias("_row")).select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
 # --- counts (AGG1, AGG6)
@@ -101,9 +103,9 @@ def draw(seed: int, key: Column) -> Column:
 
 
 def sample_per_label(df: DataFrame, label: str, key: str, n: int, seed: int = 42) -> DataFrame:
-    """SMP1, SMP2: at most n rows of each label."""
-    w = Window.partitionBy(label).orderBy(draw(seed, F.col(key)), key)
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+    """SMP1, SMP2: at most n rows of each label, the first by draw; each task sends n rows a label at most."""
+    by = free_name(df.columns, "_draw")
+    return first_n(df.withColumn(by, draw(seed, F.col(key))), [label], [by, key], n).drop(by)
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import relational, reshape
+from ..operators import relational, reshape, scans
 from .base import Registry, table
 
 R = Registry()
@@ -106,14 +105,15 @@ def agg17(spark, d):
 
 @R.query("win4_running_sum", "SELECT o_orderkey, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n FROM orders")
 def win4(spark, d):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, d, "orders").select("o_orderkey", F.sum((F.col("o_orderstatus") == "O").cast("int")).over(w).alias("n"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", (F.col("o_orderstatus") == "O").cast("int").alias("one"))
+    return scans.running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "one", "n").select("o_orderkey", "n")
 
 
 @R.query("win5_lead_fill", "SELECT o_orderkey, strftime(coalesce(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), TIMESTAMP '2022-07-01'), '%Y-%m-%d') AS until FROM orders")
 def win5_win6(spark, d):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return table(spark, d, "orders").select("o_orderkey", day(F.coalesce(F.lead("o_orderdate").over(w), F.to_timestamp(F.lit("2022-07-01")))).alias("until"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    got = scans.neighbours(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], after={"next": "o_orderdate"})
+    return got.select("o_orderkey", day(F.coalesce("next", F.to_timestamp(F.lit("2022-07-01")))).alias("until"))
 
 
 @R.query("win8_first_order", "SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders) WHERE r = 1")

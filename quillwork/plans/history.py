@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import relational, reshape, spells
+from ..operators import relational, reshape, scans, spells
 from .base import Registry, table
 
 R = Registry()
@@ -28,9 +27,23 @@ SELECT o_orderkey, lag(o_orderstatus) OVER w AS prev_status, CAST(o_orderstatus
        strftime(lead(o_orderdate) OVER w, '%Y-%m-%d') AS next_date
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
 def win2_lag_change(spark, d):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    prev = F.lag("o_orderstatus").over(w)
-    return table(spark, d, "orders").select("o_orderkey", prev.alias("prev_status"), (~prev.eqNullSafe(F.col("o_orderstatus"))).cast("int").alias("changed"), F.date_format(F.lead("o_orderdate").over(w), "yyyy-MM-dd").alias("next_date"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    got = scans.neighbours(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], before={"prev_status": "o_orderstatus"}, after={"next": "o_orderdate"})
+    changed = (~F.col("prev_status").eqNullSafe(F.col("o_orderstatus"))).cast("int")
+    return got.select("o_orderkey", "prev_status", changed.alias("changed"), F.date_format("next", "yyyy-MM-dd").alias("next_date"))
+
+
+@R.query("win7_hot_key", """
+WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS k, o_orderdate, o_orderkey, o_orderstatus = 'O' AS act FROM orders),
+c AS (SELECT *, CASE WHEN lag(act) OVER w IS DISTINCT FROM act THEN 1 ELSE 0 END AS ch FROM o WINDOW w AS (PARTITION BY k ORDER BY o_orderdate, o_orderkey)),
+s AS (SELECT k, o_orderdate, o_orderkey, act FROM c WHERE ch = 1)
+SELECT k AS id, CASE WHEN act THEN 'active' ELSE 'non_active' END AS status, strftime(o_orderdate, '%Y-%m-%d') AS start_date,
+       strftime(coalesce(lead(o_orderdate) OVER (PARTITION BY k ORDER BY o_orderdate, o_orderkey), TIMESTAMP '2022-07-01'), '%Y-%m-%d') AS end_date FROM s""")
+def win7_hot_key(spark, d):
+    """Spells where one key holds a third of all rows, which fill several tasks."""
+    orders = table(spark, d, "orders").withColumn("k", F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_custkey")))
+    got = spells.spells(orders, "k", "o_orderdate", "o_orderstatus", "o_orderkey", active=("O",))
+    return got.select(F.col("k").alias("id"), "status", F.date_format("start_date", "yyyy-MM-dd").alias("start_date"), F.date_format("end_date", "yyyy-MM-dd").alias("end_date"))
 
 
 @R.query("rsh1_melt", """

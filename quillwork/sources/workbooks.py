@@ -238,6 +238,8 @@ def fitted(value: Any, kind: T.DataType, epoch: dt.datetime = dt.datetime(1899,
             return str(value).lower() in ("true", "1")
         raise ValueError(f"no truth value: {value!r}")
     if isinstance(kind, (T.DateType, T.TimestampNTZType, T.TimestampType)):
+        if isinstance(value, str) and re.fullmatch(r"\d+(\.\d+)?", value.strip()):
+            value = float(value)  # days as text
         if isinstance(value, (int, float)) and not isinstance(value, bool):
             value = epoch + dt.timedelta(milliseconds=round(value * 86_400_000))
         elif isinstance(value, str):
