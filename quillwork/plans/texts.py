@@ -161,9 +161,13 @@ def dat1_spanish_month(spark, d):
     return df.select("o_orderkey", F.date_format(dates.first_of_month(raw), "yyyy-MM-dd").alias("clean_date"), dates.rest_text(raw).alias("rest"))
 
 
-@R.query("dat4_month_series", f"SELECT CAST(i AS INT) AS n, ({_NAMES})[i % 12 + 1] || ' ' || CAST(2007 + i // 12 AS VARCHAR) AS month_text FROM range(204) t(i)")
+@R.query("dat4_month_series", f"""
+SELECT CAST(i AS INT) AS n, ({_NAMES})[i % 12 + 1] || ' ' || CAST(2007 + i // 12 AS VARCHAR) AS month_text, count(o_orderkey) AS n_orders
+FROM range(204) t(i) LEFT JOIN orders ON (year(o_orderdate) - 2007) * 12 + month(o_orderdate) - 1 = i GROUP BY i""")
 def dat4_month_series(spark, d):
-    return dates.month_series(spark)
+    """The months of the series, with the orders of each."""
+    counts = table(spark, d, "orders").groupBy(dates.month_text(F.col("o_orderdate").cast("date")).alias("month_text")).agg(F.count("*").alias("c"))
+    return dates.month_series(spark).join(counts, "month_text", "left").select("n", "month_text", F.coalesce("c", F.lit(0)).alias("n_orders"))
 
 
 @R.query("jon7_report_month", "SELECT p_partkey, strftime(DATE '2007-01-01' + to_months(CAST(p_partkey % 200 AS INT)), '%Y-%m-%d') AS d FROM part")
@@ -232,9 +236,31 @@ def src13_article_fields(spark, d):
     return readers.article_fields(table(spark, d, "pages"), "html", ["page_id"], {"title": ("title", None, None)})
 
 
-@R.query("src12_crawl_grid", "SELECT term, CAST(page AS INT) AS page FROM (VALUES ('agua'), ('mina')) t(term) CROSS JOIN range(1, 6) r(page)")
+@R.query("src10_report_cards", "SELECT page_id, page_id AS report_id, 'Reporte de conflictos N° ' || page_id || ' de' AS title, url AS href FROM pages WHERE url IS NOT NULL AND html IS NOT NULL")
+def src10_report_cards(spark, d):
+    """Listing pages made of the given ones: a report in a card counts, links and cards around it don't."""
+    shown = F.replace(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
+    number = F.col("page_id").cast("string")
+    listing = F.concat(
+        F.lit('<a href="/out">Reporte de conflictos N° 1 </a><div class="row">'), "html", F.lit('<div class="card-body"><a href="'), shown, F.lit('"><h5>Reporte de conflictos N° '), number,
+        F.lit(' de <i>junio 3 </i></h5></a><p>x</p></div><div class="card-body"><a href="/b"><h5>Otro informe 7 </h5></a></div><div class="card"><a href="/c"><h5>Reporte de conflictos 9 </h5></a></div></div>'),
+    )
+    return readers.report_links(table(spark, d, "pages").select("page_id", listing.alias("html")), "page_id", "html")
+
+
+@R.query("src12_section_links", f"""
+WITH n AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '(?s)<a href="[^"]*">.*?</a>') AS a FROM pages),
+t AS (SELECT page_id, unnest(range(0, len(a))) AS place, unnest(a) AS x FROM n),
+u AS (SELECT page_id, place, regexp_replace(regexp_extract(x, '(?s)>(.*)</a>', 1), '\\s+', ' ', 'g') AS title, regexp_extract(x, 'href="([^"]*)"', 1) AS href FROM t)
+SELECT page_id, CAST(place AS INT) AS place, {_plain("trim(title)")} AS title, {_plain("href")} AS href FROM u""")
+def src12_section_links(spark, d):
+    """Links of the navigation alone."""
+    return readers.section_links(table(spark, d, "pages"), "page_id", "html", "nav")
+
+
+@R.query("src12_crawl_grid", "SELECT term, CAST(page AS INT) AS page FROM (SELECT DISTINCT source AS term FROM documents) CROSS JOIN range(1, 6) r(page)")
 def src12_crawl_grid(spark, d):
-    return readers.crawl_grid(spark, ["agua", "mina"], 5)
+    return readers.grid(table(spark, d, "documents").select(F.col("source").alias("term")).distinct(), 5)
 
 
 @R.query("src6_text_after", "SELECT CAST(doc_id AS VARCHAR) AS path, CASE WHEN instr(text, ' the ') > 0 THEN trim(substr(text, instr(text, ' the ') + 5), ' \n') END AS text FROM documents")

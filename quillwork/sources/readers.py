@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import after, loose, section, strip
+from ..functions.text import after, loose, section, spaced_number, strip
 from ..schemas import MEDIA
+from .markup import elements
 from .splits import csv_records, json_records
 from .workbooks import register
 
@@ -234,11 +235,20 @@ def article_fields(pages: DataFrame, html: str, keep: list[str], wanted: dict[st
     return pages.withColumn("_f", read(html)).select(*keep, "_f.*").dropna(how="any", subset=list(wanted))
 
 
-def report_links(pages: DataFrame, key: str, html: str, word: str) -> DataFrame:
-    """SRC10: key, report number (first number of the title) and href of links whose title holds the word."""
-    found = pages.select(key, F.inline(links(html)))
-    number = F.nullif(F.regexp_extract("title", r"(\d+)", 1), F.lit("")).try_cast("long")
-    return found.where(F.contains(F.lower("title"), F.lit(word))).select(key, number.alias("report_id"), "title", "href")
+def report_links(pages: DataFrame, key: str, html: str, word: str = "conflictos", card: str = "[class=card-body]") -> DataFrame:
+    """SRC10: key, report number, title and href of the report cards of a listing page: in each card, the href of the first child, and as title the
+    text that leads its first child; cards whose title holds the word, by the number in it that has white space on both sides. Links outside cards
+    don't count."""
+    fields = {"title": (":nth-child(1) > :nth-child(1)", "lead"), "href": ("> :nth-child(1)", "@href")}
+    found = pages.select(key, F.inline(elements(F.col(html), card, {n: ("> " + p.removeprefix("> "), w) for n, (p, w) in fields.items()})))
+    number = spaced_number(F.concat(F.lit(" "), "title", F.lit(" ")))
+    return found.where(F.contains("title", F.lit(word))).select(key, number.alias("report_id"), "title", "href")
+
+
+def section_links(pages: DataFrame, key: str, html: str, section: str = "section#search-page") -> DataFrame:
+    """SRC12: key, place (from 0), title and href of the links inside the first section of that path."""
+    inside = elements(F.col(html), section + " a[href]", {"title": ("", "text"), "href": ("", "@href")})
+    return pages.select(key, F.posexplode(inside).alias("place", "_l")).select(key, "place", "_l.title", "_l.href")
 
 
 def crawl_grid(spark: SparkSession, terms: list[str], pages: int, inclusive: bool = True) -> DataFrame:

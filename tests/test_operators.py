@@ -145,7 +145,7 @@ def test_readers(spark, tmp_path):
 
 
 def test_html(spark):
-    html = '<div><h1>T &amp; t</h1><p class="x">a <b>b</b></p><a href="/1">Reporte de conflictos Nº 12</a><a href="/2">other</a></div>'
+    html = '<div><h1>T &amp; t</h1><p class="x">a <b>b</b></p><a href="/0">Reporte de conflictos Nº 1</a><div class="card-body"><a href="/1"><h5>Reporte de conflictos Nº 12</h5></a></div><a href="/2">other</a></div>'
     pages = spark.createDataFrame([(1, html), (2, "<h1>only</h1>"), (3, None)], "id int, html string")
     assert [tuple(r) for r in readers.report_links(pages, "id", "html", "conflictos").collect()] == [(1, 12, "Reporte de conflictos Nº 12", "/1")]
     assert [tuple(r) for r in readers.article_fields(pages, "html", ["id"], {"title": ("h1", None, None), "body": ("p", "class", "x")}).collect()] == [(1, "T & t", "a b")]
