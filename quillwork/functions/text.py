@@ -94,9 +94,55 @@ def conflict_type(c: Column) -> Column:
     return F.lower(out.otherwise(c))
 
 
+#: STR19: words behind whose dot a sentence goes on, beside single letters and numbers.
+ABBREVIATIONS = ("dr", "dra", "sr", "sra", "srta", "ing", "lic", "prof", "gral", "art", "av", "aprox", "dpto", "prov", "dist", "núm", "nro", "pág", "ej", "mr", "mrs", "ms", "st", "vs", "etc", "no", "vol", "fig")
+_CLOSE = r"[\"'\])}>»”’]"
+
+
+def token_rules(abbreviations: tuple[str, ...] = ABBREVIATIONS) -> list[tuple[str, str]]:
+    """STR19: the rewrites that put white space between tokens, in order: patterns without look-around, and replacements in which {n} is a group. They
+    follow the well-known treebank conventions: a dot is a token of its own only where a sentence ends, commas and colons stay within numbers, opening
+    and closing double quotes become `` and '', contractions are cut. Texts have a space at both ends."""
+    words_ = "|".join(map(re.escape, abbreviations))
+    held = (rf"(?i)(\s[(\"']?(?:{words_}|\pL|\d+))\.(\s+[^\s])", "{1}\x02{2}")
+    return [
+        (r"[\x01\x02]", " "),
+        held,  # twice, since neighbours share a character
+        held,
+        (rf"([^\s.])\.({_CLOSE}*)(\s)", "{1} . {2}{3}"),
+        ("\x02", "."),
+        (r"([«“‘„]|`+)", " {1} "),
+        (r"([\s(\[{<])(?:\"|'')", "{1} `` "),
+        (r"(?i)(\s)'([a-ce-lo-ru-z0-9_])(\s)", "{1}' {2}{3}"),
+        (r"([:,])([^\d])", " {1} {2}"),
+        (r"(\.\.+)", " {1} "),
+        (r"([;@#$%&?!*\[\](){}<>])", " {1} "),
+        (r"([^'])'(\s)", "{1} '{2}"),
+        (r"(--)", " {1} "),
+        (r"([»”’])", " {1} "),
+        (r"(?:''|\")", " '' "),
+        (r"(?i)([^'\s])('s|'m|'d|'ll|'re|'ve|n't)(\s)", "{1} {2}{3}"),
+        (r"(?i)\b(can)(not)\b", " {1} {2} "),
+        (r"(?i)\b(d)('ye)\b", " {1} {2} "),
+        (r"(?i)\b(gim|lem)(me)\b", " {1} {2} "),
+        (r"(?i)\b(gon|wan)(na)\b", " {1} {2} "),
+        (r"(?i)\b(got)(ta)\b", " {1} {2} "),
+        (r"(?i)\b(more)('n)\b", " {1} {2} "),
+        (r"(?i)(\s)('t)(is|was)\b", "{1}{2} {3}"),
+    ]
+
+
+def tokens(c: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS) -> Column:
+    """STR19: the words and marks of a text, by `token_rules` in the JVM; null for null."""
+    c = F.concat(F.lit(" "), c, F.lit(" "))
+    for pattern, by in token_rules(abbreviations):
+        c = F.regexp_replace(c, pattern, re.sub(r"\{(\d)\}", r"$\1", by))
+    return words(c)
+
+
 def tokens_without(c: Column, stop: list[str]) -> Column:
-    """STR19: lower-cased words and single marks, stop words left out."""
-    found = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"), 0)
+    """STR19: tokens of the text in lower case, stop words left out."""
+    found = tokens(F.lower(c))
     return F.filter(found, lambda t: ~t.isin(*stop)) if stop else found
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
@@ -123,7 +125,16 @@ def rpt1_clean_occurrences(spark, d):
     return reports.clean_occurrences(rows, stop=["la"]).select(*names).withColumns({"clean_date": F.date_format("clean_date", "yyyy-MM-dd"), "dialogo": F.col("dialogo").cast("int")})
 
 
-_TOKENS = "list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+|[^\\s\\p{L}\\p{N}]'), lambda t: NOT list_contains(" + _LIST(STOP) + ", t))"
+def _tokens(column: str) -> str:
+    """The rewrites of STR19 in SQL."""
+    out = f"' ' || {column} || ' '"
+    for pattern, by in text.token_rules():
+        quoted = [x.replace("'", "''") for x in (pattern, re.sub(r"\{(\d)\}", r"\\\1", by))]
+        out = f"regexp_replace({out}, '{quoted[0]}', '{quoted[1]}', 'g')"
+    return f"list_filter(string_split_regex({out}, '\\s+'), lambda x: x <> '')"
+
+
+_TOKENS = f"list_filter({_tokens('lower(text)')}, lambda t: NOT list_contains({_LIST(STOP)}, t))"
 
 
 @R.query("str19_clean_text", f"SELECT item_id, array_to_string({_TOKENS}, ' ') AS t FROM benchmark")
@@ -131,6 +142,19 @@ def str19_clean_text(spark, d):
     return table(spark, d, "benchmark").select("item_id", text.clean_text(F.col("text"), STOP).alias("t"))
 
 
+#: What surrounds a text here, so that contractions, quotes, brackets, numbers and dots of each kind occur.
+_AROUND = ("Dr. Who can't say \"", "\" (cf. art. 3). It's 3.50, i.e. $1,000... We'll see: cannot 'go' at 3:00, n. 5 (fin.)")
+
+
+@R.query("str19_tokens", f"""
+WITH t AS (SELECT doc_id, {_tokens("'" + _AROUND[0].replace("'", "''") + "' || text || '" + _AROUND[1].replace("'", "''") + "'")} AS t FROM documents)
+SELECT doc_id, CAST(len(t) AS INT) AS n, md5(array_to_string(t, ' ')) AS tokens FROM t""")
+def str19_tokens(spark, d):
+    found = text.tokens(F.concat(F.lit(_AROUND[0]), "text", F.lit(_AROUND[1])))
+    docs = table(spark, d, "documents").select("doc_id", found.alias("t"))
+    return docs.select("doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ").cast("binary")).alias("tokens"))
+
+
 _CLEAN = "list_filter(list_transform(list_filter(string_split_regex(translate(text, '\",.:;''()', ''), '\\s+'), lambda x: x <> ''), lambda x: lower(x)), lambda t: NOT list_contains(" + _LIST(STOP) + ", t))"
 
 
