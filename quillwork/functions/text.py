@@ -39,7 +39,7 @@ def without_punctuation(c: Column) -> Column:
 
 
 def ascii_letters(c: Column) -> Column:
-    """STR12: Spanish letters to ASCII, and the degree sign to `deg`."""
+    """STR12: Spanish letters to ASCII, and the degree sign to `deg`; `latin.latin_to_ascii` does all Latin letters."""
     return F.replace(F.translate(c, *ACCENTS), F.lit("°"), F.lit("deg"))
 
 

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, text
+from ..functions import dates, latin, text, urls
 from ..operators import sentiment
 from ..sources import readers
 from .base import Registry, table
@@ -60,6 +60,26 @@ def str12_ascii(spark, d):
     return table(spark, d, "benchmark").select("item_id", text.ascii_letters(F.col("text")).alias("t"))
 
 
+@R.query("str12_latin", "SELECT doc_id, 'S1/2fi Celo -- ' || replace(replace(replace(strip_accents(text), 'ß', 'ss'), '—', '--'), 'œ', 'oe') AS t FROM documents")
+def str12_latin(spark, d):
+    return table(spark, d, "documents").select("doc_id", latin.latin_to_ascii(F.concat(F.lit("Ŝ½ﬁ Čęłø — "), "text")).alias("t"))
+
+
+@R.query("url1_join", r"""
+WITH b AS (SELECT page_id, url, regexp_extract(url, '^([A-Za-z][^:/?#]*://[^/?#]*)', 1) AS origin, regexp_extract(url, '^([A-Za-z][^:/?#]*):', 1) AS scheme, regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT page_id, '/x/../' || page_id || '/./y?q#f' AS ref, origin || '/' || page_id || '/y?q#f' AS target FROM b
+UNION ALL SELECT page_id, '?z=1', origin || path || '?z=1' FROM b
+UNION ALL SELECT page_id, '../up', origin || CASE WHEN path LIKE '%/' THEN regexp_replace(path, '[^/]+/$', '') ELSE regexp_replace(path, '[^/]+/[^/]*$', '') END || 'up' FROM b
+UNION ALL SELECT page_id, '//h.org/a/./b/..', scheme || '://h.org/a/' FROM b
+UNION ALL SELECT page_id, 'mailto:x@y', 'mailto:x@y' FROM b
+UNION ALL SELECT page_id, '#top', regexp_replace(url, '#.*$', '') || '#top' FROM b)
+SELECT page_id, ref, target FROM r""")
+def url1_join(spark, d):
+    refs = [F.concat(F.lit("/x/../"), F.col("page_id").cast("string"), F.lit("/./y?q#f")), *map(F.lit, ("?z=1", "../up", "//h.org/a/./b/..", "mailto:x@y", "#top"))]
+    pages = table(spark, d, "pages").select("page_id", "url", F.explode(F.array(*refs)).alias("ref"))
+    return pages.select("page_id", "ref", urls.join_url(F.col("url"), F.col("ref")).alias("target"))
+
+
 @R.query("str13_leading_int", "SELECT o_orderkey, coalesce(try_cast(left(f, 3) AS INT), try_cast(left(f, 2) AS INT), try_cast(left(f, 1) AS INT)) AS n FROM (SELECT o_orderkey, o_orderkey || 'x' AS f FROM orders)")
 def str13_leading_int(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.leading_int(F.concat(F.col("o_orderkey").cast("string"), F.lit("x"))).alias("n"))
