@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import parse_json, parse_plain
 from ..functions.text import format_text
 from ..schemas import LABELS
+from .responses import stored_answers
 
 Provider = Callable[[str, str], str]
 #: How a case is shown, of its conflict and its event (a fixed format).
@@ -78,9 +79,11 @@ def parsed(df: DataFrame) -> DataFrame:
     return d.withColumns({"normalized_label": pick("label"), "is_invalid": pick("is_invalid"), "error": pick("error")}).drop("_plain", "_json")
 
 
-def review(df: DataFrame, text: str, truth: str, styles: list[str], examples: list[tuple[str, str]] | None = None, provider: Provider = offline) -> DataFrame:
-    """LLM2: every row under every style, answered, parsed and compared."""
-    got = parsed(ask(prompts(df, text, styles, examples), provider))
+def review(df: DataFrame, text: str, truth: str, styles: list[str], examples: list[tuple[str, str]] | None = None, provider: Provider = offline, store: str | None = None, model_name: str = "offline") -> DataFrame:
+    """LLM2: every row under every style, answered, parsed and compared. With a store (a folder's URI), equal prompts are asked once and repeated tasks
+    never ask again; rows then bear model_name and response_id."""
+    made = prompts(df, text, styles, examples)
+    got = parsed(stored_answers(made, provider, store, model_name) if store else ask(made, provider))
     return got.withColumn("is_correct", F.col("normalized_label").eqNullSafe(F.col(truth)))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..operators import metrics, review
+from ..operators import metrics, review, training
+from ..storage import scratch
 from .base import Registry, table
 
 R = Registry()
@@ -142,6 +143,22 @@ def llm2_review(spark, d):
     return review.review(df, "text", "truth", _STYLES).select("item_id", "prompt_style", "normalized_label", "is_correct")
 
 
+_SAID = "lower('Report: ' || text)"
+
+
+@R.query("llm1_stored_answers", f"""
+WITH p AS (SELECT conv_id, turn, '{_HEAD['zero_shot_simple']}{_ASK[0]}' || text || '{_ASK[1]}' AS u, text FROM conversations WHERE role = 'user'),
+a AS (SELECT *, sha256('7:offline' || length('{_SYSTEM}') || ':{_SYSTEM}' || length(u) || ':' || u) AS k,
+             CASE WHEN regexp_matches(lower(text), 'dialog|diálogo|meeting|reunión|mesa|table') THEN 'HAY_DIALOGO' ELSE 'NO_DIALOGO' END AS label FROM p)
+SELECT conv_id, turn, 'zero_shot_simple' AS prompt_style, CASE WHEN u IS NOT NULL THEN 'offline' END AS model_name, CASE WHEN u IS NOT NULL THEN label END AS raw_response_text,
+       CASE WHEN u IS NOT NULL THEN label END AS normalized_label, 'resp_' || left(k, 24) AS response_id FROM a""")
+def llm1_stored_answers(spark, d):
+    """What users say, asked about once for each distinct text."""
+    said = table(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    got = review.review(said.withColumn("truth", F.lit("NO_DIALOGO")), "text", "truth", ["zero_shot_simple"], store=scratch(spark, "answers"))
+    return got.select("conv_id", "turn", "prompt_style", "model_name", "raw_response_text", "normalized_label", "response_id")
+
+
 @R.query("llm3_multi_agent", f"SELECT item_id, {_ANSWER} AS agent_a_argument, {_ANSWER} AS agent_b_argument, {_ANSWER} AS normalized_label, {_ANSWER} = 'NO_DIALOGO' AS is_correct FROM benchmark")
 def llm3_multi_agent(spark, d):
     df = _cases(spark, d).withColumn("truth", F.lit("NO_DIALOGO"))
@@ -155,4 +172,19 @@ def mlt1_classifier(spark, d):
     return model.transform(df).select("doc_id", F.col("prediction").cast("int").alias("prediction"))
 
 
+@R.query("mlt1_training", """
+WITH d AS (SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || doc_id), doc_id) AS r, count(*) OVER (PARTITION BY lang) AS n FROM documents WHERE lang IS NOT NULL),
+s AS (SELECT CASE WHEN r <= floor(n * 0.7 + 1e-9) THEN 'train' WHEN r <= floor(n * 0.85 + 1e-9) THEN 'validation' ELSE 'test' END AS split FROM d)
+SELECT split, count(*) AS n_rows, true AS f1_macro_over_85, true AS best_is_kept FROM s GROUP BY 1""")
+def mlt1_training(spark, d):
+    """The language of each document, trained on the first split, chosen on the second; AGG13's metrics of each split against a threshold."""
+    df = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("y"))
+    model, split = training.train_epochs(df, "text", "y", "doc_id")
+    best = max(h["value"] for h in model.history) == model.history[model.best_epoch - 1]["value"]
+    found = training.predict(split, model, "text")
+    per = [metrics.multiclass(found.where(F.col("split") == s), "y", "prediction").select(F.lit(s).alias("split"), (F.col("f1_macro") >= 0.85).alias("f1_macro_over_85")) for s in ("train", "validation", "test")]
+    counts = split.groupBy("split").agg(F.count("*").alias("n_rows"))
+    return counts.join(per[0].unionByName(per[1]).unionByName(per[2]), "split").withColumn("best_is_kept", F.lit(best))
+
+
 QUERIES, ORACLES = R.queries, R.oracles
