@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates, text
+from ..functions import dates, markers, text
 from ..schemas import RECORD
 from . import relational, reshape, spells
 
@@ -50,10 +50,16 @@ def workbook_spells(df: DataFrame) -> DataFrame:
     return spells.spells(long, "id", "date", "status", "ord")
 
 
+def _mended(body: Column) -> Column:
+    """Labels made whole: those without white space in one pass, the others one by one."""
+    labels = [f"{x}:" for x in RECORD_FIELDS]
+    return text.repair(markers.repair(body, [x for x in labels if " " not in x]), [x for x in labels if " " in x])
+
+
 def report_records(df: DataFrame, key: str, body: str, number: Column, departments: list[str]) -> DataFrame:
     """The records of report texts: by department, then record, then field; labels broken by white space are repaired, missing fields take defaults."""
-    whole = df.select(key, number.alias("_n"), text.repair(F.col(body), [f"{x}:" for x in RECORD_FIELDS]).alias("_t"))
-    by_place = reshape.sections(whole.withColumn("_k", F.struct(key, "_n")), "_k", "_t", departments)
+    whole = df.select(key, number.alias("_n"), _mended(F.col(body)).alias("_t"))
+    by_place = markers.sections(whole.withColumn("_k", F.struct(key, "_n")), "_k", "_t", departments)
     rows = by_place.select("_k.*", F.col("marker").alias("Dpto"), F.explode(reshape.records(F.col("section"))).alias("_r"))
     found = rows.withColumn("_f", reshape.repaired(reshape.fields(F.col("_r"), RECORD_FIELDS), {"Ingreso como caso nuevo": "", "Actores secundarios": "", "Actores terciarios": ""}))
     names = [n for n in RECORD if n not in ("Dpto", "Mes", "NInforme")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import markers
 from ..operators import relational, reshape, scans, spells
 from .base import Registry, table
 
@@ -109,6 +110,23 @@ def rsh6_sections(spark, d):
     return reshape.sections(table(spark, d, "part").withColumn("txt", text), "p_partkey", "txt", ["ALFA", "BETA", "DELTA", "GAMA"])
 
 
+#: 25 names as departments have them, of which a text holds some.
+_PLACES = [f"REGION {chr(65 + i)}" for i in range(25)]
+
+
+@R.query("rsh6_many_markers", """
+WITH t AS (SELECT o_orderkey, 'head ' || 'REGION ' || chr(CAST(65 + o_orderkey % 12 AS INT)) || ' Ca so: ' || o_custkey || ' REGION ' || chr(CAST(65 + 12 + o_orderkey % 13 AS INT)) || ' Lu gar: x' AS txt FROM orders)
+SELECT o_orderkey, 'REGION ' || chr(CAST(65 + o_orderkey % 12 AS INT)) AS marker, 'REGION ' || chr(CAST(65 + o_orderkey % 12 AS INT)) || ' Caso: ' || o_custkey || ' ' AS section FROM orders
+UNION ALL SELECT o_orderkey, 'REGION ' || chr(CAST(65 + 12 + o_orderkey % 13 AS INT)), 'REGION ' || chr(CAST(65 + 12 + o_orderkey % 13 AS INT)) || ' Lugar: x' FROM orders""")
+def rsh6_many_markers(spark, d):
+    """25 markers and 9 labels in a pass each."""
+    place = lambda n: F.concat(F.lit("REGION "), F.char(n.cast("int")))
+    key = F.col("o_orderkey")
+    txt = F.concat(F.lit("head "), place(65 + key % 12), F.lit(" Ca so: "), F.col("o_custkey").cast("string"), F.lit(" "), place(77 + key % 13), F.lit(" Lu gar: x"))
+    labels = ["Caso:", "Lugar:", "Tipo:", "Fecha:", "Actores:", "Detalle:", "Mes:", "Nota:", "Fin:"]
+    return markers.sections(table(spark, d, "orders").select("o_orderkey", markers.repair(txt, labels).alias("txt")), "o_orderkey", "txt", _PLACES)
+
+
 @R.query("rsh7_record_split", "SELECT s_suppkey, unnest(['Tipo: a' || s_name || ' ', 'Tipo: b']) AS rec FROM supplier")
 def rsh7_record_split(spark, d):
     text = F.expr("'preface Tipo: a' || s_name || ' Tipo: b'")
