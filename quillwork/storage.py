@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +26,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-#: For each scope that is open, the tables written in it.
-_scopes: list[list[str]] = []
+#: For each scope that is open in this thread, the tables written in it; queries of other threads have scopes of their own.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def scratch(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A new path in the shared folder; keep: it outlives the innermost scope."""
     path = f"{shared_dir(spark).rstrip('/')}/quillwork/{name}-{uuid.uuid4().hex}"
-    if len(_scopes) > keep:
-        _scopes[-1 - keep].append(path)
+    scopes = _scopes.get()
+    if len(scopes) > keep:
+        scopes[-1 - keep].append(path)
     return path
 
 
@@ -47,11 +49,13 @@ def release_shuffles(spark: SparkSession) -> None:
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Removes the tables written inside at the end, but for those that were written with keep. What leaves the scope must not read them."""
-    _scopes.append([])
+    mine: list[str] = []
+    token = _scopes.set((*_scopes.get(), mine))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scopes.reset(token)
+        for path in mine:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         release_shuffles(spark)
