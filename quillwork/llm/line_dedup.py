@@ -1,8 +1,9 @@
 """Operator 10: line dedup by a log-template tree.
 
 Lines (cut at newlines) of at least `least_tokens` tokens, by default all but blank ones, go down a tree of fixed depth: number of tokens, then the
-leading tokens (a shorter line has its last one again), where a token with a digit is a variable field. A leaf with more than `crowd` distinct lines
-branches on by the following slots, one after another. A leaf's lines are folded into `slots` position-wise hashes (a line with fewer tokens has
+leading tokens (a shorter line has its last one again), where a token with a digit is a variable field. Lines of a leaf with more than `crowd` distinct
+ones are also dealt to nodes by what stands in bands of their slots, one band more than a template has variable slots, so that all lines of a template
+meet in a node, whichever field varies; a node founds `crowd` templates at most, and lines that fit none of them are dealt on by further bands. A leaf's lines are folded into `slots` position-wise hashes (a line with fewer tokens has
 each in slots of its own) and matched one after another, in a fixed order, against the leaf's templates: where enough slots agree the line joins the
 template, and slots that differ become variable fields; else it founds a template.
 
@@ -235,42 +236,98 @@ def near_classes(classes: DataFrame, runs: DataFrame, settings: Settings = Setti
     return components(links.unionByName(more))
 
 
-def templates(leaf_rows: np.ndarray, similar: float) -> np.ndarray:
-    """The template of each of a leaf's lines (slots, in the order of matching)."""
-    n, width = leaf_rows.shape
-    known, fixed = np.zeros((n, width), np.uint32), np.ones((n, width), bool)
-    out, count = np.zeros(n, np.int32), 0
-    for i, row in enumerate(leaf_rows):
-        best = -1
-        if count:
-            held = fixed[:count]
-            kept = held.sum(1)
-            same = ((known[:count] == row) & held).sum(1) / np.maximum(1, kept) * (2 * kept >= width)
+class Templates:
+    """The templates of a node, to which its lines come one after another. At most `most` are founded; a line that fits none is then left over (-1)."""
+
+    def __init__(self, width: int, similar: float, most: int | None):
+        self.similar, self.most, self.width = similar, most, width
+        self.known, self.fixed, self.kept = np.zeros((16, width), np.uint32), np.ones((16, width), bool), np.full(16, width)
+        self.count = 0
+
+    def place(self, row: np.ndarray) -> int:
+        n = self.count
+        if n:
+            kept = self.kept[:n]
+            same = ((self.known[:n] == row) & self.fixed[:n]).sum(1) / np.maximum(1, kept) * (2 * kept >= self.width)
             best = int(np.argmax(same))
-            if same[best] < similar:
-                best = -1
-        if best < 0:
-            known[count], best = row, count
-            count += 1
-        else:
-            fixed[best] &= known[best] == row
-        out[i] = best
-    return out
+            if same[best] >= self.similar:
+                self.fixed[best] &= self.known[best] == row
+                self.kept[best] = self.fixed[best].sum()
+                return best
+        if self.most is not None and n >= self.most:
+            return -1
+        if n == len(self.known):
+            self.known = np.concatenate([self.known, np.zeros_like(self.known)])
+            self.fixed, self.kept = np.concatenate([self.fixed, np.ones_like(self.fixed)]), np.concatenate([self.kept, np.full(n, self.width)])
+        self.known[n] = row
+        self.count += 1
+        return n
+
+
+def bands(used: int, settings: Settings) -> list[list[int]]:
+    """The slots that a node's lines don't share by its making, in one band more than a template has variable slots, so that all of a template's lines
+    agree in one band at least; none where no band would be left."""
+    rest = [j for j in range(settings.slots) if not used >> j & 1]
+    variable = settings.slots - int(np.ceil(settings.similar * settings.slots))
+    return [b.tolist() for b in np.array_split(np.array(rest, np.int64), variable + 1)] if len(rest) > variable else []
+
+
+PLACED = "key long, node long, used int, slots binary"
+
+
+def split_nodes(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Rows (PLACED), each in as many nodes as its node has bands: lines that agree in a band meet."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            used, node = batch.column("used").to_numpy(), batch.column("node").to_numpy().view(np.uint64)
+            slots = np.frombuffer(b"".join(batch.column("slots").to_pylist()), np.uint32).reshape(-1, settings.slots)
+            for mask in np.unique(used).tolist():
+                at = np.flatnonzero(used == mask)
+                for k, band in enumerate(bands(mask, settings)):
+                    below = line_keys(mix64(node[at] * MIX2 + np.uint64(k + 1)), slots[at][:, band])
+                    now = np.full(len(at), mask | sum(1 << j for j in band), np.int32)
+                    yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at)), pa.array(below.view(np.int64)), pa.array(now), batch.column("slots").take(pa.array(at))], names=["key", "node", "used", "slots"])
+
+    return rows.select("key", "node", "used", "slots").mapInArrow(split, PLACED)
 
 
 def leaves(lines: DataFrame, settings: Settings) -> DataFrame:
-    """lines (key, leaf, slots), distinct: adds `node`, the leaf, or below a crowded one as many further slots as leave `crowd` lines at most."""
-    done, open_ = None, lines.withColumn("node", F.col("leaf"))
-    for at in range(settings.slots + 1):
-        sizes = open_.groupBy("node").count()
-        if (sizes.agg(F.max("count")).first()[0] or 0) <= settings.crowd:
-            break
-        crowded = materialise(sizes.where(F.col("count") > settings.crowd).select("node"), "crowded")
-        fit = open_.join(crowded, "node", "left_anti").select(*open_.columns)
-        done = fit if done is None else done.unionByName(fit)
-        rest = open_.join(crowded, "node", "left_semi").select(*open_.columns)
-        open_ = materialise(rest.withColumn("node", F.xxhash64("node", F.substring("slots", 4 * at + 1, 4))), "nodes")
-    return open_ if done is None else done.unionByName(open_)
+    """lines (key, leaf, slots), distinct, as PLACED: a node is a leaf, or of a leaf of more than `crowd` lines those that agree in a band."""
+    crowded = materialise(lines.groupBy("leaf").count().where(F.col("count") > settings.crowd).select("leaf"), "crowded")
+    rows = lines.select("key", F.col("leaf").alias("node"), F.lit(0).alias("used"), "slots")
+    crowded = crowded.withColumnRenamed("leaf", "node")
+    if crowded.isEmpty():
+        return rows
+    return rows.join(crowded, "node", "left_anti").select(*rows.columns).unionByName(split_nodes(rows.join(crowded, "node", "left_semi"), settings))
+
+
+def matched_templates(lines: DataFrame, settings: Settings) -> DataFrame:
+    """key, node, template of lines (key, leaf, slots): nodes in order, each line against the templates of its node, of which a node holds `crowd` at
+    most; lines that fit none of so many go to nodes of a further band, and so on until all have their templates."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, known = None, None
+        for batch in batches:
+            found = np.zeros(batch.num_rows, np.int32)
+            rows = np.frombuffer(b"".join(batch.column("slots").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            for i, (of, used) in enumerate(zip(batch.column("node").to_pylist(), batch.column("used").to_pylist(), strict=True)):
+                if of != node:
+                    node, known = of, Templates(settings.slots, settings.similar, settings.crowd if bands(used, settings) else None)
+                found[i] = known.place(rows[i])
+            left = pa.array(found < 0)
+            slots = pa.array([s if o else None for s, o in zip(batch.column("slots").to_pylist(), left.to_pylist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("node"), batch.column("used"), slots, pa.array(found)], names=["key", "node", "used", "slots", "template"])
+
+    placed, out = leaves(lines, settings), None
+    while True:
+        got = placed.repartition(F.xxhash64("node")).sortWithinPartitions("node", "key").mapInArrow(match, f"{PLACED}, template int")
+        got = materialise(got, "templates")
+        fit = got.where("template >= 0").select("key", "node", "template")
+        out = fit if out is None else out.unionByName(fit)
+        if got.where("template < 0").isEmpty():
+            return out
+        placed = split_nodes(got.where("template < 0"), settings)
 
 
 def recurring(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -313,27 +370,7 @@ def _recurring(docs: DataFrame, settings: Settings) -> DataFrame:
     busy = per.join(busy_leaves, "leaf", "left_semi").select("key")
     some = materialise(rows.join(busy, "key", "left_semi"), "rows")
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come node by node."""
-        node, keys, slots = None, [], []
-
-        def done() -> pa.RecordBatch:
-            found = templates(np.frombuffer(b"".join(slots), np.uint32).reshape(len(keys), -1), settings.similar)
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([node] * len(keys), pa.int64()), pa.array(found)], names=["key", "node", "template"])
-
-        for batch in batches:
-            for key, of, data in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "slots")), strict=True):
-                if of != node:
-                    if keys:
-                        yield done()
-                    node, keys, slots = of, [], []
-                keys.append(key)
-                slots.append(data)
-        if keys:
-            yield done()
-
-    placed = leaves(materialise(some.groupBy("leaf", "key").agg(F.min("slots").alias("slots")), "distinct"), settings)
-    matched = materialise(placed.repartition(F.xxhash64("node")).sortWithinPartitions("node", "key").mapInArrow(match, "key long, node long, template int"), "templates")
+    matched = matched_templates(materialise(some.groupBy("leaf", "key").agg(F.min("slots").alias("slots")), "distinct"), settings)
     near = near_classes(classes, sketched.select("around", "runs"), settings).withColumnRenamed("v", "around")
     pairs = some.select("key", "around").join(near, "around", "left").select("key", F.coalesce("component", "around").alias("class")).distinct()
     pairs = materialise(pairs, "pairs")
@@ -346,7 +383,7 @@ def _recurring(docs: DataFrame, settings: Settings) -> DataFrame:
     classes_of = pairs.join(counted.select("key", "node", "template").join(open_, ["node", "template"]), "key").select("node", "template", "class").distinct()
     together = classes_of.groupBy("node", "template").count().where(F.col("count") >= settings.recur).select("node", "template")
     kept = at_once.unionByName(together)
-    return matched.join(kept, ["node", "template"]).select("key")
+    return matched.join(kept, ["node", "template"]).select("key").distinct()
 
 
 def _without(text: bytes, gone: set[int]) -> bytes:

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillwork.llm import line_dedup, near_dedup
 
@@ -187,6 +188,50 @@ def test_crowded_leaves_branch_on(spark):
     assert a == b == {i: "\n".join(t.split("\n")[:4]) for i, t in rows}
 
 
+def with_field(i, place, n_words=12):
+    """A line of n_words whose word at a place is of its own, one that numbers don't make variable."""
+    name = "".join("abcdefghij"[int(d)] for d in str(i))
+    words = ["see", "also", "the", *(f"w{'abcdefghijkl'[k]}" for k in range(n_words - 3))]
+    words[place] = "x" + name
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("crowd", [20, 4096])
+def test_a_template_of_a_crowded_leaf_goes_wherever_its_field_is(spark, crowd):
+    """Nine templates, each with another variable field, and lines of one document alone among them, all in one leaf."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    rows = [(i, "\n".join([with_field(i, 3 + i % 9), "see also the " + " ".join(word() for _ in range(9))])) for i in range(270)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows), line_dedup.Settings(crowd=crowd)).collect()}
+    assert got == {i: t.split("\n")[1] for i, t in rows}
+
+
+def test_a_template_of_many_lines_at_production_settings(spark):
+    names = lambda i: "".join("abcdefghij"[int(d)] for d in f"{i:05}")
+    rows = [(i, f"posted on this site by {names(i)} under the usual terms of use") for i in range(5000)]
+    got = line_dedup.dedup_lines(documents(spark, rows)).agg(F.sum("n_dropped").alias("n"), F.max(F.length("text")).alias("left")).first()
+    assert (got["n"], got["left"]) == (5000, 0)
+
+
+def test_left_over_lines_are_dealt_on_until_all_have_templates(spark):
+    """Against templates of whole leaves: the same lines stand together in threes or more."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 32, (40, 16), dtype=np.uint32)
+    rows = []
+    for k in range(400):
+        row = base[k % 40].copy()
+        at = (k % 40) % 4 * 4
+        row[at : at + k // 40 % 4] = rng.integers(0, 1 << 32, k // 40 % 4, dtype=np.uint32)
+        rows.append((k, 7, bytearray(row.tobytes())))
+    lines = spark.createDataFrame(rows, "key long, leaf long, slots binary")
+    for crowd in (3, 1000):
+        got = line_dedup.matched_templates(lines, line_dedup.Settings(crowd=crowd)).toPandas()
+        assert set(got["key"]) == set(range(400))
+        best = got.groupby(["node", "template"])["key"].agg(set)
+        together = {k: max((s for s in best if k in s), key=len) for k in range(400)}
+        assert all(together[k] == {x for x in range(400) if x % 40 == k % 40} for k in range(400))
+
+
 def brute_runs(text):
     out, words = set(), [("#" if re.search(rb"[0-9]", w) else w) for w in text.encode().split()]
     for i in range(max(1, len(words) - 4)):
@@ -261,4 +306,7 @@ def test_templates_generalise():
     rows = [np.arange(16, dtype=np.uint32), np.arange(16, dtype=np.uint32), np.arange(16, dtype=np.uint32) + 100]
     rows[1] = rows[1].copy()
     rows[1][[3, 7]] = 999
-    assert line_dedup.templates(np.stack(rows), 0.75).tolist() == [0, 0, 1]
+    known = line_dedup.Templates(16, 0.75, None)
+    assert [known.place(r) for r in rows] == [0, 0, 1]
+    few = line_dedup.Templates(16, 0.75, 1)
+    assert [few.place(r) for r in rows] == [0, 0, -1]
