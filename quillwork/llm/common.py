@@ -158,6 +158,13 @@ def smallest_draws(df: DataFrame, draw: Column, ties: str, n: int) -> DataFrame:
     return df.orderBy(F.pmod(draw, F.lit(1 << 40)), ties).limit(n)
 
 
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text and others that go by doc_id) with one row for each doc_id, that of the smallest hash of its text, so that a doc_id of many rows
+    counts once. Each task sends one text for each doc_id at most."""
+    others = [c for c in rows.columns if c not in ("doc_id", "text")]
+    return rows.groupBy("doc_id", *others).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def release_memory() -> None:
     """Gives freed memory back to the system at the end of a task: Python workers live on, beside executors that use what is left."""
     import ctypes

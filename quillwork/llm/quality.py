@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, as_bytes, hashed_words, mix64, smallest_draws, windows
+from .common import WHITE, as_bytes, hashed_words, mix64, one_text_each, smallest_draws, windows
 from .linear import Rows, fit, platt, sigmoid
 
 SYMBOLS = b"#*$%&|<>"
@@ -76,7 +76,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     size = 3 << settings.bits
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = smallest_draws(usable, F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", settings.train_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")  # at most train_rows labels
+    # at most train_rows labels, and one row for each
+    rows = one_text_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

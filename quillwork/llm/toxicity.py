@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, Cache, as_bytes, release_memory, smallest_draws
+from .common import LOWER_BYTES, Cache, as_bytes, one_text_each, release_memory, smallest_draws
 from .linear import Rows, fit, platt, sigmoid
 
 #: What a character may stand for besides itself (fixed values).
@@ -46,10 +46,10 @@ COST_SELF, COST_LOOK, COST_SKIP, COST_REPEAT, COST_DOUBLE, COST_MASK, COST_BREAK
 BREAK = -1
 EDGES = b".,;:!?\"'()[]{}*#%&$<>|~`^-_=+/\\"
 _UNIT = rb"(?:[A-Za-z0-9@$!|*]|\xc3[\x80-\xbf])"
-_GAP = rb"(?:[\x20\x09-\x0D]|\xc2\xa0){1,3}"
+_GAP = rb"(?:[\x20\x09-\x0D]|\xc2\xa0)+"
 SPACED = re.compile(rb"(?<![A-Za-z0-9@$\x80-\xff])(?:" + _UNIT + _GAP + rb"){3,}" + _UNIT + rb"(?![A-Za-z0-9@$\xc3-\xff])")
-_MIXED = rb"(?=[A-Za-z0-9@$|*]{0,11}[A-Za-z])[A-Za-z]*[0-9@$|*][A-Za-z0-9@$|*]{0,11}"
-BROKEN = re.compile(rb"(?<![^\s])" + _MIXED + rb"(?:[ \t]" + _MIXED + rb"){1,7}(?![A-Za-z0-9@$|*])")
+_MIXED = rb"(?=[A-Za-z0-9@$|*]*[A-Za-z])[A-Za-z]*[0-9@$|*][A-Za-z0-9@$|*]*"
+BROKEN = re.compile(rb"(?<![^\s])" + _MIXED + rb"(?:[ \t]" + _MIXED + rb")+(?![A-Za-z0-9@$|*])")
 _NEAR = re.compile(rb"[0-9@$|*][A-Za-z0-9@$|*]*[ \t][A-Za-z]*[0-9@$|*]")  # without it a text has no BROKEN
 #: Chunks that need no decoding, once their edges are off: words, with one hyphen or apostrophe at most. _TRIPLE: a letter three times in a row.
 PLAIN = re.compile(r"[^\W\d_]+(?:['\u2019-][^\W\d_]{2,})?")
@@ -279,8 +279,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     trigrams = letter_trigrams(docs)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     chosen = smallest_draws(usable, F.xxhash64("doc_id", F.lit(settings.seed)), "doc_id", settings.train_rows)
-    # at most train_rows rows are broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # at most train_rows rows are broadcast, and one row for each is learnt from
+    rows = one_text_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, seen = Reader(trigrams, settings), (Counter(), Counter())

@@ -60,3 +60,24 @@ def test_stages_and_run(spark, tmp_path):
         else:
             assert docs.columns == columns
     assert corpus_pipeline.run(spark, sf).count() == kept[-1]
+
+
+def test_two_operators_at_once_in_one_session(spark, sf):
+    """Scopes of scratch tables belong to a thread: one query doesn't remove the other's tables."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from quillwork.llm import line_dedup, near_dedup
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(120)
+    jobs = [lambda: near_dedup.near_duplicates(docs).count(), lambda: line_dedup.dedup_lines(docs).count(), lambda: near_dedup.near_duplicates(docs).count()]
+    with ThreadPoolExecutor(3) as pool:
+        assert [f.result() for f in [pool.submit(j) for j in jobs]] == [120] * 3
+
+
+def test_a_doc_id_of_many_rows_is_learnt_from_once(spark):
+    from quillwork.llm.common import one_text_each
+
+    rows = spark.createDataFrame([(1, f"text {i}", 0) for i in range(5000)] + [(2, "same", 1)] * 3000 + [(3, None, 1)], "doc_id long, text string, y int").repartition(5)
+    got = one_text_each(rows).collect()
+    assert {r["doc_id"] for r in got} == {1, 2, 3} and len(got) == 3
+    assert sorted(map(str, got)) == sorted(map(str, one_text_each(rows.repartition(2)).collect()))
