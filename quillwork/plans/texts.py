@@ -261,12 +261,75 @@ def src7_section_span(spark, d):
     return readers.section_span(pages, "user", "assistant")
 
 
-@R.query("sen1_polarity")
+_VALENCES = {"the": 1.5, "of": -2.0, "in": 0.5, "good": 1.9, "awful": -2.0}
+
+
+def _valence_sql(table_: str, key: str, column: str) -> str:
+    """The valence rules in SQL: words with their three forerunners, then sums."""
+    case = lambda x, of: f"CASE {x} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in of.items()) + " ELSE 0.0 END"
+    boosts = dict.fromkeys(sentiment.BOOST_UP, sentiment.BOOST) | dict.fromkeys(sentiment.BOOST_DOWN, -sentiment.BOOST)
+    denies = lambda x: f"(list_contains({_LIST(sentiment.NEGATIONS)}, replace({x}, chr(39), '')) OR contains({x}, 'n' || chr(39) || 't'))"
+    known = "low IN (" + ", ".join(f"'{w}'" for w in _VALENCES) + ")"
+    caps, no = sentiment.CAPITALS, sentiment.NEGATED
+    chain, source, v = "", "n", "v0"
+    for k, fade in enumerate(sentiment.FADE, 1):
+        between = [f"l{x}" for x in range(1, k)]
+        any_of = lambda w: "(" + " OR ".join(f"{x} = '{w}'" for x in between) + ")"  # noqa: B023, E731
+        special = f"WHEN l{k} = 'never' AND ({any_of('so')} OR {any_of('this')}) THEN p{k} * {1.5 if k == 2 else 1.25} WHEN l{k} = 'without' AND {any_of('doubt')} THEN p{k} " if between else ""
+        held = f"coalesce(NOT k{k}, false)"
+        for step in (
+            f"{v} + CASE WHEN {held} AND b{k} <> 0 THEN sg * (b{k} + {caps} * s{k}) * {fade} ELSE 0 END AS p{k}",
+            f"CASE WHEN NOT {held} THEN p{k} {special}WHEN {denies(f'l{k}')} THEN p{k} * {no} ELSE p{k} END AS q{k}",
+        ):
+            name = step.rsplit(" AS ", 1)[1] + "_"
+            chain += f"{name} AS (SELECT *, {step} FROM {source}),\n"
+            source = name
+        v = f"q{k}"
+    marks = "'.,;:!?\"()[]{}*#%&$<>|~`^-_=+/\\@' || chr(39)"
+    lags = ", ".join(f"lag({c}, {k}) OVER o AS {c[0]}{k}" for k in (1, 2, 3) for c in ("low", "shout", "boost", "known"))
+    return f"""
+WITH s AS (SELECT {key} AS id, {column} AS text, list_filter(string_split_regex({column}, '\\s+'), lambda x: x <> '') AS ws FROM {table_}),
+w AS (SELECT id, text, unnest(range(0, len(ws))) AS i, unnest(ws) AS raw FROM s),
+x AS (SELECT id, text, i, CASE WHEN length(trim(raw, {marks})) <= 2 THEN raw ELSE trim(raw, {marks}) END AS word FROM w),
+u AS (SELECT *, lower(word) AS low, word = upper(word) AND word <> lower(word) AS up FROM x),
+m AS (SELECT *, count(*) FILTER (up) OVER (PARTITION BY id) AS ups, count(*) OVER (PARTITION BY id) AS words, min(CASE WHEN low = 'but' THEN i END) OVER (PARTITION BY id) AS but_at FROM u),
+h AS (SELECT *, CAST(up AND ups < words AS INT) AS shout, {case("low", _VALENCES)} AS val, {case("low", boosts)} AS boost, {known} AS known FROM m),
+g AS (SELECT *, {lags}, lead(low) OVER o AS n1 FROM h WINDOW o AS (PARTITION BY id ORDER BY i)),
+n AS (SELECT *, sign(val) AS sg, val + sign(val) * {caps} * shout AS v0 FROM g),
+{chain}e AS (SELECT *, q3 - CASE WHEN l1 = 'of' AND l2 IN ('kind', 'sort') THEN sg * {sentiment.BOOST} ELSE 0 END AS r FROM {source}),
+f AS (SELECT id, text, i, but_at, CASE WHEN val = 0 OR boost <> 0 OR (low = 'kind' AND coalesce(n1, '') = 'of') THEN 0.0 WHEN l1 = 'least' AND coalesce(l2, '') NOT IN ('at', 'very') THEN r * {no} ELSE r END AS v FROM e),
+t AS (SELECT id, text, v * CASE WHEN but_at IS NULL OR i = but_at THEN 1.0 WHEN i < but_at THEN {sentiment.BUT_BEFORE} ELSE {sentiment.BUT_AFTER} END AS v FROM f),
+a AS (SELECT id, sum(v) AS total, coalesce(sum(v + 1) FILTER (v > 0), 0) AS pos, coalesce(sum(1 - v) FILTER (v < 0), 0) AS neg, count(*) FILTER (v = 0) AS neu,
+             least(length(any_value(text)) - length(replace(any_value(text), '!', '')), 4) * {sentiment.BANG} AS bang, length(any_value(text)) - length(replace(any_value(text), '?', '')) AS asked FROM t GROUP BY 1),
+b AS (SELECT *, bang + CASE WHEN asked < 2 THEN 0 WHEN asked <= 3 THEN {sentiment.QUESTION} * asked ELSE {sentiment.QUESTIONS} END AS stress FROM a),
+d AS (SELECT *, total + sign(total) * stress AS whole, pos + CASE WHEN pos > neg THEN stress ELSE 0 END AS p, neg + CASE WHEN neg > pos THEN stress ELSE 0 END AS ng FROM b)
+SELECT s.id AS {key}, round(coalesce(p / (p + ng + neu), 0), 6) AS pos, round(coalesce(ng / (p + ng + neu), 0), 6) AS neg, round(coalesce(neu / (p + ng + neu), 0), 6) AS neu,
+       round(coalesce(greatest(-1, least(1, whole / sqrt(whole * whole + {sentiment.ALPHA}))), 0), 6) AS compound FROM (SELECT DISTINCT id FROM s) s LEFT JOIN d USING (id)"""
+
+
+@R.query("sen1_polarity", _valence_sql("benchmark", "item_id", "text"))
 def sen1_polarity(spark, d):
-    scored = sentiment.polarity(table(spark, d, "benchmark"), "text", {"the": 1.5, "of": -2.0, "in": 0.5})
+    scored = sentiment.polarity(table(spark, d, "benchmark"), "text", _VALENCES)
     return scored.select("item_id", *[F.round(c, 6).alias(c) for c in ("pos", "neg", "neu", "compound")])
 
 
+#: Beginnings that use each of the rules, by conv_id.
+_SAID = (
+    "NOT good at all, ", "very GOOD but awful! ", "kind of good?? ", "the least good ", "at least good ", "never so good!!! ", "without any doubt awful ", "EXTREMELY good isn't it??? ", "barely, hardly awful ???? ",
+    "never was this good ", "it wasn't so very good! ", "sort of awful but in the end GOOD!!!!! ", "neither good nor awful ", "without doubt the good ", "cannot be good ",
+)
+_SAID_SQL = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in _SAID) + "]"
+
+
+@R.query("sen1_rules", _valence_sql(f"(SELECT conv_id * 1000 + turn AS said, ({_SAID_SQL})[conv_id % {len(_SAID)} + 1] || min(text) AS text FROM conversations GROUP BY conv_id, turn)", "said", "text"))
+def sen1_rules(spark, d):
+    """Turns of conversations behind words that use each of the rules."""
+    starts = F.element_at(F.array(*map(F.lit, _SAID)), (F.col("conv_id") % len(_SAID) + 1).cast("int"))
+    said = table(spark, d, "conversations").groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    said = said.select((F.col("conv_id") * 1000 + F.col("turn")).alias("said"), F.concat(starts, "text").alias("text"))
+    return sentiment.polarity(said, "text", _VALENCES).select("said", *[F.round(c, 6).alias(c) for c in ("pos", "neg", "neu", "compound")])
+
+
 @R.query("src10_links", f"""
 WITH a AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '(?s)<a\\s[^>]*>.*?</a>')) AS x FROM pages),
 t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_extract(x, '(?s)<a\\s[^>]*>(.*)</a>', 1), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g') AS title, regexp_extract(x, 'href="([^"]*)"', 1) AS href FROM a)
