@@ -150,6 +150,19 @@ def snk1_json(spark, d):
     return spark.read.schema(given.schema).json(path)
 
 
+@R.query("snk1_json_columns", """
+WITH r AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS p, count(*) OVER () AS n, c_custkey, c_name, CASE WHEN c_custkey % 4 > 0 THEN c_nationkey END AS c_nationkey FROM customer),
+c AS (SELECT p, n, 0 AS c, '{"c_custkey":{' AS head, CAST(c_custkey AS VARCHAR) AS v FROM r UNION ALL SELECT p, n, 1, '"c_name":{', CAST(to_json(c_name || ' "q"') AS VARCHAR) FROM r
+      UNION ALL SELECT p, n, 2, '"c_nationkey":{', coalesce(CAST(c_nationkey AS VARCHAR), 'null') FROM r)
+SELECT CASE WHEN p = 0 THEN head ELSE '' END || '"' || p || '":' || v || CASE WHEN p < n - 1 THEN ',' WHEN c < 2 THEN '},' ELSE '}}' END AS line FROM c""")
+def snk1_json_columns(spark, d):
+    """The lines of the document."""
+    given = table(spark, d, "customer").select("c_custkey", F.concat("c_name", F.lit(' "q"')).alias("c_name"), F.when(F.col("c_custkey") % 4 > 0, F.col("c_nationkey")).alias("c_nationkey"))
+    path = scratch(spark, "columns")
+    readers.write_json_columns(given, path, "c_custkey")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @R.query("snk6_nested_folder", "SELECT r_regionkey, r_name FROM region")
 def snk6_nested(spark, d):
     given = table(spark, d, "region").select("r_regionkey", "r_name")

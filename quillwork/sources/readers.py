@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import after, loose, section, spaced_number, strip
 from ..schemas import MEDIA
+from ..storage import ordered_positions
 from .markup import elements
 from .splits import csv_records, json_records
 from .workbooks import register
@@ -267,6 +269,35 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_columns(df: DataFrame, path: str, *order: str) -> None:
+    """SNK1, column by column: one document {"column": {"0": value, "1": value, ...}, ...}, rows numbered in ascending order of some columns; dates and
+    times are milliseconds, nulls stay. The files under path, one after another in order of name, are the document; cells are sorted by range, so none
+    of them holds a whole column of a large table."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    placed = ordered_positions(df, *order, position="_place")
+    n = placed.count()
+
+    def text(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        if isinstance(kinds[name], T.DateType):
+            c = F.unix_date(c).cast("long") * 86_400_000
+        elif isinstance(kinds[name], (T.TimestampType, T.TimestampNTZType)):
+            c = F.unix_millis(c.cast("timestamp"))
+        return F.regexp_replace(F.to_json(F.array(c)), r"(?s)\A\[|\]\z", "")
+
+    names = df.columns
+    quoted = [json.dumps(x, ensure_ascii=False) for x in names]
+    if not n:
+        whole = "{" + ",".join(q + ":{}" for q in quoted) + "}"
+        df.sparkSession.createDataFrame([(whole,)], "value string").write.mode("overwrite").text(path)
+        return
+    head = F.element_at(F.array(*[F.lit(("{" if i == 0 else "") + q + ":{") for i, q in enumerate(quoted)]), F.col("c") + 1)
+    end = F.when(F.col("p") < n - 1, ",").when(F.col("c") < len(names) - 1, "},").otherwise("}}")
+    cells = placed.select(F.col("_place").alias("p"), F.posexplode(F.array(*map(text, names))).alias("c", "v"))
+    line = F.concat(F.when(F.col("p") == 0, head).otherwise(""), F.lit('"'), F.col("p").cast("string"), F.lit('":'), "v", end)
+    cells.repartitionByRange("c", "p").sortWithinPartitions("c", "p").select(line.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_json_arrays(df: DataFrame, path: str) -> None:
     """SNK1: each file one array of records, as SRC2 reads them; as many files as partitions, written in a stream."""
 
