@@ -230,8 +230,10 @@ def near_classes(classes: DataFrame, runs: DataFrame, settings: Settings = Setti
     if not grey.limit(1).count():
         return label
     wanted = grey.select(F.explode(F.array("a", "b")).alias("around")).distinct()
-    # the least of equal sketches' sets, so that a rerun decides alike
-    sets = runs.join(wanted, "around", "left_semi").groupBy("around").agg(F.min("runs").alias("runs"))
+    if wanted.count() <= settings.broadcast:
+        wanted = F.broadcast(wanted)  # so that only the sets that are wanted are shuffled
+    # the least of equal sketches' sets, so that a rerun decides alike; written, since both sides of the pairs read it
+    sets = materialise(runs.join(wanted, "around", "left_semi").groupBy("around").agg(F.min("runs").alias("runs")), "sets")
     more = materialise(with_both(grey, sets, "runs").mapInArrow(decide, "a long, b long"), "links")
     return components(links.unionByName(more))
 
