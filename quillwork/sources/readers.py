@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -197,14 +198,22 @@ class _Fields(HTMLParser):
 
     VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
+    #: An ampersand that begins no reference closed by a semicolon; it stands for itself.
+    BARE = re.compile(r"&(?!(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);)")
+
     def __init__(self, wanted: dict[str, tuple[str, str | None, str | None]]) -> None:
         super().__init__(convert_charrefs=True)
-        self.wanted, self.out, self.open = wanted, {}, []
+        self.wanted, self.out, self.open, self.mark = wanted, {}, [], ""
+
+    def read(self, text: str) -> None:
+        """Feeds a whole page, with a character that it doesn't hold in place of bare ampersands."""
+        self.mark = next(c for c in map(chr, range(0xE000, 0x10FFFE)) if c not in text)
+        self.feed(self.BARE.sub(self.mark, text))
 
     def handle_starttag(self, tag, attrs):
         if tag in self.VOID:
             return
-        given = dict(attrs)
+        given = {a: v and v.replace(self.mark, "&") for a, v in attrs}
         hit = next((n for n, (t, a, v) in self.wanted.items() if n not in self.out and t == tag and (a is None or given.get(a) == v)), None)
         if hit:
             self.out[hit] = ""
@@ -218,11 +227,12 @@ class _Fields(HTMLParser):
     def handle_data(self, data):
         for _, name in self.open:
             if name:
-                self.out[name] += data
+                self.out[name] += data.replace(self.mark, "&")
 
 
-def article_fields(pages: DataFrame, html: str, keep: list[str], wanted: dict[str, tuple[str, str | None, str | None]]) -> DataFrame:
-    """SRC13: keep and one column per wanted field; rows that miss a field are dropped."""
+def article_fields(pages: DataFrame, html: str, keep: list[str], wanted: dict[str, tuple[str, str | None, str | None]], drop: bool = True) -> DataFrame:
+    """SRC13: keep and one column per wanted field, with runs of white space (blanks, tabs, line breaks, form feeds) as one blank; rows that miss a field
+    are dropped, or hold null there. References are read where a semicolon closes them."""
     struct = ", ".join(f"{n}: string" for n in wanted)
 
     @F.pandas_udf(f"struct<{struct}>")
@@ -230,11 +240,12 @@ def article_fields(pages: DataFrame, html: str, keep: list[str], wanted: dict[st
         rows = []
         for text in col:
             parser = _Fields(wanted)
-            parser.feed(text or "")
-            rows.append([" ".join(parser.out[n].split()) if n in parser.out else None for n in wanted])
+            parser.read(text or "")
+            rows.append([re.sub(r"[ \t\n\f\r]+", " ", parser.out[n]).strip(" ") if n in parser.out else None for n in wanted])
         return pd.DataFrame(rows, columns=list(wanted))
 
-    return pages.withColumn("_f", read(html)).select(*keep, "_f.*").dropna(how="any", subset=list(wanted))
+    found = pages.withColumn("_f", read(html)).select(*keep, "_f.*")
+    return found.dropna(how="any", subset=list(wanted)) if drop else found
 
 
 def report_links(pages: DataFrame, key: str, html: str, word: str = "conflictos", card: str = "[class=card-body]") -> DataFrame:

@@ -151,6 +151,15 @@ def test_html(spark):
     assert [tuple(r) for r in readers.article_fields(pages, "html", ["id"], {"title": ("h1", None, None), "body": ("p", "class", "x")}).collect()] == [(1, "T & t", "a b")]
 
 
+def test_article_fields_with_cut_references(spark):
+    """A reference cut before its semicolon stays as it is, as in the SQL; pages without the field are kept on demand."""
+    html = ["<title>a &amp; b&amp</title>", "<title>c &lt d&#x27;&#39 &amp;lt; e\u00a0\u00a0f</title>", "<p>none</p>", None]
+    pages = spark.createDataFrame(list(enumerate(html)), "id int, html string")
+    got = readers.article_fields(pages, "html", ["id"], {"title": ("title", None, None)}, drop=False).collect()
+    assert dict(map(tuple, got)) == {0: "a & b&amp", 1: "c &lt d'&#39 &lt; e\u00a0\u00a0f", 2: None, 3: None}
+    assert readers.article_fields(pages, "html", ["id"], {"title": ("title", None, None)}).count() == 2
+
+
 def test_page_texts(spark):
     files = spark.createDataFrame([("f", ["one", "two KEY here ", "KEY again"]), ("g", ["none"])], "path string, pages array<string>")
     pages = readers.page_texts(files, F.col("pages"))
