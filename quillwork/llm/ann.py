@@ -8,6 +8,10 @@ read off the sample: the fewest with which sampled queries find `recall` of thei
 
 Queries whose probed lists hold too few candidates probe on until they hold k or all lists are read.
 
+An exact check follows. The k-th score that a query has found bounds what it may miss: a list holds nothing better where the query's inner product with
+the centroid, and its length times the radius of the list, stay below. Queries go once more to the bins with lists that are not ruled out so, and what the
+first pass has not found there and is as good is added. So the result is exact on any rows; the sample decides only how much the bounds rule out.
+
 Neighbouring lists share a bin of about `block` vectors, and a larger list is cut into several blocks, so that a list, or a vector with its copies, may
 hold a third of all rows. Each vector is shuffled once, to its block; a query goes to the blocks of the bins that it probes, and a task holds one block
 while its queries stream past. The number of lists is the square root of the number of vectors up to `lists`, and the sample grows with it. Only counts, one for each
@@ -19,7 +23,7 @@ null vec_ids take no part; an empty table gives no rows; other columns are ignor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,8 +33,6 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-RESULT = "query_id long, vec_id long, score double"
-
 
 @dataclass(frozen=True)
 class Settings:
@@ -142,6 +144,38 @@ def search_bin(q: np.ndarray, q_ids: np.ndarray, probed: list[np.ndarray], x: np
     return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
 
 
+def reaching(q: np.ndarray, least: np.ndarray, index: Index, radius: np.ndarray) -> np.ndarray:
+    """queries x lists: whether a list may hold a vector whose inner product with the query is `least` or more. radius: by list, below 0 for empty ones."""
+    lengths = np.sqrt((q * q).sum(1))
+    bound = q @ index.centroids.T + lengths[:, None] * radius
+    slip = 1e-9 * lengths[:, None] * (np.sqrt((index.centroids**2).sum(1)) + np.abs(radius))  # of rounding
+    return (bound + slip >= least[:, None]) & (radius >= 0)
+
+
+def check_bin(q: np.ndarray, q_ids: np.ndarray, least: np.ndarray, wanted: np.ndarray, x: np.ndarray, ids: np.ndarray, at: np.ndarray, k: int):
+    """For each query its k best vectors of one block, among those of its wanted lists (queries x lists) with a score of `least` or more: rows of q, rows
+    of x, scores."""
+    lengths = np.sqrt((x * x).sum(1))
+    rows, found, scores = [], [], []
+    for i in range(0, len(q), 64):
+        part = q[i : i + 64]
+        rough = part @ x.T
+        slip = 1e-9 * np.sqrt((part * part).sum(1))[:, None] * lengths  # products of matrices round in another order
+        able = (rough + slip >= least[i : i + 64, None]) & wanted[i : i + 64][:, at]
+        for j in range(len(part)):
+            near = np.flatnonzero(able[j])
+            near = near[ids[near] != q_ids[i + j]]
+            if len(near) > 4 * k:  # only what may be among the k best
+                r, s = rough[j, near], slip[j, near]
+                near = near[r + s >= np.partition(r - s, len(r) - k)[len(r) - k]]
+            exact = (x[near] * part[j]).sum(1)
+            best = np.lexsort((ids[near], -exact))[:k]
+            rows.append(np.full(len(best), i + j))
+            found.append(near[best])
+            scores.append(exact[best])
+    return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 0))
@@ -157,7 +191,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def build(vectors: DataFrame, settings: Settings = Settings()) -> tuple[Index, DataFrame]:
-    """The fitted index, and every usable vector with list, codes and embedding, written to the shared folder."""
+    """The fitted index, and every usable vector with list, codes, embedding, distance to its centroid and a number, written to the shared folder."""
     v = usable(vectors)
     n = v.count()
     # about `size` of the vectors by a hash threshold; at most `size` of those are taken
@@ -171,10 +205,13 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> tuple[Index, D
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                at, codes = encode(_matrix(batch.column("embedding")), index)
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), pa.array(at, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())], names=["vec_id", "embedding", "list", "codes"])
+                x = _matrix(batch.column("embedding"))
+                at, codes = encode(x, index)
+                far = np.sqrt(((x - index.centroids[at]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), pa.array(at, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(far)], names=["vec_id", "embedding", "list", "codes", "far"])
 
-    return index, materialise(v.mapInArrow(put, "vec_id long, embedding array<double>, list int, codes binary"), "ivf")
+    placed = v.mapInArrow(put, "vec_id long, embedding array<double>, list int, codes binary, far double")
+    return index, materialise(placed.withColumn("row", F.monotonically_increasing_id()), "ivf")
 
 
 def _bins(counts: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
@@ -188,24 +225,19 @@ def _bins(counts: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
     return out
 
 
-ROUTED = "query_id long, query array<double>, bin int, lists array<int>"
+ROUTED = "query_id long, query array<double>, least double, bin int, lists array<int>"
+RESULT = "query_id long, row long, vec_id long, score double"
 
 
-def nearest(vectors: DataFrame, every: int = 20, settings: Settings = Settings()) -> DataFrame:
-    """query_id, rank, vec_id, score: for each vector whose vec_id is divisible by `every`, its k nearest others that were found."""
-    spark = vectors.sparkSession
-    index, stored = build(vectors, settings)
-    per_list = {r["list"]: r["count"] for r in stored.groupBy("list").count().collect()}  # one row per list
-    bins = _bins(per_list, settings.block)
-    counts = np.array([per_list.get(i, 0) for i in range(len(index.centroids))])
+def _routed(asked: DataFrame, bins: dict[int, tuple[int, int]], choose: Callable[[pa.RecordBatch], list[np.ndarray]]) -> DataFrame:
+    """A row for each query and bin that it visits, with its lists there. choose: the lists of each query of a batch."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows, numbers, lists = [], [], []
-            need = batch.column("own").to_numpy() + settings.k  # its own rows are no candidates
-            for i, probed in enumerate(probes(_matrix(batch.column("embedding")), index, counts, need)):
+            for i, probed in enumerate(choose(batch)):
                 of: dict[int, list[int]] = {}
                 for p in probed.tolist():
                     if p in bins:
@@ -214,19 +246,23 @@ def nearest(vectors: DataFrame, every: int = 20, settings: Settings = Settings()
                 numbers += list(of)
                 lists += list(of.values())
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(at), batch.column("embedding").take(at), pa.array(numbers, pa.int32()), pa.array(lists, pa.list_(pa.int32()))], names=["query_id", "query", "bin", "lists"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("vec_id", "embedding", "least")), pa.array(numbers, pa.int32()), pa.array(lists, pa.list_(pa.int32()))], names=["query_id", "query", "least", "bin", "lists"])
 
-    asked = stored.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.count("*").alias("own"))
+    return asked.mapInArrow(route, ROUTED)
+
+
+def _met(stored: DataFrame, routed: DataFrame, bins: dict[int, tuple[int, int]], search: Callable) -> DataFrame:
+    """RESULT: what search finds for the queries of each block in it. Each vector goes to its block, each query to all blocks of its bins."""
     # one row per list, and the number of lists is bounded
-    table = spark.createDataFrame([(i, n, blocks) for i, (n, blocks) in bins.items()], "list int, bin int, blocks int")
+    table = stored.sparkSession.createDataFrame([(i, n, blocks) for i, (n, blocks) in bins.items()], "list int, bin int, blocks int")
     per_bin = table.groupBy("bin").agg(F.max("blocks").alias("blocks"))
     null = lambda kind: F.lit(None).cast(kind)
-    left = stored.join(F.broadcast(table), "list").withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), "blocks").cast("int"))
-    left = left.select("bin", "block", F.lit(False).alias("is_query"), F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "list", "codes", null("array<int>").alias("lists"))
-    right = asked.mapInArrow(route, ROUTED).join(F.broadcast(per_bin), "bin").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.select("bin", "block", F.lit(True).alias("is_query"), F.col("query_id").alias("id"), F.col("query").alias("vector"), null("int").alias("list"), null("binary").alias("codes"), "lists")
+    left = stored.join(F.broadcast(table), "list").withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
+    left = left.select("bin", "block", F.lit(False).alias("is_query"), F.col("vec_id").alias("id"), "row", F.col("embedding").alias("vector"), null("double").alias("least"), "list", "codes", null("array<int>").alias("lists"))
+    right = routed.join(F.broadcast(per_bin), "bin").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = right.select("bin", "block", F.lit(True).alias("is_query"), F.col("query_id").alias("id"), null("long").alias("row"), F.col("query").alias("vector"), "least", null("int").alias("list"), null("binary").alias("codes"), "lists")
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come block by block, vectors before queries."""
         block, held, ready = None, [], None
         for batch in batches:
@@ -247,11 +283,47 @@ def nearest(vectors: DataFrame, every: int = 20, settings: Settings = Settings()
                     x = pa.Table.from_batches(held).combine_chunks()
                     codes = np.frombuffer(b"".join(x.column("codes").to_pylist()), np.uint8).reshape(len(x), -1)
                     ready = _matrix(x.column("vector").chunk(0)), x.column("id").to_numpy(), x.column("list").to_numpy(), codes
-                    held = held[:1]
+                    numbers, held = x.column("row").to_numpy(), held[:1]
                 q_ids = part.column("id").to_numpy()
-                rows, found, scores = search_bin(_matrix(part.column("vector")), q_ids, [np.array(p) for p in part.column("lists").to_pylist()], *ready, index, settings.k, settings.rerank)
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows]), pa.array(ready[1][found]), pa.array(scores)], names=["query_id", "vec_id", "score"])
+                rows, found, scores = search(_matrix(part.column("vector")), q_ids, part.column("least").to_numpy(zero_copy_only=False), [np.array(p) for p in part.column("lists").to_pylist()], *ready)
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows]), pa.array(numbers[found]), pa.array(ready[1][found]), pa.array(scores)], names=["query_id", "row", "vec_id", "score"])
 
     dealt = left.unionByName(right).repartition(F.xxhash64("bin", "block")).sortWithinPartitions("bin", "block", "is_query")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return dealt.mapInArrow(search, RESULT).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k).select("query_id", "rank", "vec_id", "score")
+    return dealt.mapInArrow(run, RESULT)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "row")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def nearest(vectors: DataFrame, every: int = 20, settings: Settings = Settings()) -> DataFrame:
+    """query_id, rank, vec_id, score: for each vector whose vec_id is divisible by `every`, its k nearest others."""
+    index, stored = build(vectors, settings)
+    # one row per list
+    per_list = {r["list"]: r for r in stored.groupBy("list").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
+    bins = _bins({i: r["n"] for i, r in per_list.items()}, settings.block)
+    counts = np.array([per_list[i]["n"] if i in per_list else 0 for i in range(len(index.centroids))])
+    radius = np.array([per_list[i]["far"] if i in per_list else -1.0 for i in range(len(index.centroids))])
+    asked = stored.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.count("*").alias("own"))
+
+    def by_probes(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return probes(_matrix(batch.column("embedding")), index, counts, batch.column("own").to_numpy() + settings.k)  # its own rows are no candidates
+
+    def by_bounds(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [np.flatnonzero(r) for r in reaching(_matrix(batch.column("embedding")), batch.column("least").to_numpy(), index, radius)]
+
+    def search(q, q_ids, least, lists, x, ids, at, codes):
+        return search_bin(q, q_ids, lists, x, ids, at, codes, index, settings.k, settings.rerank)
+
+    def check(q, q_ids, least, lists, x, ids, at, codes):
+        wanted = np.zeros((len(q), len(index.centroids)), bool)
+        for i, mine in enumerate(lists):
+            wanted[i, mine] = True
+        return check_bin(q, q_ids, least, wanted, x, ids, at, settings.k)
+
+    first = materialise(_ranked(_met(stored, _routed(asked.withColumn("least", F.lit(None).cast("double")), bins, by_probes), bins, search), settings.k), "found")
+    # fewer than k are all there are: probes go on until they hold k
+    kth = first.where(F.col("rank") == settings.k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+    more = _met(stored, _routed(asked.join(kth, "vec_id"), bins, by_bounds), bins, check).join(first.select("query_id", "row"), ["query_id", "row"], "left_anti")
+    return _ranked(first.select("query_id", "row", "vec_id", "score").unionByName(more), settings.k).select("query_id", "rank", "vec_id", "score")

@@ -69,6 +69,18 @@ def test_ann_norms_and_copies(spark):
     assert few[0].tolist() == [0, 1]
 
 
+def test_ann_queries_unlike_other_rows(spark):
+    """Queries that lie apart from the rows that the number of probes is learnt from, and outliers: every true neighbour is found."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(50, 24)) * 4
+    x = centres[rng.integers(0, 50, 2000)] + rng.normal(size=(2000, 24)) * 0.2
+    x[::20] = rng.normal(size=(100, 24))
+    x[7::100] *= 30
+    rows = [(i, v.astype("f4").tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    check_ann(ann.nearest(df).collect(), truth([(i, np.array(v, "f4").astype(float).tolist()) for i, v in rows], 20, 20), 1.0)
+
+
 def test_toxicity_held_out(spark, sf):
     docs, marks = read(spark, "/root/testdata/sf0.01", "documents"), read(spark, "/root/testdata/sf0.01", "labels")
     got = toxicity.toxicity(docs.select("doc_id", "text"), marks).withColumn("held", toxicity.held_out(F.col("doc_id")))
