@@ -6,16 +6,17 @@ coordinates, whose tokens name its node; a node with more classes than can be co
 while it is larger than `large`, by 5/3 chosen coordinates on average. That is more than 1 / 0.75, so a pair at 0.75 that has come to a node is found
 below it with a chance of 2/3 however deep the branching goes; with 16 trees it is lost with one of 0.00055 (0.00001 where nodes are small).
 
-A large node that is alike, that is, of which a good part is linked with its leader (confirmed on full sets), is thinned instead of branched: those
-links are kept, and of the linked classes about `small` / 4 go on, drawn at random, with half of those less close to the leader, so a family of near copies of any size takes rows in proportion.
+A large node that is alike, that is, of which a sixteenth is linked with its leader (confirmed on full sets), is not branched: those links are kept, and
+the leader's family, which is one component, leaves the node. What remains goes on as a node. Jaccard distances are a metric, so what is linked with a
+member of the family has a similarity of 2 * 0.75 - 1 with the leader at least; classes of that kind (by estimate, with slack) meet all of the family in
+nodes of `large` classes at most, a block of it in each. So a family of near copies of any size takes rows in proportion, and loses no link.
 Inside a task classes that agree on nearly all tokens with a node's leader leave it once everything near them is compared with them. Small nodes are
 compared exhaustively by the share of equal tokens.
 
 What is wanted are components, so not all pairs of a node are sent on. First round: the edges of each node's maximum spanning forest over pairs
 whose estimate may be a link. They are confirmed on full sets, and the confirmed ones give components. Later rounds: pairs between different
 components that have not been tested, the `first` best for each class and node, then eight times as many, until no class has more. So no link between
-different texts is lost to a limit; one is lost only if the two share no node, if its estimate is too low by chance, or if a class outside a thinned
-family is linked with so few of it that none of those drawn in any tree is among them.
+different texts is lost to a limit; one is lost only if the two share no node or if its estimate is too low by chance.
 
 Components are found by contraction: union-find over bounded runs of edges gives stars, whose members with several centres give the next, smaller
 edges. Nothing but counts reaches the driver.
@@ -153,12 +154,12 @@ def branch(entries: DataFrame, settings: Settings) -> DataFrame:
     return entries.withColumn("_at", F.explode(chosen)).withColumn("node", F.xxhash64("node", "_at", _token(F.col("_at")))).drop("_at")
 
 
-CLOSE = 0.9
-
-
-def thin(big: DataFrame, rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Large nodes: (entries of alike ones, thinned; entries of the others; pairs that were tested with leaders; those that are links)."""
+def part_families(big: DataFrame, rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Large nodes: (entries of alike ones without the families of their leaders; entries in which those families meet the others that may be linked with
+    them, in nodes of `large` classes at most; entries of the nodes that aren't alike; pairs that were tested with leaders; those that are links)."""
     least = settings.similarity - settings.slack
+    # a member's partner; the slack of an estimate is widest at a half
+    edge = 2 * settings.similarity - 1 - settings.slack * 0.5 / max(0.1, (settings.similarity * (1 - settings.similarity)) ** 0.5)
     draw = F.xxhash64("node", "class")
     leaders = materialise(big.groupBy("node").agg(F.min_by("class", draw).alias("leader"), F.min_by("sign", draw).alias("lead"), F.count("*").alias("_all")), "leaders")
 
@@ -167,29 +168,36 @@ def thin(big: DataFrame, rows: DataFrame, settings: Settings) -> tuple[DataFrame
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("sign", "lead"))
                 share = (x == y).mean(1)
-                out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "class", "leader")), pa.array(share >= CLOSE)], names=["node", "class", "leader", "close"])
-                yield out.filter(pa.array(share >= least))
+                out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "class", "leader")), pa.array(share >= least)], names=["node", "class", "leader", "like"])
+                yield out.filter(pa.array(share >= edge))
 
-    found = big.join(leaders, "node").where("class <> leader").select("node", "class", "leader", "sign", "lead").mapInArrow(near, "node long, class long, leader long, close boolean")
-    found = materialise(found.select("node", "class", "close", F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")), "near")
-    tested = materialise(found.select("a", "b").distinct(), "tested")
+    found = big.join(leaders, "node").where("class <> leader").select("node", "class", "leader", "sign", "lead").mapInArrow(near, "node long, class long, leader long, like boolean")
+    found = materialise(found.select("node", "class", "like", F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")), "near")
+    tested = materialise(found.where("like").select("a", "b").distinct(), "tested")
     links = confirm(tested, full_sets(rows, tested.select(F.explode(F.array("a", "b")).alias("class")).distinct()), settings)
-    linked = materialise(found.join(links, ["a", "b"], "left_semi").select("node", "class", "close"), "linked")
-    quota = max(1, settings.small // 4)
-    share = linked.groupBy("node").agg(F.count("*").alias("_linked")).join(leaders.select("node", "_all"), "node")
-    alike = materialise(share.where((F.col("_linked") - quota) * 16 >= F.col("_all")).select("node", "_linked"), "alike")
-    # those at the edge of the family, which may be linked with what the leader isn't, leave half by half
-    share_left = F.greatest(F.lit(float(quota)) / F.col("_linked"), F.when(F.col("close"), 0.0).otherwise(0.5))
-    going = linked.join(alike, "node").where(F.pmod(F.xxhash64("class", "node", F.lit(settings.seed)), F.lit(1 << 30)) >= (share_left * (1 << 30)).cast("long"))
-    stay = big.join(alike.select("node"), "node", "left_semi").join(going.select("node", "class"), ["node", "class"], "left_anti")
+    linked = materialise(found.where("like").join(links, ["a", "b"], "left_semi").select("node", "class"), "linked")
+    share = linked.groupBy("node").agg(F.count("*").alias("_linked")).join(leaders.select("node", "leader", "_all"), "node").where("_linked * 16 >= _all")
+    alike = materialise(share.select("node", "leader", "_linked"), "alike")
+    family = linked.join(alike.select("node"), "node", "left_semi")
+    gone = family.unionByName(alike.select("node", F.col("leader").alias("class")))
+    stay = big.join(alike.select("node"), "node", "left_semi").join(gone, ["node", "class"], "left_anti")
+    # members and others in blocks of half a node; every block of the one meets every block of the other
+    others = found.join(alike.select("node"), "node", "left_semi").join(family, ["node", "class"], "left_anti").select("node", "class")
+    half = max(1, settings.large // 2)
+    cuts = others.groupBy("node").agg(F.count("*").alias("_others")).join(alike, "node").select("node", F.ceil(F.col("_linked") / half).alias("_fs"), F.ceil(F.col("_others") / half).alias("_os"))
+    block = lambda n: F.pmod(F.xxhash64("class", F.lit(settings.seed)), n)
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    meeting = family.join(cuts, "node").select("node", "class", block(F.col("_fs")).alias("_f"), each("_os").alias("_o"))
+    meeting = meeting.unionByName(others.join(cuts, "node").select("node", "class", each("_fs").alias("_f"), block(F.col("_os")).alias("_o")))
+    meeting = big.join(meeting, ["node", "class"]).withColumn("node", F.xxhash64("node", "_f", "_o")).drop("_f", "_o")
     stay = stay.withColumn("node", F.xxhash64("node", F.lit(settings.seed)))  # so that another class leads it next time
-    return stay, big.join(alike, "node", "left_anti"), tested, links
+    return stay, meeting, big.join(alike.select("node"), "node", "left_anti"), tested, links
 
 
 def nodes(classes: DataFrame, rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(entries, pairs tested so far, links among them). Entries: node, class, sign, tree, whole of all nodes with two classes at least and `large` at
     most. whole: the trees (bits) in which the class lies in a node that is compared as it is; tree is `trees` for nodes that came of branching or
-    thinning, so that each pair can be left to the first tree that has it. rows: what `features` gives."""
+    of families, so that each pair can be left to the first tree that has it. rows: what `features` gives."""
     out, entries, first = None, first_nodes(classes, settings), True
     tested = links = classes.sparkSession.createDataFrame([], EDGE)
     for _ in range(100):
@@ -205,7 +213,8 @@ def nodes(classes: DataFrame, rows: DataFrame, settings: Settings) -> tuple[Data
         big = entries.where(F.col("_n") > settings.large).drop("_n")
         if not big.limit(1).count():
             return out, tested, links
-        alike, others, pairs, confirmed = thin(big, rows, settings)
+        alike, meeting, others, pairs, confirmed = part_families(big, rows, settings)
+        out = out.unionByName(meeting.withColumn("tree", F.lit(settings.trees)).select(*out.columns))
         tested, links = tested.unionByName(pairs), links.unionByName(confirmed)
         entries = alike.unionByName(branch(others, settings)).withColumn("tree", F.lit(settings.trees))
     return out.unionByName(big.select(*out.columns)), tested, links  # nodes that nothing splits: tasks compare them as they are

@@ -100,6 +100,21 @@ def test_components_of_long_chains(spark):
     assert all(got[i] == 0 for i in range(301)) and all(got[1000 + i] == 1000 + i - i % 2 for i in range(40))
 
 
+def test_classes_linked_with_one_member_of_a_family(spark):
+    """Texts that are linked with a single member each of a family that fills a large node."""
+    base = [f"w{i}" for i in range(200)]
+
+    def changed(*places):
+        return " ".join(f"x{p}" if p in places else w for p, w in enumerate(base))
+
+    members = [(1 + i, changed(3 * i + 5)) for i in range(60)]
+    apart = [(100 + i, changed(3 * i + 5, *[(3 * i + 5 + 33 * k) % 190 + 4 for k in range(1, 6)])) for i in range(0, 60, 3)]
+    rows = [(0, " ".join(base)), *members, *apart]
+    want = brute_components(rows)
+    assert answer(documents(spark, rows), small=4, large=12) == want
+    assert answer(documents(spark, rows), small=16, large=40) == want
+
+
 def test_resolve_misses_nothing_in_an_alike_node():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 60000, 512).astype("<u2")
