@@ -11,12 +11,12 @@ the leader's family, which is one component, leaves the node. What remains goes
 member of the family has a similarity of 2 * 0.75 - 1 with the leader at least; classes of that kind (by estimate, with slack) meet all of the family in
 nodes of `large` classes at most, a block of it in each. So a family of near copies of any size takes rows in proportion, and loses no link.
 Inside a task classes that agree on nearly all tokens with a node's leader leave it once everything near them is compared with them. Small nodes are
-compared exhaustively by the share of equal tokens.
+compared exhaustively by the share of equal tokens; before signatures are sent there, one bit of each token tells which classes have no partner at all.
 
 What is wanted are components, so not all pairs of a node are sent on. First round: the edges of each node's maximum spanning forest over pairs
-whose estimate may be a link. They are confirmed on full sets, and the confirmed ones give components. Later rounds: pairs between different
-components that have not been tested, the `first` best for each class and node, then eight times as many, until no class has more. So no link between
-different texts is lost to a limit; one is lost only if the two share no node or if its estimate is too low by chance.
+whose estimate may be a link. They are confirmed on full sets, and the confirmed ones give components. Second round: in each node the classes that may be
+linked with another component come together with their full sets, and all of them are compared there, so that what leaves a task are no pairs but links
+that join components. So no link between different texts is lost to a limit; one is lost only if the two share no node or if its estimate is too low by chance.
 
 Components are found by contraction: union-find over bounded runs of edges gives stars, whose members with several centres give the next, smaller
 edges. Nothing but counts reaches the driver.
@@ -51,7 +51,6 @@ class Settings:
     slack: float = 0.07  # how far an estimate may lie under the similarity of a link: 3.6 standard deviations
     small: int = 2048
     large: int = 16_384
-    first: int = 8
     seed: int = 11
 
 
@@ -96,23 +95,25 @@ class Signer:
         return (low ^ low >> np.uint32(16)).astype("<u2")
 
 
-FEATURES = "doc_id long, n_shingles long, digest binary, sign binary, hashes binary"
+FEATURES = "doc_id long, n_shingles long, digest binary, sign binary, bits binary, hashes binary"
 
 
 def features(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, n_shingles, class (0: empty set), digest, signature and full set of each row, written once: texts are hashed once, never shuffled."""
+    """doc_id, n_shingles, class (0: empty set), digest, signature, its lowest bits and full set of each row, written once: texts are hashed once, never shuffled."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(settings)
         for batch in batches:
-            n, digests, signs, sets = [], [], [], []
+            n, digests, signs, bits, sets = [], [], [], [], []
             for text in as_bytes(batch.column("text")):
                 s = shingles(text, settings.width)
                 n.append(len(s))
                 digests.append(digest(s))
-                signs.append(signer.sign(s).tobytes() if len(s) else None)
+                sign = signer.sign(s) if len(s) else None
+                signs.append(None if sign is None else sign.tobytes())
+                bits.append(None if sign is None else np.packbits((sign & 1).astype(np.uint8)).tobytes())
                 sets.append(pack_set(s))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.binary()), pa.array(sets, pa.binary())], names=["doc_id", "n_shingles", "digest", "sign", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.binary()), pa.array(bits, pa.binary()), pa.array(sets, pa.binary())], names=["doc_id", "n_shingles", "digest", "sign", "bits", "hashes"])
         release_memory()
 
     return with_class(materialise(docs.select("doc_id", "text").mapInArrow(make, FEATURES), "features"))
@@ -194,6 +195,34 @@ def part_families(big: DataFrame, rows: DataFrame, settings: Settings) -> tuple[
     return stay, meeting, big.join(alike.select("node"), "node", "left_anti"), tested, links
 
 
+def with_partners(entries: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """The entries (tree, node, class, _n) of small nodes that may have a link there, by the share of equal bits of their signatures, with a slack of 4.5
+    standard deviations; and those of larger nodes. Spares the others the shuffles of signatures."""
+    least = settings.similarity - 4.5 * 2 * (((1 + settings.similarity) * (1 - settings.similarity) / 4) / settings.coordinates) ** 0.5
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {c: [] for c in ("tree", "node", "class", "_n")}
+        rows = 0
+        for node in _by_node(batches, "bits", np.uint8):
+            x = np.unpackbits(node["bits"], axis=1, count=settings.coordinates).astype(np.float32) * 2 - 1
+            share = x @ x.T  # of equal bits less that of others, which is what the sets share, and chance
+            np.fill_diagonal(share, -np.inf)
+            keep = share.max(1) >= least * settings.coordinates
+            if keep.any():
+                rows += int(keep.sum())
+                for c, held in out.items():
+                    held.append(node[c][keep])
+            if rows > 50_000:
+                yield pa.RecordBatch.from_pydict({c: np.concatenate(v) for c, v in out.items()})
+                out, rows = {c: [] for c in out}, 0
+        if rows:
+            yield pa.RecordBatch.from_pydict({c: np.concatenate(v) for c, v in out.items()})
+
+    small = entries.where(F.col("_n") <= settings.small).select("tree", "node", "class", "_n").join(classes.select("class", "bits"), "class")
+    small = small.repartition(F.xxhash64("node")).sortWithinPartitions("node").mapInArrow(sieve, "tree int, node long, class long, _n long")
+    return small.unionByName(entries.where(F.col("_n") > settings.small).select("tree", "node", "class", "_n"))
+
+
 def nodes(classes: DataFrame, rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(entries, pairs tested so far, links among them). Entries: node, class, sign, tree, whole of all nodes with two classes at least and `large` at
     most. whole: the trees (bits) in which the class lies in a node that is compared as it is; tree is `trees` for nodes that came of branching or
@@ -206,7 +235,10 @@ def nodes(classes: DataFrame, rows: DataFrame, settings: Settings) -> tuple[Data
         if first:
             entries, first = materialise(entries, "nodes"), False
             whole = entries.groupBy("class").agg(F.bit_or(F.when(F.col("_n") <= settings.small, F.expr("shiftleft(1, tree)")).otherwise(0)).alias("whole"))
-            entries = entries.join(classes.select("class", "sign"), "class").join(whole, "class")
+            entries = materialise(with_partners(entries, classes, settings), "partnered")
+            own = materialise(entries.select("class").distinct(), "wanted")
+            signs = marked(classes.select("class", "sign"), own).join(own, "class", "left_semi")
+            entries = entries.join(signs.join(whole, "class"), "class")
         entries = materialise(entries.withColumn("tree", F.when(F.col("_n") <= settings.small, F.col("tree")).otherwise(settings.trees)), "nodes")
         fit = entries.where(F.col("_n") <= settings.large).select("node", "class", "sign", "tree", "whole")
         out = fit if out is None else out.unionByName(fit)
@@ -345,18 +377,18 @@ def _elsewhere(node: dict[str, np.ndarray], settings: Settings) -> Callable:
     return found
 
 
-def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """Whole nodes of rows that come sorted by node."""
+def _by_node(batches: Iterator[pa.RecordBatch], name: str = "sign", kind="<u2") -> Iterator[dict[str, np.ndarray]]:
+    """Whole nodes of rows that come sorted by node. name, kind: the column of arrays of one length, and what they hold."""
     held: list[pa.RecordBatch] = []
 
     def whole(table: pa.Table) -> Iterator[dict[str, np.ndarray]]:
         table = table.combine_chunks()
         node = table.column("node").to_numpy()
-        signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), "<u2").reshape(len(node), -1)
-        columns = {c: table.column(c).to_numpy() for c in table.column_names if c != "sign"}
+        signs = np.frombuffer(b"".join(table.column(name).to_pylist()), kind).reshape(len(node), -1)
+        columns = {c: table.column(c).to_numpy() for c in table.column_names if c != name}
         cuts = np.append(np.flatnonzero(np.diff(node, prepend=node[0] - 1 if len(node) else 0)), len(node))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            yield {"sign": signs[a:b]} | {c: v[a:b] for c, v in columns.items()}
+            yield {name: signs[a:b]} | {c: v[a:b] for c, v in columns.items()}
 
     for batch in batches:
         if not batch.num_rows:
@@ -372,20 +404,15 @@ def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray
         yield from whole(pa.Table.from_batches(held))
 
 
-def propose(entries: DataFrame, settings: Settings, most: int = 0) -> DataFrame:
-    """Distinct pairs a < b of classes that may be linked. With a column `component`, pairs between components only, the `most` best for each class and
-    node, and a row (0, 0) if a class has more."""
+def propose(entries: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct pairs a < b of classes that may be linked: the forests of all nodes."""
     least = settings.similarity - settings.slack
-    later = "component" in entries.columns
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, full = [], [], []
+        a, b = [], []
         for node in _by_node(batches):
             ids = node["class"]
-            if later and (node["component"] == node["component"][0]).all():
-                continue
-            compare = _later_compare(least, node["component"], most, full, _elsewhere(node, settings)) if later else _first_compare(least)
-            for i, j in resolve(node["sign"], ids, settings, compare, int(node["node"][0]) & 0xFFFFFFFFFFFFFFFF):
+            for i, j in resolve(node["sign"], ids, settings, _first_compare(least), int(node["node"][0]) & 0xFFFFFFFFFFFFFFFF):
                 x, y = int(ids[i]), int(ids[j])
                 if x != y:
                     a.append(min(x, y))
@@ -393,15 +420,95 @@ def propose(entries: DataFrame, settings: Settings, most: int = 0) -> DataFrame:
             if len(a) > 50_000:
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b})
                 a, b = [], []
-        if full:
-            a.append(0)
-            b.append(0)
         yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     # by an expression: Spark drops a repartition by what the rows are dealt by already, and may then cut those partitions when it re-plans
     return entries.repartition(F.xxhash64("node")).sortWithinPartitions("node").mapInArrow(pairs, EDGE).distinct()
 
 
+def unsettled(entries: DataFrame, settings: Settings) -> DataFrame:
+    """node, class, component of the classes that may be linked with a class of another component in that node; entries have a column `component`."""
+    least = settings.similarity - settings.slack
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node in _by_node(batches):
+            ids, component = node["class"], node["component"]
+            if (component == component[0]).all():
+                continue
+            hit = np.zeros(len(ids), bool)
+            pairs = _later_compare(least, component, len(ids), [], _elsewhere(node, settings))
+
+            def compare(est: np.ndarray, x: np.ndarray, y: np.ndarray, hit=hit, pairs=pairs) -> list:
+                for i in range(0, len(x), 128):  # some at a time: what is wanted are the classes, not their pairs
+                    some = np.array(pairs(est[i : i + 128], x[i : i + 128], y), np.int64).reshape(-1)
+                    hit[some] = True
+                return []
+
+            resolve(node["sign"], ids, settings, compare, int(node["node"][0]) & 0xFFFFFFFFFFFFFFFF)
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(node["node"][hit]), pa.array(ids[hit]), pa.array(component[hit])], names=["node", "class", "component"])
+
+    return entries.repartition(F.xxhash64("node")).sortWithinPartitions("node").mapInArrow(found, "node long, class long, component long")
+
+
+def joining(sets: list[np.ndarray], component: np.ndarray, share: int) -> list[tuple[int, int]]:
+    """Pairs of sets (of sorted distinct numbers) of different components with 100 * intersection >= share * union, enough of them to join all components
+    that any such pair joins. Counts what each set has in common with all others along the lists of its elements."""
+    n = np.array([len(x) for x in sets])
+    begin = np.append(0, np.cumsum(n))
+    order = np.argsort(np.concatenate(sets), kind="stable")
+    values, of = np.concatenate(sets)[order], np.repeat(np.arange(len(sets)), n)[order]
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    sizes = np.diff(starts, append=len(values))
+    group = np.empty(len(values), np.int64)
+    group[order] = np.repeat(np.arange(len(starts)), sizes)
+    now, out = component.copy(), []
+    for x in range(len(sets)):
+        if (now == now[x]).all():
+            break
+        g = group[begin[x] : begin[x + 1]]
+        each = sizes[g]
+        at = np.arange(int(each.sum())) + np.repeat(starts[g] - np.append(0, np.cumsum(each)[:-1]), each)
+        common = np.bincount(of[at], minlength=len(sets))
+        for y in np.flatnonzero((100 * common >= share * (n[x] + n - common)) & (now != now[x])).tolist():
+            if now[y] != now[x]:
+                out.append((x, y))
+                now[now == now[y]] = now[x]
+    return out
+
+
+def settle(entries: DataFrame, sets: DataFrame, settings: Settings, most: int = 2048, most_bytes: int = 32 << 20) -> DataFrame:
+    """Links (a, b) that join the components of the classes in entries (node, class, component), found on full sets. A node of many classes, or large sets,
+    is cut into blocks; every two blocks meet in a task."""
+    share = round(100 * settings.similarity)
+    full = materialise(entries.join(sets, "class"), "unsettled")
+    cuts = full.groupBy("node").agg(F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum(F.length("hashes")) / most_bytes)).alias("_cuts"))
+    own, other = F.pmod(F.xxhash64("class", F.lit(settings.seed)), "_cuts"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cuts") - 1))
+    dealt = full.join(cuts, "node").select("node", "class", "component", "hashes", own.alias("_own"), other.alias("_other"))
+    dealt = dealt.select(F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("node"), "class", "component", "hashes")
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, ids, component, held = None, [], [], []
+
+        def close() -> pa.RecordBatch:
+            c = np.array(ids, np.int64)
+            found = joining(held, np.array(component, np.int64), share) if len(c) > 1 else []
+            x, y = c[[i for i, _ in found]], c[[j for _, j in found]]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+        for batch in batches:
+            for node, i, c, data in zip(*(batch.column(n).to_pylist() for n in ("node", "class", "component", "hashes")), strict=True):
+                if node != name:
+                    yield close()
+                    name, ids, component, held = node, [], [], []
+                ids.append(i)
+                component.append(c)
+                held.append(unpack_set(data))
+        yield close()
+
+    return materialise(dealt.repartition(F.xxhash64("node")).sortWithinPartitions("node").mapInArrow(links, EDGE).distinct(), "links")
+
+
 MARKS, MARK_BITS = 1024, 32_768
 
 
@@ -501,7 +608,7 @@ def components(edges: DataFrame, run: int = 500_000) -> DataFrame:
 
 def class_components(rows: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
     """(class, component) of the linked classes, and (class, rep) of all; rows: what `features` gives."""
-    classes = materialise(rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.min("sign").alias("sign")), "classes")
+    classes = materialise(rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.min("sign").alias("sign"), F.min("bits").alias("bits")), "classes")
     release_shuffles(rows.sparkSession)  # signatures and full sets are shuffled in turn; each step's files go before the next writes its own
     entries, tested, links = nodes(classes, rows, settings)
     release_shuffles(rows.sparkSession)
@@ -513,25 +620,18 @@ def class_components(rows: DataFrame, settings: Settings = Settings()) -> tuple[
     release_shuffles(rows.sparkSession)
     links = links.unionByName(confirm(pairs, sets, settings))
     release_shuffles(rows.sparkSession)
-    label, most = components(links), settings.first
-    while True:
-        named = lambda some: some.join(label.withColumnRenamed("v", "class"), "class", "left").withColumn("component", F.coalesce("component", F.col("class")))  # noqa: B023, E731
-        # a node of one component has nothing more to tell; that is found out without signatures
-        slim = named(entries.select("node", "class")).groupBy("node").agg((F.min("component") != F.max("component")).alias("_mixed"))
-        mixed = materialise(slim.where("_mixed").select("node"), "mixed")
-        # without a join by node, which the optimiser would put first, over all signatures; tasks pass over other nodes that are let through
-        found = materialise(propose(named(marked(entries, mixed, "node")), settings, most), "found")
-        release_shuffles(rows.sparkSession)
-        more = materialise(found.where("a <> b").join(tested, ["a", "b"], "left_anti"), "pairs")
-        if more.limit(1).count():
-            new = confirm(more, sets, settings)
-            tested = tested.unionByName(more)
-            if new.limit(1).count():
-                links = links.unionByName(new)
-                label = components(links)
-        if not found.where("a = b").limit(1).count():
-            return label.withColumnRenamed("v", "class"), classes.select("class", "rep")
-        most *= 8
+    label = components(links)
+    named = lambda some: some.join(label.withColumnRenamed("v", "class"), "class", "left").withColumn("component", F.coalesce("component", F.col("class")))
+    # a node of one component has nothing more to tell; that is found out without signatures
+    slim = named(entries.select("node", "class")).groupBy("node").agg((F.min("component") != F.max("component")).alias("_mixed"))
+    mixed = materialise(slim.where("_mixed").select("node"), "mixed")
+    # without a join by node, which the optimiser would put first, over all signatures; tasks pass over other nodes that are let through
+    found = materialise(unsettled(named(marked(entries, mixed, "node")), settings), "found")
+    release_shuffles(rows.sparkSession)
+    new = settle(found, sets, settings)
+    if new.limit(1).count():
+        label = components(links.unionByName(new))
+    return label.withColumnRenamed("v", "class"), classes.select("class", "rep")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

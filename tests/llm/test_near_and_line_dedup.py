@@ -115,6 +115,22 @@ def test_classes_linked_with_one_member_of_a_family(spark):
     assert answer(documents(spark, rows), small=16, large=40) == want
 
 
+def test_settle_gives_links_and_no_pairs(spark):
+    """A node of many classes just under the threshold, and a few links among them: found in blocks of any size, and no more rows than components."""
+    rng = np.random.default_rng(4)
+    sets = [np.sort(np.append(np.arange(600), rng.choice(np.arange(1000, 10**6), 140 if i % 20 else 60, replace=False))).astype(np.uint64) for i in range(200)]
+    linked = {(i, j) for i in range(200) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    joined = near_dedup.joining(sets, np.arange(200), 75)
+    assert linked and all((max(p), min(p)) in linked for p in joined) and len(joined) < 200
+    entries = spark.createDataFrame([(7, i, i) for i in range(200)], "node long, class long, component long")
+    full = spark.createDataFrame([(i, bytearray(near_dedup.pack_set(x << np.uint64(16)))) for i, x in enumerate(sets)], "class long, hashes binary")
+    want = {(r.v, r.component) for r in near_dedup.components(spark.createDataFrame([(min(p), max(p)) for p in linked], near_dedup.EDGE)).collect()}
+    for most in (2048, 30):
+        new = near_dedup.settle(entries, full, near_dedup.Settings(), most)
+        assert {(r.v, r.component) for r in near_dedup.components(new).collect()} == want
+    assert near_dedup.settle(entries, full, near_dedup.Settings()).count() == len(joined)
+
+
 def test_resolve_misses_nothing_in_an_alike_node():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 60000, 512).astype("<u2")
