@@ -77,10 +77,12 @@ class JsonArray:
 
 SUMMARY = "file string, at long, base int, state0 int, state1 int, depth0 long, depth1 long, low0 long, low1 long"
 _NEVER = 1 << 60
+#: Bytes of text that are scanned at once (one row at least): a scan holds some sixty times as much.
+STRETCH = 1 << 20
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
-    """Stretches of rows of one block."""
+    """Stretches of rows of one block, of STRETCH bytes at most behind their first row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -88,7 +90,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Ar
         names = file.dictionary_encode().indices.to_numpy()
         cuts = [0, *(np.flatnonzero((np.diff(names) != 0) | (np.diff(at) != 0)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            yield file[a].as_py(), int(at[a]), batch.column("value").slice(a, b - a)
+            rows = batch.column("value").slice(a, b - a)
+            stretch = np.cumsum(pc.binary_length(rows).to_numpy(zero_copy_only=False).astype(np.int64) + 1) // STRETCH
+            edges = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(rows)]
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                yield file[a].as_py(), int(at[a]), rows.slice(i, j - i)
 
 
 def _lines(spark: SparkSession, path: str, kind: Csv | JsonArray) -> DataFrame:
@@ -149,7 +155,7 @@ def split_records(spark: SparkSession, path: str, kind: Csv | JsonArray) -> Data
         def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out: dict[str, list] = {k: [] for k in ("file", "owner", "at", "is_first", "record")}
             held: list[str] = []
-            where, count = None, 0
+            where, count, size = None, 0, 0
 
             def put(owner: int, text: str, first: bool) -> None:
                 for k, v in zip(out, (*where[:1], owner, where[1], first, text), strict=True):
@@ -185,11 +191,12 @@ def split_records(spark: SparkSession, path: str, kind: Csv | JsonArray) -> Data
                     elif not pieces:
                         put(at, text, at == 0 and not count)
                     count += 1
+                    size += len(text)
                 held += texts[last:]
                 state, depth = int(found.state[state][-1]), depth + int(found.depth[state][-1])
-                if len(out["file"]) > 10_000:
+                if len(out["file"]) > 10_000 or size > 8 * STRETCH:
                     yield pa.RecordBatch.from_pydict(out, schema=schema)
-                    out = {k: [] for k in out}
+                    out, size = {k: [] for k in out}, 0
             close()
             for row in leftover if pieces else []:
                 for k, v in zip(out, row, strict=True):

@@ -104,3 +104,14 @@ def test_only_needed_values_are_parsed(spark, tmp_path):
     (tmp_path / "a.csv").write_text(csv_text(awkward_rows(5)))
     got = splits.csv_records(spark, str(tmp_path), CSV).select("id")
     assert [r["id"] for r in got.orderBy("id").collect()] == list(range(120))
+
+
+def test_blocks_are_scanned_in_short_stretches():
+    """A batch of many long rows is cut, so that what a scan holds doesn't grow with the batch."""
+    import pyarrow as pa
+
+    rows = ["x" * 5000] * 3000 + ["y" * (2 * splits.STRETCH)] + ["z"] * 10
+    batch = pa.RecordBatch.from_pydict({"value": rows, "file": ["f"] * len(rows), "at": [0] * 2000 + [7] * (len(rows) - 2000)})
+    got = list(splits._blocks(iter([batch])))
+    assert [r for _, _, part in got for r in part.to_pylist()] == rows and [a for _, a, part in got for _ in range(len(part))] == batch.column("at").to_pylist()
+    assert all(sum(map(len, part.to_pylist()[1:])) <= splits.STRETCH for _, _, part in got)
