@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..operators import metrics, review, training
-from ..storage import scratch
+from ..storage import materialise, scratch
 from .base import Registry, table
 
 R = Registry()
@@ -181,9 +181,9 @@ def mlt1_training(spark, d):
     df = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("y"))
     model, split = training.train_epochs(df, "text", "y", "doc_id")
     best = max(h["value"] for h in model.history) == model.history[model.best_epoch - 1]["value"]
-    found = training.predict(split, model, "text")
+    found = materialise(training.predict(split, model, "text").select("split", "y", "prediction"), "predicted")
     per = [metrics.multiclass(found.where(F.col("split") == s), "y", "prediction").select(F.lit(s).alias("split"), (F.col("f1_macro") >= 0.85).alias("f1_macro_over_85")) for s in ("train", "validation", "test")]
-    counts = split.groupBy("split").agg(F.count("*").alias("n_rows"))
+    counts = found.groupBy("split").agg(F.count("*").alias("n_rows"))
     return counts.join(per[0].unionByName(per[1]).unionByName(per[2]), "split").withColumn("best_is_kept", F.lit(best))
 
 

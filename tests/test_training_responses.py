@@ -120,3 +120,61 @@ spark.stop()
     made = calls(tmp_path)
     # the call that broke down is the only one that was made twice
     assert (tmp_path / "failed").exists() and len(set(made)) == 6 and len(made) == 7 and made.count("case 3") == 2
+
+
+ODD = ["", None, " ", "Agua  agua\tMINA\n", "a\x1cb c\x1d d", "x\x85y\xa0z w　v u", "᠎a b​c ﻿d", "ÁRBOL árbol ΣΑΣ Σ ß ﬁ İ", "w" * 63 + " " + "w" * 64 + " " + "W" * 65 + " " + "é" * 40, "\x00 \x00a", "𝔘 𐐀"]
+
+
+def test_columns_of_texts_equal_those_of_their_words(spark):
+    """Words by the white space of `text.words`, each with its crc32; a text at a time or many, whatever is counted at a time."""
+    import zlib
+
+    from quillwork.functions.text import words
+
+    many = [*ODD, *(" ".join(f"W{i * j % 97}" for j in range(i)) for i in range(40))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(many)], "id int, t string")
+    cut = {r["id"]: r["w"] for r in df.select("id", F.transform(words(F.coalesce("t", F.lit(""))), F.lower).alias("w")).collect()}
+    for settings in (training.Settings(features=512), training.Settings(features=50, max_words=7)):
+        want = []
+        for i in range(len(many)):
+            at, n = np.unique(np.array([zlib.crc32(w.encode()) % settings.features for w in cut[i][: settings.max_words]], np.int64), return_counts=True)
+            want.append(([*at.tolist(), settings.features], [*n.tolist(), 1]))
+        for group in (1, 100, 1 << 22):
+            columns, counts, starts = training.counted(many, settings, group)
+            assert [(columns[a:b].tolist(), counts[a:b].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)] == want
+    assert [len(x) for x in training.counted([], settings)] == [0, 0, 1]
+
+
+def test_texts_are_cut_into_words_once(spark, sf, monkeypatch):
+    """What epochs and their validation read holds no words any more, and the query's rows are predicted in one pass, written once (before: every epoch
+    hashed all words anew, and each split's metrics predicted all rows again)."""
+    from quillwork.plans import evaluation
+
+    written = {}
+    keep = training.materialise
+    monkeypatch.setattr(training, "materialise", lambda df, name: keep(written.setdefault(name, df), name))
+    training.train_epochs(rows(spark), "t", "y", "id", training.Settings(features=64, max_epochs=1))
+    assert dict(written["train-rows"].dtypes) == {"_y": "int", "_weight": "double", "_columns": "array<int>", "_counts": "array<int>"}
+    assert dict(written["validation"].dtypes) == {"_true": "string", "_columns": "array<int>", "_counts": "array<int>"}
+    monkeypatch.setattr(training, "train_epochs", lambda df, *_: (training.Classifier(["a", "b"], np.zeros((65, 2)), training.Settings(features=64), [{"value": 0.0}], 1), df.withColumn("split", F.lit("train"))))
+    assert "MapInArrow" not in evaluation.mlt1_training(spark, sf)._jdf.queryExecution().toString()
+
+
+def test_steps_in_stretches(spark):
+    """A task that holds a few rows at a time takes steps over all of them, and as many rows count."""
+    settings = training.Settings(features=128)
+    df = rows(spark).where("y is not null").selectExpr("cast(y = 'b' as int) as _y", "1.0D as _weight", "t")
+    coded = training.coded(df, "t", settings).coalesce(1)
+    whole, loss = training._epoch(coded, training.Classifier(["a", "b"], np.zeros((129, 2)), settings), 0.1, 1)
+    parts, other = training._epoch(coded, training.Classifier(["a", "b"], np.zeros((129, 2)), settings), 0.1, 1, stretch=20)
+    assert np.allclose(whole, parts, atol=0.2) and (whole != parts).any() and 0 < other < 0.7 and 0 < loss < 0.7
+    steep = training.Settings(features=6, batch=1, l2=0.3)  # weights decay to a tenth in each step
+    some = [(i % 2, 1.0, np.array([i % 5, 6]), np.array([1.0, 0.2])) for i in range(40)]
+    w, order = np.ones((7, 2)), np.random.default_rng([steep.seed, 1]).permutation(40)
+    for i in order:
+        y, _, c, x = some[i]
+        p = training.softmax(x @ w[c])
+        p[y] -= 1
+        w *= 1 - 3.0 * 0.3
+        w[c] -= 3.0 * x[:, None] * p
+    assert np.allclose(training.local_steps(np.ones((7, 2)), some, 3.0, steep, 1)[0], w)
