@@ -96,6 +96,30 @@ def corpus_statistics(docs: DataFrame, settings: Settings = Settings()) -> Corpu
     return Corpus(count_of.get(-1, 0), count_of.get(-2, 0) / max(1, count_of.get(-1, 0)), frequency)
 
 
+def heaviest_words(h: np.ndarray, cuts: np.ndarray, corpus: Corpus, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The heaviest word of each text, of equal ones that of the largest hash, and whether it has one; 0 without a word."""
+    n = len(cuts) - 1
+    bits = np.uint64(max(1, n.bit_length()))
+    owner = np.repeat(np.arange(n, dtype=np.uint64), np.diff(cuts))
+    # words are counted by a text's number and the upper bits of their hash in one integer, which sorts several times as fast as two columns
+    word = np.sort(owner << (np.uint64(64) - bits) | h >> bits)
+    edge = np.flatnonzero(np.diff(word, prepend=~word[:1]))
+    tf, word = np.diff(edge, append=len(word)), word[edge]
+    upper = word << bits
+    df = corpus.df(upper)
+    weight = np.where(df > 1, tf / (tf + settings.k1) * corpus.idf(upper), 0)
+    size = np.diff(np.searchsorted(word >> (np.uint64(64) - bits), np.arange(n + 1, dtype=np.uint64)))
+    last, best = size > 0, np.zeros(n, np.uint64)
+    if last.any():
+        begin = (np.cumsum(size) - size)[last]
+        top = np.repeat(np.maximum.reduceat(weight, begin), size[last])
+        best[last] = np.maximum.reduceat(np.where(weight == top, upper, 0), begin)
+        # the whole hashes of these words
+        at = np.flatnonzero(h >> bits << bits == np.repeat(best, np.diff(cuts)))
+        best[owner[at].astype(np.int64)] = h[at]
+    return best, last
+
+
 def dealt(docs: DataFrame, corpus: Corpus, settings: Settings) -> DataFrame:
     """doc_id, text and key: the heaviest term, salted so that no key has many more documents than a shard."""
 
@@ -105,19 +129,8 @@ def dealt(docs: DataFrame, corpus: Corpus, settings: Settings) -> DataFrame:
             keys = []
             for _, h, cuts in hashed_texts(as_bytes(batch.column("text"))):
                 n = len(cuts) - 1
-                owner = np.repeat(np.arange(n), np.diff(cuts))
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                edge = np.flatnonzero((np.diff(h, prepend=~h[:1]) != 0) | (np.diff(owner, prepend=-1) != 0))
-                tf = np.diff(edge, append=len(h))
-                h, owner = h[edge], owner[edge]
-                df = corpus.df(h)
-                weight = np.where(df > 1, tf / (tf + settings.k1) * corpus.idf(h), 0)
-                # the last of each document in the order of weight
-                best = np.lexsort((h, weight, owner))
-                last = best[np.flatnonzero(np.diff(owner[best], append=-1))] if len(best) else best
-                key, many = np.zeros(n, np.uint64), np.full(n, corpus.docs)
-                key[owner[last]], many[owner[last]] = h[last], df[last]
+                key, last = heaviest_words(h, cuts, corpus, settings)
+                many = np.where(last, corpus.df(key), corpus.docs)
                 salt = (np.arange(row, row + n) % (many // settings.shard_docs + 1)).astype(np.uint64)
                 keys.append(mix64(key + salt * np.uint64(0x9E3779B97F4A7C15)))
                 row += n
@@ -134,22 +147,23 @@ class Shard:
         self.n = len(words)
         lengths = np.fromiter(map(len, words), np.int64, self.n)
         h = np.concatenate(words) if words else np.zeros(0, np.uint64)
-        vocabulary = distinct(h)
-        pair = np.sort(np.searchsorted(vocabulary, h) * self.n + np.repeat(np.arange(self.n), lengths))
-        edge = np.flatnonzero(np.diff(pair, prepend=-1))
+        # the upper bits of a word's hash and the document in one integer; words of one shard that agree in these bits (53 and more) count as one
+        bits = np.uint64(max(0, self.n - 1).bit_length())
+        pair = np.sort(h >> bits << bits | np.repeat(np.arange(self.n, dtype=np.uint64), lengths))
+        edge = np.flatnonzero(np.diff(pair, prepend=~pair[:1]))
         tf, pair = np.diff(edge, append=len(pair)), pair[edge]
-        term, doc = pair // max(1, self.n), pair % max(1, self.n)
-        edge = np.flatnonzero(np.diff(term, prepend=-1))
-        size = np.diff(edge, append=len(term))
+        word, doc = pair >> bits << bits, (pair & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        edge = np.flatnonzero(np.diff(word, prepend=~word[:1]))
+        size = np.diff(edge, append=len(word))
         shared = np.repeat(size > 1, size)  # a word of one document finds no neighbour
-        size = size[size > 1]
-        term, self.doc, tf = term[shared], doc[shared], tf[shared]
+        word, size = word[edge[size > 1]], size[size > 1]
+        self.doc, tf = doc[shared], tf[shared]
         self.first, self.size = np.cumsum(size) - size, size
         norm = settings.k1 * (1 - settings.b + settings.b * lengths[self.doc] / max(corpus.mean, 1e-9))
-        self.weight = corpus.idf(vocabulary)[term] * tf * (settings.k1 + 1) / (tf + norm)
-        order = np.argsort(self.doc, kind="stable")
-        self.of_doc = np.repeat(np.arange(len(size)), size)[order]
-        self.starts = np.searchsorted(self.doc[order], np.arange(self.n + 1))
+        self.weight = np.repeat(corpus.idf(word), size) * tf * (settings.k1 + 1) / (tf + norm)
+        of_doc = np.sort(self.doc << 32 | np.repeat(np.arange(len(size)), size))
+        self.of_doc = of_doc & ((1 << 32) - 1)
+        self.starts = np.searchsorted(of_doc >> 32, np.arange(self.n + 1))
 
     def neighbours(self, doc: int) -> np.ndarray:
         """Documents of the shard by falling BM25 score for the words of doc; those without a common word are left out."""
@@ -158,7 +172,7 @@ class Shard:
             return mine
         size = self.size[mine]
         at = np.repeat(self.first[mine] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        score = np.bincount(self.doc[at], self.weight[at], self.n)
+        score = np.bincount(self.doc.take(at), self.weight.take(at), self.n)
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")]
 

@@ -46,11 +46,11 @@ class RunTable:
 
     def __init__(self, dtype: np.dtype, max_items: int):
         self.dtype, self.max_items = dtype, max_items
-        self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, dtype), np.zeros(0, bool))
+        self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, dtype))
 
-    def _set(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray, used: np.ndarray) -> None:
-        """flat holds the ids in the order of keys."""
-        self.keys, self.size, self.flat, self.used, self.place = keys, size, flat, used, np.cumsum(size) - size
+    def _set(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        """flat holds the ids in the order of keys; those that come later lie behind, so that new keys move no ids."""
+        self.keys, self.size, self.flat, self.used, self.place = keys, size, flat, np.zeros(len(keys), bool), np.cumsum(size) - size
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
         n = self.size[at]
@@ -69,13 +69,19 @@ class RunTable:
         if len(self.keys) > self.max_items:
             old = np.flatnonzero(self.used)
             old = old if len(old) <= self.max_items // 2 else old[:0]
-            self._set(self.keys[old], self.size[old], self._gather(old), np.zeros(len(old), bool))
-        both, sizes = np.concatenate([self.keys, keys]), np.concatenate([self.size, size])
-        joined = np.concatenate([self.flat, np.frombuffer(b"".join(values), self.dtype)])
-        order = np.argsort(both, kind="stable")
-        used = np.append(self.used, np.ones(len(keys), bool))[order]
-        self._set(both, sizes, joined, used)
-        self._set(both[order], sizes[order], self._gather(order), used)
+            self._set(self.keys[old], self.size[old], self._gather(old))
+        at = np.searchsorted(self.keys, keys)
+        merged = np.ones(len(self.keys) + len(keys), bool)
+        merged[at + np.arange(len(keys))] = False  # where new ones come
+
+        def merge(old: np.ndarray, new: np.ndarray | bool) -> np.ndarray:
+            both = np.empty(len(merged), old.dtype)
+            both[merged], both[~merged] = old, new
+            return both
+
+        self.keys, self.size, self.used = merge(self.keys, keys), merge(self.size, size), merge(self.used, True)
+        self.place = merge(self.place, len(self.flat) + np.cumsum(size) - size)
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(values), self.dtype)])
 
 
 def default_tokenizer() -> str:

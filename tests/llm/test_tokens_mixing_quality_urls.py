@@ -159,3 +159,22 @@ def test_url_filter(spark, sf):
         want = [(r.page_id, *brute_url(r.url, once)) for r in pages.collect()]
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     assert url_filter.filter_urls(pages.where("false")).count() == 0
+
+
+def test_new_runs_move_no_ids():
+    """What is added lies behind, so learning costs by what is new; before, all ids were put in order again each time."""
+    from quillwork.llm.tokens import RunTable
+
+    rng, table, want = np.random.default_rng(6), RunTable(np.dtype("<u2"), 300), {}
+    for turn in range(30):
+        new = np.setdiff1d(np.unique(rng.integers(0, 1 << 64, 40, dtype=np.uint64)), table.keys)
+        values = [rng.integers(0, 60000, rng.integers(0, 5)).astype("<u2").tobytes() for _ in new]
+        before, full = table.flat, len(table.keys) > 300
+        table.add(new, values)
+        want |= zip(new.tolist(), values, strict=True)
+        assert full or (table.flat[: len(before)] == before).all()
+        assert (np.diff(table.keys.astype(object)) > 0).all() and set(new.tolist()) <= set(table.keys.tolist())
+        at, known = table.find(table.keys[turn % 3 :: 3])
+        assert known.all()
+        assert [table._gather(at[i : i + 1]).tobytes() for i in range(len(at))] == [want[k] for k in table.keys[at].tolist()]
+    assert len(table.keys) < 400
